@@ -26,14 +26,15 @@ def with_block(df: DataFrame, order: str, blocks: int | None = None, name: str =
     n = blocks if blocks is not None else fair_partitions(df.sparkSession)
     position = F.col(order).cast("double")
     if n <= 1:
-        return df.withColumn(name, F.lit(0.0))
+        return df.withColumn(name, F.lit(0))
     shares = [i / n for i in range(1, n)]
     cuts = df.select(position.alias("_position")).approxQuantile("_position", shares, 1 / (4 * n))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     if len(splits) < 3:
-        return df.withColumn(name, F.lit(0.0))
+        return df.withColumn(name, F.lit(0))
     placed = df.withColumn("_position", position)
-    return Bucketizer(splits=splits, inputCol="_position", outputCol=name).transform(placed).drop("_position")
+    numbered = Bucketizer(splits=splits, inputCol="_position", outputCol="_number").transform(placed)
+    return numbered.withColumn(name, F.col("_number").cast("int")).drop("_position", "_number")
 
 
 def running_total(
@@ -87,7 +88,7 @@ def first_arrival_join(
     rows = with_block(tagged, order, blocks)
 
     def newest(side: str) -> Column:
-        return F.max_by(f"_{side}", order).filter(F.col("_side") == side)
+        return F.max_by(f"_{side}", F.when(F.col("_side") == side, F.col(order)))
 
     by_key = Window.partitionBy(key).orderBy("_block")
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,17 @@ def interval_ms(text: str) -> int:
     return total
 
 
+def day_offset(zone: str) -> str:
+    """``offset`` for day windows that begin at local midnight in a zone without daylight saving time.
+
+    Windows are aligned to midnight UTC; a zone that is 8 hours ahead starts its day 16 hours after that.
+    """
+    jan, jul = (datetime(2024, month, 1, tzinfo=ZoneInfo(zone)).utcoffset() for month in (1, 7))
+    if jan != jul:
+        raise ValueError(f"days in {zone} have different lengths: group by the local date instead")
+    return f"{int((-jan).total_seconds()) % 86_400} seconds"
+
+
 def with_watermark(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
     """Declare event time; ``delay`` is the bounded out-of-orderness. No effect on a bounded table."""
     return df.withWatermark(ts, delay) if df.isStreaming else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -30,6 +32,7 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -42,7 +45,20 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    package = pathlib.Path(__file__).parent
+    archive = shutil.make_archive(tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/millrace", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._millrace_shipped = True
 
 
 def is_local(spark: SparkSession) -> bool:

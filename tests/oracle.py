@@ -1,0 +1,75 @@
+"""Compare the queries with DuckDB over the same files: ``python tests/oracle.py [sf_dir] [name ..]``."""
+
+from __future__ import annotations
+
+import math
+import pathlib
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return connection
+
+
+def _cell(value):
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
+
+
+def rows_of(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def compare(spark, function, sql: str, sf_dir: str, connection) -> tuple[bool, str]:
+    df = function(spark, sf_dir)
+    got = rows_of(df.columns, df.collect())
+    cursor = connection.execute(sql)
+    names = [c[0] for c in cursor.description]
+    kinds = {c[0]: str(c[1]) for c in cursor.description}
+    expected = rows_of(names, cursor.fetchall())
+    if sorted(names) != sorted(df.columns):
+        return False, f"columns {sorted(df.columns)} and {sorted(names)}"
+    more, less = got - expected, expected - got
+    note = f"{sum(got.values())} rows, types {[(n, kinds[n], t) for n, t in df.dtypes]}"
+    if more or less:
+        return False, f"{note}; only Spark: {list(more.items())[:3]}; only SQL: {list(less.items())[:3]}"
+    return True, note
+
+
+def main() -> None:
+    sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
+    import __spark_entry__ as entry
+    from millrace.session import build_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    wanted = sys.argv[2:]
+    spark = build_session(
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    connection = connect(sf_dir)
+    oracles = entry.oracle_sql()
+    for name, function in entry.queries().items():
+        if wanted and name not in wanted:
+            continue
+        began = time.time()
+        try:
+            good, note = compare(spark, function, oracles[name], sf_dir, connection)
+        except Exception as error:
+            good, note = False, str(error)[:700]
+        print("ok  " if good else "FAIL", name, round(time.time() - began, 2), note if not good or "-v" in sys.argv else note[:400], flush=True)
+
+
+if __name__ == "__main__":
+    main()
