@@ -2,8 +2,8 @@
 
 No side is broadcast by hint. Spark broadcasts a side when its size, estimated or measured at run time, is under
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled on the key and adaptive execution splits
-partitions that a hot key makes too big. ``salts`` splits the keys of the left side up front, for plans that adaptive
-execution cannot change (streams, full outer joins).
+partitions that a hot key makes too big. ``salting`` spreads hot keys of the left side up front, for plans that
+adaptive execution cannot change (streams, full outer joins).
 """
 
 from __future__ import annotations
@@ -14,17 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOWS = ("inner", "left", "right", "full")
-
-
-def salt_of(columns: Sequence[str], salts: int) -> Column:
-    """A salt from the row's content: a repeated task gives every row the same one."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+from millrace.operators.salting import NO_SALTING, Salting
 
-
-def replicate(df: DataFrame, salts: int, name: str = "_salt") -> DataFrame:
-    """Each row once per salt."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+HOWS = ("inner", "left", "right", "full")
 
 
 def _disjoint(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
@@ -61,12 +53,12 @@ def regular_join(
     on: Sequence[str],
     how: str = "inner",
     condition: Column | None = None,
-    salts: int = 1,
+    salting: Salting = NO_SALTING,
 ) -> DataFrame:
     """Inner, left, right or full join on equal keys, with an optional further condition on the other columns.
 
-    With ``salts`` > 1 the left rows of one key are spread over that many groups and the right rows are copied into
-    each. Unmatched right rows cannot be seen inside one group, so they come from a separate anti-join.
+    With ``salting`` the left rows of a hot key are spread over groups and its right rows are copied into each.
+    Unmatched right rows cannot be seen inside one group, so they come from a separate anti-join.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}")
@@ -75,11 +67,11 @@ def regular_join(
     _disjoint(left, right, on)
     keys = list(on)
     columns = [*keys, *[c for c in [*left.columns, *right.columns] if c not in keys]]
-    if salts <= 1:
+    if salting.idle:
         return _join(left, right, keys, how, condition).select(*columns)
 
-    salted = left.withColumn("_salt", salt_of(left.columns, salts))
-    copies = replicate(right, salts)
+    salted = salting.spread(left, keys, left.columns)
+    copies = salting.copy(right, keys)
     matched = _join(salted, copies, [*keys, "_salt"], "left" if how in ("left", "full") else "inner", condition)
     matched = matched.select(*columns)
     if how in ("inner", "left"):
@@ -90,8 +82,8 @@ def regular_join(
         alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
     else:
         alone = _join(
-            right.withColumn("_salt", salt_of(right.columns, salts)),
-            replicate(left, salts),
+            salting.spread(right, keys, right.columns),
+            salting.copy(left, keys),
             [*keys, "_salt"],
             "left_anti",
             condition,
@@ -109,13 +101,13 @@ def band_join(
     how: str = "inner",
     equal: Sequence[str] = (),
     condition: Column | None = None,
-    salts: int = 1,
+    salting: Salting = NO_SALTING,
 ) -> DataFrame:
     """Non-equi join: ``lower <= right_on - left_on <= upper``, plus equal columns and a further condition if given.
 
     The number line is cut into buckets at least as wide as the band. A left row lies in one bucket and a right row
     can only meet left rows of two neighbouring buckets, so it is copied into these. The join is then an equi-join on
-    the bucket and compares near rows only, never all pairs of the two tables.
+    the bucket and compares near rows only, never all pairs of the two tables. ``salting`` spreads buckets further.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}")
@@ -132,12 +124,13 @@ def band_join(
     width = F.lit(max(upper - lower, 1))
 
     def one_bucket(df: DataFrame, column: str) -> DataFrame:
-        return df.withColumn("_bucket", F.floor(F.col(column) / width)).withColumn("_salt", salt_of(df.columns, salts))
+        placed = df.withColumn("_bucket", F.floor(F.col(column) / width))
+        return salting.spread(placed, [*equal, "_bucket"], df.columns)
 
     def near_buckets(df: DataFrame, column: str, back: int, ahead: int) -> DataFrame:
         first = F.floor((F.col(column) - F.lit(back)) / width)
         last = F.floor((F.col(column) - F.lit(ahead)) / width)
-        return replicate(df.withColumn("_bucket", F.explode(F.sequence(first, last))), salts)
+        return salting.copy(df.withColumn("_bucket", F.explode(F.sequence(first, last))), [*equal, "_bucket"])
 
     if how == "right":
         matched = None

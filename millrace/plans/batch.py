@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import aggregate, registry, scalar
 from millrace.operators import aggregates, joins, lateral, ordering, projection, running, windows
+from millrace.operators.salting import Salting
 from millrace.plans import tables as t
 from millrace.session import shared_folder
 from millrace.sinks import tables as sink_tables
@@ -225,7 +226,7 @@ def join_full(spark, sf_dir):
 @query(_order_lines_sql("FULL"))
 def join_full_salted(spark, sf_dir):
     lines, orders = _order_lines(spark, sf_dir)
-    return joins.regular_join(lines, orders, ["orderkey", "status"], "full", salts=4)
+    return joins.regular_join(lines, orders, ["orderkey", "status"], "full", salting=Salting(4))
 
 
 @query(

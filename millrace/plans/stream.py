@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates, joins, windows
+from millrace.operators.salting import Salting, find_hot_keys
 from millrace.plans import batch
 from millrace.plans import tables as t
 from millrace.plans.batch import LOG_SCHEMA, Query
@@ -19,10 +20,6 @@ from millrace.streaming import changelog_join, keyed, lookup, ordering, runner
 
 STREAM: dict[str, tuple[Query, str]] = {}
 
-# copies of the small side of a streaming join, over which one hot key of the big side is spread
-SALTS = 4
-
-
 def query(sql: str):
     def add(function: Query) -> Query:
         STREAM[function.__name__] = (function, sql)
@@ -146,15 +143,22 @@ def order_by_time_stream(spark, sf_dir):
 
 # ---- joins
 
+def _hot_orders(spark, sf_dir) -> Salting:
+    """Hot customers by what has been stored so far; the choice belongs to the stream's checkpoint."""
+    return find_hot_keys(t.ods_score(t.table(spark, sf_dir, "orders")), ["stu_no"])
+
+
 @query(
     "SELECT o_custkey AS stu_no, c_name AS stu_name, o_orderkey AS sub_no, CAST(floor(o_totalprice) AS INTEGER) AS score "
     "FROM orders JOIN customer ON o_custkey = c_custkey"
 )
 def stream_join_inner(spark, sf_dir):
+    hot = _hot_orders(spark, sf_dir)
+
     def build():
         scores = t.ods_score(t.table_stream(spark, sf_dir, "orders"))
         students = t.dim_student(t.table_stream(spark, sf_dir, "customer"))
-        joined = joins.regular_join(scores, students, ["stu_no"], salts=SALTS)
+        joined = joins.regular_join(scores, students, ["stu_no"], salting=hot)
         return joined.select("stu_no", "stu_name", "sub_no", "score")
 
     return t.run_append(spark, build)
@@ -187,35 +191,43 @@ _ORDERS_SQL = "SELECT o_custkey AS stu_no, o_orderkey AS sub_no, CAST(floor(o_to
 _EVENTS_SQL = "SELECT user_id AS stu_no, event_id AS sub_no, CAST(round(value * 100) AS INTEGER) AS score FROM events"
 
 
-def _event_scores(spark, sf_dir):
-    return t.table_stream(spark, sf_dir, "events").select(
+def _event_scores(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("user_id").alias("stu_no"), F.col("event_id").alias("sub_no"), t.cents("value").alias("score")
     )
 
 
 @query(_changelog_sql(_ORDERS_SQL, "LEFT"))
 def stream_join_changelog(spark, sf_dir):
+    hot = _hot_orders(spark, sf_dir)
+
     def build():
         scores = t.ods_score(t.table_stream(spark, sf_dir, "orders"))
-        return changelog_join.changelog_join(scores, _customer_changes(spark, sf_dir), ["stu_no"], "left", salts=SALTS)
+        return changelog_join.changelog_join(scores, _customer_changes(spark, sf_dir), ["stu_no"], "left", hot)
 
     return changelog.materialize(t.run_append(spark, build))
 
 
 @query(_changelog_sql(_EVENTS_SQL, "RIGHT"))
 def stream_join_changelog_right(spark, sf_dir):
+    hot = find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
+
     def build():
         changes = _customer_changes(spark, sf_dir)
-        return changelog_join.changelog_join(_event_scores(spark, sf_dir), changes, ["stu_no"], "right", salts=SALTS)
+        scores = _event_scores(t.table_stream(spark, sf_dir, "events"))
+        return changelog_join.changelog_join(scores, changes, ["stu_no"], "right", hot)
 
     return changelog.materialize(t.run_append(spark, build))
 
 
 @query(_changelog_sql(_EVENTS_SQL, "FULL"))
 def stream_join_changelog_full(spark, sf_dir):
+    hot = find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
+
     def build():
         changes = _customer_changes(spark, sf_dir)
-        return changelog_join.changelog_join(_event_scores(spark, sf_dir), changes, ["stu_no"], "full", salts=SALTS)
+        scores = _event_scores(t.table_stream(spark, sf_dir, "events"))
+        return changelog_join.changelog_join(scores, changes, ["stu_no"], "full", hot)
 
     return changelog.materialize(t.run_append(spark, build))
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import pathlib
-import shutil
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Settings that can be changed on a running session.
@@ -32,7 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    ship_package(spark)
+    ship_package()
     return spark
 
 
@@ -46,19 +45,15 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
-    ship_package(spark)
+    ship_package()
     return spark
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
-    context = spark.sparkContext
-    if getattr(context, "_millrace_shipped", False):
-        return
-    package = pathlib.Path(__file__).parent
-    archive = shutil.make_archive(tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/millrace", "zip", package.parent, package.name)
-    context.addPyFile(archive)
-    context._millrace_shipped = True
+def ship_package() -> None:
+    """Let Spark send this package's classes to the Python workers by value, so that none has to be installed there."""
+    import millrace
+
+    cloudpickle.register_pickle_by_value(millrace)
 
 
 def is_local(spark: SparkSession) -> bool:

@@ -4,8 +4,8 @@ Rows of both sides are kept in state with their multiplicity. A new or removed r
 or disappear; a row of an outer side without partner is padded with NULLs, and the padded row is removed as soon as a
 partner comes. At any time the net of all output equals the join of the current rows.
 
-A key with very many left rows is spread over ``salts`` groups by the content of the left row, and right rows are
-copied into each group. Padding of left rows is decided inside a group, since each group sees all right rows of its
+The left rows of a hot key are spread over groups by their content, and the right rows of that key are copied into
+each group. Padding of left rows is decided inside a group, since each group sees all right rows of its
 key. Whether a right row has any left partner cannot be seen inside one group; for that a second stage counts, per key,
 the groups that hold left rows. Groups report only when they become filled or empty.
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.operators.joins import replicate, salt_of
+from millrace.operators.salting import NO_SALTING, Salting
 from millrace.sources.changelog import DELETE, INSERT
 
 _COUNT = T.StructType([T.StructField("n", T.LongType())])
@@ -34,8 +34,13 @@ def _sign(op: str) -> int:
     return 1 if op == INSERT else -1
 
 
+def _split(change: Counter) -> tuple[dict[tuple, int], dict[tuple, int]]:
+    """Rows that go and rows that come."""
+    return {r: n for r, n in change.items() if n < 0}, {r: n for r, n in change.items() if n > 0}
+
+
 class _Counts:
-    """A multiset of rows in a map state."""
+    """A multiset of rows in a map state. Each method makes as few calls to the state store as it can."""
 
     def __init__(self, handle: StatefulProcessorHandle, name: str, schema: T.StructType, ttl_ms: int | None):
         self.state = handle.getMapState(name, schema, _COUNT, ttl_ms)
@@ -47,27 +52,51 @@ class _Counts:
         for row, count in self.state.iterator():
             yield tuple(row), count[0]
 
-    def add(self, row: tuple, change: int) -> None:
-        count = change + (self.state.getValue(row)[0] if self.state.containsKey(row) else 0)
-        if count > 0:
-            self.state.updateValue(row, (count,))
-        else:
-            self.state.removeKey(row)
+    def change(self, changes: dict[tuple, int], was_filled: bool = True) -> None:
+        for row, n in changes.items():
+            old = self.state.getValue(row) if was_filled else None
+            count = n + (old[0] if old else 0)
+            if count > 0:
+                self.state.updateValue(row, (count,))
+            elif old:
+                self.state.removeKey(row)
 
     def touch(self, row: tuple, count: int) -> None:
         """Write an entry again, which starts its time to live anew."""
         self.state.updateValue(row, (count,))
 
 
+class _Appended:
+    """Rows that are never removed, in a list state: the new ones of a micro-batch are appended in one call."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: T.StructType):
+        self.state = handle.getListState(name, schema)
+
+    def filled(self) -> bool:
+        return self.state.exists()
+
+    def items(self) -> Iterator[tuple[tuple, int]]:
+        for row in self.state.get():
+            yield tuple(row), 1
+
+    def change(self, changes: dict[tuple, int], was_filled: bool = True) -> None:
+        rows = [row for row, n in changes.items() for _ in range(n)]
+        if rows:
+            self.state.appendList(rows)
+
+
 class _DeltaJoin(StatefulProcessor):
     """First stage: joined rows and padded left rows of one key and salt."""
 
-    def __init__(self, keys, left, right, output, pad_left, report, ttl_ms):
-        self.keys, self.left, self.right, self.output = keys, left, right, output
-        self.pad_left, self.report, self.ttl_ms = pad_left, report, ttl_ms
+    def __init__(self, left, right, output, pad_left, report, ttl_ms, left_appends):
+        self.left, self.right, self.output = left, right, output
+        self.pad_left, self.report, self.ttl_ms, self.left_appends = pad_left, report, ttl_ms, left_appends
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lefts = _Counts(handle, "left", self.left, self.ttl_ms)
+        if self.left_appends and not self.ttl_ms:
+            self.lefts = _Appended(handle, "left", self.left)
+        else:
+            self.lefts = _Counts(handle, "left", self.left, self.ttl_ms)
         self.rights = _Counts(handle, "right", self.right, self.ttl_ms)
         self.row = Row(*self.output.names)
         self.no_left = (None,) * len(self.left)
@@ -98,25 +127,46 @@ class _DeltaJoin(StatefulProcessor):
                     yield from out(change, left, self.no_right)
             return
 
-        was_filled = self.lefts.filled() if self.report else False
-        removed = {left: n for left, n in left_change.items() if n < 0}
-        added = {left: n for left, n in left_change.items() if n > 0}
-        yield from self._pairs(removed, out)
-        for left, change in removed.items():
-            self.lefts.add(left, change)
-        yield from self._right_changes(right_change, out)
-        yield from self._pairs(added, out)
-        for left, change in added.items():
-            self.lefts.add(left, change)
-        if self.report and was_filled != self.lefts.filled():
-            yield from out(-1 if was_filled else 1, self.no_left, self.no_right, _OCCUPANCY)
-
-    def _pairs(self, change: dict[tuple, int], out) -> Iterator[Row]:
-        """Changed left rows with the right rows of now."""
-        if not change:
-            return
+        had_right = self.rights.filled()
+        had_left = self.lefts.filled() if self.report else True
+        left_removed, left_added = _split(left_change)
+        right_removed, right_added = _split(right_change)
+
+        # removed left rows leave the right rows of before
+        if left_removed:
+            yield from self._pairs(left_removed, self.rights.items() if had_right else (), out)
+            self.lefts.change(left_removed)
+        has_left = self.lefts.filled() if self.report and left_removed else had_left
+
+        # changed right rows meet the left rows that are left
+        if right_removed or right_added:
+            self.rights.change(right_removed)
+            self.rights.change(right_added, had_right)
+        has_right = bool(right_added) or (self.rights.filled() if right_removed else had_right)
+        if (right_removed or right_added) and has_left:
+            for left, count in self.lefts.items():
+                for right, n in right_removed.items():
+                    yield from out(n * count, left, right)
+                if self.pad_left and had_right != has_right:
+                    yield from out(count if had_right else -count, left, self.no_right)
+                for right, n in right_added.items():
+                    yield from out(n * count, left, right)
+                if self.ttl_ms and has_right:
+                    self.lefts.touch(left, count)
+
+        # new left rows meet the right rows of now
+        if left_added:
+            now = () if not has_right else self.rights.items() if had_right else right_added.items()
+            yield from self._pairs(left_added, now, out)
+            self.lefts.change(left_added, has_left)
+        if self.report:
+            now_left = has_left or bool(left_added)
+            if had_left != now_left:
+                yield from out(-1 if had_left else 1, self.no_left, self.no_right, _OCCUPANCY)
+
+    def _pairs(self, change: dict[tuple, int], rights, out) -> Iterator[Row]:
         matched = False
-        for right, count in self.rights.items():
+        for right, count in rights:
             matched = True
             for left, n in change.items():
                 yield from out(n * count, left, right)
@@ -126,26 +176,6 @@ class _DeltaJoin(StatefulProcessor):
             for left, n in change.items():
                 yield from out(n, left, self.no_right)
 
-    def _right_changes(self, change: Counter, out) -> Iterator[Row]:
-        """Changed right rows with the left rows of now; padding follows the right side becoming filled or empty."""
-        change = {right: n for right, n in change.items() if n}
-        if not change:
-            return
-        was_filled = self.rights.filled()
-        for right, n in change.items():
-            self.rights.add(right, n)
-        is_filled = self.rights.filled()
-        ordered = sorted(change.items(), key=lambda item: item[1] > 0)
-        for left, count in self.lefts.items():
-            if self.pad_left and not was_filled and is_filled:
-                yield from out(-count, left, self.no_right)
-            for right, n in ordered:
-                yield from out(n * count, left, right)
-            if self.pad_left and was_filled and not is_filled:
-                yield from out(count, left, self.no_right)
-            if self.ttl_ms and is_filled:
-                self.lefts.touch(left, count)
-
     def close(self) -> None:
         pass
 
@@ -153,8 +183,8 @@ class _DeltaJoin(StatefulProcessor):
 class _PadRight(StatefulProcessor):
     """Second stage: padded right rows of one key; joined rows pass through in groups of their own."""
 
-    def __init__(self, keys, left, right, output, ttl_ms):
-        self.keys, self.left, self.right, self.output, self.ttl_ms = keys, left, right, output, ttl_ms
+    def __init__(self, left, right, output, ttl_ms):
+        self.left, self.right, self.output, self.ttl_ms = left, right, output, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.groups = handle.getValueState("groups", "n bigint", self.ttl_ms)
@@ -172,7 +202,8 @@ class _PadRight(StatefulProcessor):
                 occupancy += _sign(row["_op"])
             else:
                 change[tuple(row[n] for n in self.right.names)] += _sign(row["_op"])
-        if not change and not occupancy:
+        removed, added = _split(change)
+        if not removed and not added and not occupancy:
             return
 
         def out(n: int, right: tuple) -> Iterator[Row]:
@@ -180,22 +211,19 @@ class _PadRight(StatefulProcessor):
             for _ in range(abs(n)):
                 yield made
 
-        before = self.groups.get()[0] if self.groups.exists() else 0
+        kept = self.groups.get()
+        before = kept[0] if kept else 0
         after = before + occupancy
         if occupancy:
             self.groups.update((after,))
-        removed = {right: n for right, n in change.items() if n < 0}
-        added = {right: n for right, n in change.items() if n > 0}
         if before == 0:
             for right, n in removed.items():
                 yield from out(n, right)
-        for right, n in removed.items():
-            self.rights.add(right, n)
+        self.rights.change(removed)
         if (before == 0) != (after == 0):
             for right, count in self.rights.items():
                 yield from out(count if after == 0 else -count, right)
-        for right, n in added.items():
-            self.rights.add(right, n)
+        self.rights.change(added)
         if after == 0:
             for right, n in added.items():
                 yield from out(n, right)
@@ -209,13 +237,13 @@ def changelog_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = 1,
+    salting: Salting = NO_SALTING,
     ttl_ms: int | None = None,
 ) -> DataFrame:
     """Inner, left, right or full join of two streams on equal keys, as a changelog.
 
     A side without a column ``_op`` only adds rows. The result has ``_op``, the keys and the other columns of both
-    sides, whose names must differ. With ``ttl_ms`` a row that has not met a partner for that long leaves the state.
+    sides, whose names must differ. ``salting`` must stay the same for the life of a checkpoint. With ``ttl_ms`` a row that has not met a partner for that long leaves the state.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be inner, left, right or full")
@@ -233,8 +261,11 @@ def changelog_join(
     def tagged(df: DataFrame, side: str) -> DataFrame:
         return (df if "_op" in df.columns else df.withColumn("_op", F.lit(INSERT))).withColumn("_side", F.lit(side))
 
-    lefts = tagged(left, "l").withColumn("_salt", salt_of([*keys, *left_schema.names], salts))
-    rights = replicate(tagged(right, "r"), salts)
+    # a key must have one type on both sides, also for the choice of its salts
+    for k in keys:
+        right = right.withColumn(k, F.col(k).cast(left.schema[k].dataType))
+    lefts = salting.spread(tagged(left, "l"), keys, [*keys, *left_schema.names])
+    rights = salting.copy(tagged(right, "r"), keys)
     changes = lefts.unionByName(rights, allowMissingColumns=True)
 
     key_fields = [T.StructField(k, left.schema[k].dataType) for k in keys]
@@ -250,11 +281,11 @@ def changelog_join(
     )
     pad_left, pad_right = how in ("left", "full"), how in ("right", "full")
     mode = "ProcessingTime" if ttl_ms else "None"
-    first = _DeltaJoin(keys, left_schema, right_schema, staged, pad_left, pad_right, ttl_ms)
+    first = _DeltaJoin(left_schema, right_schema, staged, pad_left, pad_right, ttl_ms, "_op" not in left.columns)
     result = changes.groupBy(*keys, "_salt").transformWithState(first, staged, "append", mode)
     if pad_right:
         # joined rows stay spread over the salts, what the padding needs meets in one group per key
         lane = F.when(F.col("_kind") == _JOINED, F.col("_salt")).otherwise(F.lit(-1))
-        second = _PadRight(keys, left_schema, right_schema, staged, ttl_ms)
+        second = _PadRight(left_schema, right_schema, staged, ttl_ms)
         result = result.withColumn("_lane", lane).groupBy(*keys, "_lane").transformWithState(second, staged, "append", mode)
     return result.select("_op", *keys, *left_schema.names, *right_schema.names)

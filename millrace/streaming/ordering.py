@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.joins import salt_of
+from millrace.operators.salting import Salting
 from millrace.operators.windows import with_watermark
 from millrace.session import fair_partitions
 from millrace.streaming.runner import start_batches
@@ -21,8 +21,7 @@ def hold_until_complete(df: DataFrame, ts: str, delay: str, bucket: str, salts:
     n = salts or fair_partitions(df.sparkSession)
     columns = df.columns
     held = (
-        with_watermark(df, ts, delay)
-        .withColumn("_salt", salt_of(columns, n))
+        Salting(n).spread(with_watermark(df, ts, delay), [], columns)
         .groupBy(F.window(ts, bucket).alias("_bucket"), "_salt")
         .agg(F.collect_list(F.struct(*columns)).alias("_rows"))
     )
