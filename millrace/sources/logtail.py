@@ -8,6 +8,7 @@ HDFS or object-store folder.
 
 from __future__ import annotations
 
+import decimal
 import posixpath
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -121,10 +122,11 @@ def _typed(text: pa.Array, kind: T.DataType) -> pa.Array:
     if isinstance(kind, T.DecimalType):
         exact = value.cast(pa.decimal256(76, 38))
         rounded = pc.round(exact, ndigits=kind.scale, round_mode="half_towards_infinity")
-        bound = pa.scalar(10 ** (kind.precision - kind.scale), pa.decimal256(76, 0))
-        fits = pc.less(pc.abs(rounded), bound)
-        kept = pc.if_else(fits, rounded, pa.scalar(None, rounded.type))
-        return kept.cast(pa.decimal128(kind.precision, kind.scale))
+        digits = kind.precision - kind.scale
+        if digits < 38:
+            fits = pc.less(pc.abs(rounded), pa.scalar(decimal.Decimal(10) ** digits, rounded.type))
+            rounded = pc.if_else(fits, rounded, pa.scalar(None, rounded.type))
+        return rounded.cast(pa.decimal128(kind.precision, kind.scale))
     raise ValueError(f"unsupported data type: {kind.simpleString()}")
 
 
