@@ -77,17 +77,11 @@ def regular_join(
     if how in ("inner", "left"):
         return matched
 
-    if condition is None:
-        # one row per key is enough to know which right rows have a partner
-        alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
-    else:
-        alone = _join(
-            salting.spread(right, keys, right.columns),
-            salting.copy(left, keys),
-            [*keys, "_salt"],
-            "left_anti",
-            condition,
-        )
+    # one row per key is enough to know which right rows have a partner, unless the other columns matter
+    partners = left.select(*keys).distinct() if condition is None else left
+    alone = _join(
+        salting.spread(right, keys, right.columns), salting.copy(partners, keys), [*keys, "_salt"], "left_anti", condition
+    )
     return matched.unionByName(alone.select(*keys, *[c for c in right.columns if c not in keys]), allowMissingColumns=True)
 
 
@@ -156,12 +150,22 @@ def band_join(
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
-def enrich(df: DataFrame, dim: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def enrich(
+    df: DataFrame,
+    dim: DataFrame,
+    key: str,
+    order: Sequence[str],
+    columns: Sequence[str],
+    salting: Salting = NO_SALTING,
+) -> DataFrame:
     """Add dimension columns; exactly one row per input row, NULL on a miss, the last duplicate by ``order`` wins.
 
     Duplicates are resolved by an aggregate that is combined before the shuffle. The dimension is loaded once per
-    query and broadcast by Spark if its measured size allows it.
+    query and broadcast by Spark if its measured size allows it; if not, ``salting`` spreads the rows of hot keys.
     """
     last = F.max_by(F.struct(*columns), F.struct(*order)).alias("_last")
     unique = dim.where(F.col(key).isNotNull()).groupBy(key).agg(last).select(key, "_last.*")
-    return df.join(unique, key, "left").select(*df.columns, *columns)
+    if salting.idle:
+        return df.join(unique, key, "left").select(*df.columns, *columns)
+    spread = salting.spread(df, [key], df.columns)
+    return spread.join(salting.copy(unique, [key]), [key, "_salt"], "left").select(*df.columns, *columns)

@@ -7,5 +7,5 @@ from pyspark.sql import functions as F
 
 
 def order_by_time(df: DataFrame, ts: str, *ties: str) -> DataFrame:
-    """Ascending by time. Spark samples the column and sorts ranges in parallel."""
+    """Ascending by time. Spark samples the columns and sorts ranges in parallel; ``ties`` split a crowded moment."""
     return df.orderBy(F.col(ts).asc(), *ties)

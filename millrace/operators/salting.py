@@ -48,14 +48,26 @@ class Salting:
 NO_SALTING = Salting(1)
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], salts: int | None = None) -> Salting:
-    """Look in a bounded table for keys with more rows than a fair share of one shuffle partition.
+# freqItems accepts no smaller support
+_LEAST_SUPPORT = 1e-4
 
-    The rows are counted with partial aggregation, and at most as many keys as there are partitions can exceed the
-    share, so what comes to the driver is small whatever the data look like.
+
+def find_hot_keys(tables: DataFrame | Sequence[DataFrame], keys: Sequence[str], salts: int | None = None) -> Salting:
+    """Look in bounded tables for keys with more rows than a fair share of one shuffle partition.
+
+    ``freqItems`` finds every such key in one pass, with counters of bounded size and no shuffle of the keys; the second
+    pass counts its candidates exactly. At most as many keys as there are partitions can exceed the share, so what
+    comes to the driver is small whatever the data look like.
     """
-    parts = fair_partitions(df.sparkSession)
-    counts = df.groupBy(*keys).count()
-    rows = df.count()
-    hot = counts.where(F.col("count") * parts > rows).select(F.xxhash64(*keys).alias("hash"))
-    return Salting(salts or parts, tuple(sorted(r["hash"] for r in hot.collect())))
+    tables = [tables] if isinstance(tables, DataFrame) else list(tables)
+    parts = fair_partitions(tables[0].sparkSession)
+    hot: set[int] = set()
+    for df in tables:
+        hashed = df.select(F.xxhash64(*[F.col(k).cast(tables[0].schema[k].dataType) for k in keys]).alias("hash"))
+        candidates = hashed.stat.freqItems(["hash"], max(1 / parts, _LEAST_SUPPORT)).first()[0]
+        if not candidates:
+            continue
+        counts = hashed.groupBy(F.when(F.col("hash").isin(candidates), F.col("hash")).alias("hash")).count().collect()
+        rows = sum(r["count"] for r in counts)
+        hot |= {r["hash"] for r in counts if r["hash"] is not None and r["count"] * parts > rows}
+    return Salting(salts or parts, tuple(sorted(hot)))

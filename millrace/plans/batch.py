@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import aggregate, registry, scalar
 from millrace.operators import aggregates, joins, lateral, ordering, projection, running, windows
-from millrace.operators.salting import Salting
+from millrace.operators.salting import Salting, find_hot_keys
 from millrace.plans import tables as t
 from millrace.session import shared_folder
 from millrace.sinks import tables as sink_tables
@@ -220,7 +220,8 @@ def join_right(spark, sf_dir):
 @query(_order_lines_sql("FULL"))
 def join_full(spark, sf_dir):
     lines, orders = _order_lines(spark, sf_dir)
-    return joins.regular_join(lines, orders, ["orderkey", "status"], "full")
+    hot = find_hot_keys([lines, orders], ["orderkey", "status"])
+    return joins.regular_join(lines, orders, ["orderkey", "status"], "full", salting=hot)
 
 
 @query(_order_lines_sql("FULL"))
@@ -297,7 +298,8 @@ def enrich_lookup(spark, sf_dir):
     dim = t.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("last_flag"), "l_shipdate", "l_linenumber"
     )
-    return joins.enrich(orders, dim, "o_orderkey", ["l_shipdate", "l_linenumber", "last_flag"], ["last_flag"])
+    hot = find_hot_keys(orders, ["o_orderkey"])
+    return joins.enrich(orders, dim, "o_orderkey", ["l_shipdate", "l_linenumber", "last_flag"], ["last_flag"], hot)
 
 
 LATERAL_SQL = """
@@ -474,7 +476,7 @@ def processing_time_tumble(spark, sf_dir):
 
 @query("SELECT CAST(user_id AS VARCHAR) AS stuname, event_type AS subject, CAST(round(value * 100) AS INTEGER) AS score, ts FROM events")
 def order_by_time(spark, sf_dir):
-    return ordering.order_by_time(t.score(t.table(spark, sf_dir, "events")).drop("event_id"), "ts")
+    return ordering.order_by_time(t.score(t.table(spark, sf_dir, "events")), "ts", "event_id").drop("event_id")
 
 
 @query(

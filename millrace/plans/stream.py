@@ -134,8 +134,8 @@ def processing_time_tumble_stream(spark, sf_dir):
 )
 def order_by_time_stream(spark, sf_dir):
     def start(path, checkpoint):
-        scores = t.zoned(t.score(t.table_stream(spark, sf_dir, "events")), "ts").drop("event_id")
-        return ordering.start_ordered(scores, "ts", path, checkpoint, "10 seconds", "1 minute")
+        scores = t.zoned(t.score(t.table_stream(spark, sf_dir, "events")), "ts")
+        return ordering.start_ordered(scores, "ts", path, checkpoint, "10 seconds", "1 minute", ties=["event_id"])
 
     rows = t.run_batches(spark, start)
     return t.zoneless(rows, "ts").select("stuname", "subject", "score", "ts").orderBy("ts")
@@ -176,6 +176,10 @@ def stream_join_theta(spark, sf_dir):
     return t.run_append(spark, build)
 
 
+def _hot_users(spark, sf_dir) -> Salting:
+    return find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
+
+
 def _customer_changes(spark, sf_dir):
     envelopes = t.customer_changes(t.table_stream(spark, sf_dir, "customer"))
     return changelog.decode_changes(envelopes, t.DIM_SCHEMA).select("_op", "stu_no", "stu_name", "segment")
@@ -210,7 +214,7 @@ def stream_join_changelog(spark, sf_dir):
 
 @query(_changelog_sql(_EVENTS_SQL, "RIGHT"))
 def stream_join_changelog_right(spark, sf_dir):
-    hot = find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
+    hot = _hot_users(spark, sf_dir)
 
     def build():
         changes = _customer_changes(spark, sf_dir)
@@ -222,7 +226,7 @@ def stream_join_changelog_right(spark, sf_dir):
 
 @query(_changelog_sql(_EVENTS_SQL, "FULL"))
 def stream_join_changelog_full(spark, sf_dir):
-    hot = find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
+    hot = _hot_users(spark, sf_dir)
 
     def build():
         changes = _customer_changes(spark, sf_dir)

@@ -21,9 +21,9 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, InputPartition
 
 FORMAT = "delimited_log"
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 128 << 20  # one task, unless the option range_bytes says otherwise
+BLOCK_BYTES = 1 << 20  # read and decoded at a time
 PROBE_BYTES = 64 << 10
-BATCH_LINES = 16_384
 
 
 @dataclass
@@ -68,40 +68,48 @@ def _after_last_newline(system: pafs.FileSystem, path: str, start: int, size: in
     return start
 
 
-def _ranges(path: str, start: int, limit: int) -> list[ByteRange]:
-    return [ByteRange(path, at, min(at + RANGE_BYTES, limit), limit) for at in range(start, limit, RANGE_BYTES)]
+def _ranges(path: str, start: int, limit: int, size: int) -> list[ByteRange]:
+    return [ByteRange(path, at, min(at + size, limit), limit) for at in range(start, limit, size)]
 
 
 def _lines(root: str, part: ByteRange) -> Iterator[pa.Array]:
-    """Lines of a range in Arrow batches; a line belongs to the range with its first byte."""
+    """Lines of a range, one Arrow array per block; a line belongs to the range with its first byte."""
     system, _ = _open(root)
     with system.open_input_file(part.path) as handle:
-        start = part.start
-        if start > 0 and handle.read_at(1, start - 1) != b"\n":
-            # the range begins inside a line of the range before it
-            while start < part.stop:
-                block = handle.read_at(min(PROBE_BYTES, part.limit - start), start)
-                found = block.find(b"\n")
-                if found >= 0:
-                    start += found + 1
-                    break
-                start += len(block)
-        if start >= part.stop:
-            return
-        data = handle.read_at(part.stop - start, start)
-        end = part.stop
-        while not data.endswith(b"\n") and end < part.limit:
-            block = handle.read_at(min(PROBE_BYTES, part.limit - end), end)
+        at = part.start
+        # a range that begins inside a line leaves that line to the range before it
+        skipping = at > 0 and handle.read_at(1, at - 1) != b"\n"
+        line_start, rest = at, b""
+        while at < part.limit:
+            block = handle.read_at(min(BLOCK_BYTES, part.limit - at), at)
             if not block:
                 break
-            found = block.find(b"\n")
-            data += block if found < 0 else block[: found + 1]
-            end += len(block)
-    lines = data.split(b"\n")
-    if lines and lines[-1] == b"":
-        lines.pop()
-    for at in range(0, len(lines), BATCH_LINES):
-        yield pc.utf8_rtrim(pa.array(lines[at : at + BATCH_LINES], pa.binary()).cast(pa.string()), "\r")
+            at += len(block)
+            if skipping:
+                found = block.find(b"\n")
+                if found < 0:
+                    continue
+                block, skipping = block[found + 1 :], False
+                line_start = at - len(block)
+            if line_start >= part.stop:
+                return
+            lines = (rest + block).split(b"\n")
+            rest = lines.pop()
+            kept = []
+            for line in lines:
+                if line_start >= part.stop:
+                    break
+                kept.append(line)
+                line_start += len(line) + 1
+            if kept:
+                yield _texts(kept)
+        if rest and not skipping and line_start < part.stop:
+            # the last line of the file, without a newline
+            yield _texts([rest])
+
+
+def _texts(lines: list[bytes]) -> pa.Array:
+    return pc.utf8_rtrim(pa.array(lines, pa.binary()).cast(pa.string()), "\r")
 
 
 def _typed(text: pa.Array, kind: T.DataType) -> pa.Array:
@@ -156,6 +164,7 @@ class _Decoder:
         self.root = options["path"]
         self.separator = options.get("separator", ",")
         self.fail = options.get("on_malformed", "drop") == "fail"
+        self.range_bytes = int(options.get("range_bytes", RANGE_BYTES))
         self.filters: dict[int, list] = {}
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
@@ -177,7 +186,7 @@ class LogReader(_Decoder, DataSourceReader):
             yield item
 
     def partitions(self) -> list[ByteRange]:
-        return [part for path, size in sorted(_files(self.root).items()) for part in _ranges(path, 0, size)]
+        return [part for path, size in sorted(_files(self.root).items()) for part in _ranges(path, 0, size, self.range_bytes)]
 
 
 class LogStreamReader(_Decoder, DataSourceStreamReader):
@@ -210,7 +219,7 @@ class LogStreamReader(_Decoder, DataSourceStreamReader):
             begin = start.get(path, 0)
             if limit < begin or sizes.get(path, 0) < limit:
                 raise ValueError(f"{path} became shorter: a log that is read as a stream may only grow")
-            parts.extend(_ranges(path, begin, limit))
+            parts.extend(_ranges(path, begin, limit, self.range_bytes))
         return parts
 
     def commit(self, end: dict) -> None:
@@ -218,7 +227,7 @@ class LogStreamReader(_Decoder, DataSourceStreamReader):
 
 
 class DelimitedLog(DataSource):
-    """Options: ``path`` (required), ``separator`` (``,``), ``on_malformed`` (``drop`` or ``fail``)."""
+    """Options: ``path`` (required), ``separator`` (``,``), ``on_malformed`` (``drop`` or ``fail``), ``range_bytes``."""
 
     @classmethod
     def name(cls) -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.ordering import order_by_time
 from millrace.operators.salting import Salting
 from millrace.operators.windows import with_watermark
 from millrace.session import fair_partitions
@@ -29,9 +32,18 @@ def hold_until_complete(df: DataFrame, ts: str, delay: str, bucket: str, salts:
 
 
 def start_ordered(
-    df: DataFrame, ts: str, path: str, checkpoint: str, delay: str = "10 seconds", bucket: str = "1 minute", trigger: dict | None = None
+    df: DataFrame,
+    ts: str,
+    path: str,
+    checkpoint: str,
+    delay: str = "10 seconds",
+    bucket: str = "1 minute",
+    ties: Sequence[str] = (),
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the stream in ascending event time: micro-batch after micro-batch, each sorted by a parallel range sort."""
-    return start_batches(
-        hold_until_complete(df, ts, delay, bucket), path, checkpoint, "append", lambda rows, _: rows.orderBy(ts), trigger
-    )
+    """Write the stream in ascending event time: micro-batch after micro-batch, each sorted by a parallel range sort.
+
+    Within a micro-batch the files follow each other by name. ``ties`` order rows of the same time.
+    """
+    held = hold_until_complete(df, ts, delay, bucket)
+    return start_batches(held, path, checkpoint, "append", lambda rows, _: order_by_time(rows, ts, *ties), trigger)

@@ -41,6 +41,7 @@ def scan(spark):
 
 def test_rows_of_a_log_without_final_newline(spark, scan, folder, rows):
     path = write(f"{folder}/scores.csv", "1,1,1\n1,2,3\n2,2,2\n3,1,3")
+    assert rows(logtail.read_log(spark, path, SCORES, range_bytes="5")) == [(1, 1, 1), (1, 2, 3), (2, 2, 2), (3, 1, 3)]
     for df in scan(path, SCORES):
         assert rows(df) == [(1, 1, 1), (1, 2, 3), (2, 2, 2), (3, 1, 3)]
         assert rows(projection.keep(df, "stu_no = 1", "sub_no <> 1")) == [(1, 2, 3)]
@@ -101,10 +102,10 @@ def test_byte_ranges_give_every_line_once(folder, monkeypatch, size):
     lines = ["", "a", "bb" * 20, "c", "", "dddd", "e" * 100, "f"]
     for end in ("", "\n"):
         path = write(f"{folder}/lines-{size}-{len(end)}", "\n".join(lines) + end)
-        monkeypatch.setattr(logtail, "RANGE_BYTES", size)
+        monkeypatch.setattr(logtail, "BLOCK_BYTES", 4)
         monkeypatch.setattr(logtail, "PROBE_BYTES", 5)
         total = os.path.getsize(path)
-        found = [v.as_py() for part in logtail._ranges(path, 0, total) for batch in logtail._lines(path, part) for v in batch]
+        found = [v.as_py() for part in logtail._ranges(path, 0, total, size) for batch in logtail._lines(path, part) for v in batch]
         assert found == lines
         complete = logtail._after_last_newline(pa.fs.LocalFileSystem(), path, 0, total)
         assert complete == (total if end else total - 1)
