@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from millrace.session import fair_partitions
 
 
+# number of the block that stands for everything before the given rows
+BEFORE_ALL = -1
+
+
 def with_block(df: DataFrame, order: str, blocks: int | None = None, name: str = "_block") -> DataFrame:
     """Number the blocks of equal row count along a numeric or time column.
 
@@ -44,64 +48,79 @@ def running_total(
     value: str | Column,
     name: str = "running_total",
     blocks: int | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Sum of the values of a key up to and including each row; ``order`` must be unique within a key."""
+    """Sum of the values of a key up to and including each row; ``order`` must be unique within a key.
+
+    ``before`` gives totals to start from, with the keys and a column ``_sum`` (see ``totals``).
+    """
     column = F.col(value) if isinstance(value, str) else value
     rows = with_block(df.withColumn("_value", column), order, blocks)
+    sums = rows.groupBy(*keys, "_block").agg(F.sum("_value").alias("_sum"))
+    if before is not None:
+        sums = sums.unionByName(before.withColumn("_block", F.lit(BEFORE_ALL)))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    brought = (
-        rows.groupBy(*keys, "_block")
-        .agg(F.sum("_value").alias("_sum"))
-        .select(*keys, "_block", F.sum("_sum").over(earlier).alias("_value"))
-    )
-    inside = _inside([*keys, "_block"], order)
+    brought = sums.select(*keys, "_block", F.sum("_sum").over(earlier).alias("_value"))
     return (
         _open_blocks(rows, brought)
-        .withColumn(name, F.sum("_value").over(inside))
+        .withColumn(name, F.sum("_value").over(_inside([*keys, "_block"], order)))
         .where("_is_row")
         .select(*df.columns, name)
     )
 
 
-def first_arrival_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    order: str,
-    blocks: int | None = None,
-) -> DataFrame:
+def totals(df: DataFrame, keys: Sequence[str], value: str | Column, before: DataFrame | None = None) -> DataFrame:
+    """The total per key after these rows, to start the next ones from."""
+    column = F.col(value) if isinstance(value, str) else value
+    sums = df.groupBy(*keys).agg(F.sum(column).alias("_sum"))
+    return sums if before is None else sums.unionByName(before).groupBy(*keys).agg(F.sum("_sum").alias("_sum"))
+
+
+def first_arrival_join(left: DataFrame, right: DataFrame, key: str, order: str, blocks: int | None = None) -> DataFrame:
     """Join two row sequences by who came first.
 
     For each key the side of its very first row is buffered for good: a new row of that side replaces the buffer, and
     each row of the other side comes out joined with the buffer of that moment. ``order`` is a column of both inputs
     that is unique within a key. The result has the key, the order of the emitting row and the other columns of both.
     """
+    return join_tagged(tag_sides(left, right, key, order), key, order, blocks)
+
+
+def tag_sides(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows of both sides with ``_side`` and their other columns in ``_l`` or ``_r``; a NULL key never meets a partner."""
     left_columns = [c for c in left.columns if c not in (key, order)]
     right_columns = [c for c in right.columns if c not in (key, order)]
     if set(left_columns) & set(right_columns):
         raise ValueError("rename the columns that both sides have")
-    tagged = (
-        left.select(key, order, F.lit("l").alias("_side"), F.struct(*left_columns).alias("_l"))
-        .unionByName(right.select(key, order, F.lit("r").alias("_side"), F.struct(*right_columns).alias("_r")), allowMissingColumns=True)
-        .where(F.col(key).isNotNull())
-    )
-    rows = with_block(tagged, order, blocks)
+    lefts = left.select(key, order, F.lit("l").alias("_side"), F.struct(*left_columns).alias("_l"))
+    rights = right.select(key, order, F.lit("r").alias("_side"), F.struct(*right_columns).alias("_r"))
+    return lefts.unionByName(rights, allowMissingColumns=True).where(F.col(key).isNotNull())
+
 
-    def newest(side: str) -> Column:
-        return F.max_by(f"_{side}", F.when(F.col("_side") == side, F.col(order)))
+def _of_side(column: str, side: str) -> Column:
+    return F.when(F.col("_side") == side, F.col(column))
 
+
+def join_tagged(
+    tagged: DataFrame, key: str, order: str, blocks: int | None = None, before: DataFrame | None = None
+) -> DataFrame:
+    """First-arrival join of tagged rows; ``before`` is what earlier rows left behind (see ``arrivals``)."""
+    rows = with_block(tagged, order, blocks)
+    blocks_seen = rows.groupBy(key, "_block").agg(
+        F.min_by("_side", order).alias("_first"),
+        F.max_by("_l", _of_side(order, "l")).alias("_l"),
+        F.max_by("_r", _of_side(order, "r")).alias("_r"),
+    )
+    if before is not None:
+        blocks_seen = blocks_seen.unionByName(before.withColumn("_block", F.lit(BEFORE_ALL)))
     by_key = Window.partitionBy(key).orderBy("_block")
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    brought = (
-        rows.groupBy(key, "_block")
-        .agg(F.min_by("_side", order).alias("_opens"), newest("l").alias("_last_l"), newest("r").alias("_last_r"))
-        .select(
-            key,
-            "_block",
-            F.first("_opens").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"),
-            F.last("_last_l", ignorenulls=True).over(earlier).alias("_l"),
-            F.last("_last_r", ignorenulls=True).over(earlier).alias("_r"),
-        )
+    brought = blocks_seen.select(
+        key,
+        "_block",
+        F.first("_first").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"),
+        F.last("_l", ignorenulls=True).over(earlier).alias("_l"),
+        F.last("_r", ignorenulls=True).over(earlier).alias("_r"),
     )
     inside = _inside([key, "_block"], order)
     emitted = (
@@ -111,8 +130,25 @@ def first_arrival_join(
         .withColumn("_r", F.last("_r", ignorenulls=True).over(inside))
         .where(F.col("_is_row") & (F.col("_side") != F.col("_first")))
     )
-    return emitted.select(
-        key, order, *[F.col(f"_l.{c}") for c in left_columns], *[F.col(f"_r.{c}") for c in right_columns]
+    return emitted.select(key, order, "_l.*", "_r.*")
+
+
+def arrivals(tagged: DataFrame, key: str, order: str, before: DataFrame | None = None) -> DataFrame:
+    """Per key the side that came first and its newest row, for the rows that come next."""
+    seen = tagged.groupBy(key).agg(
+        F.min_by("_side", order).alias("_first"),
+        F.max_by("_l", _of_side(order, "l")).alias("_l"),
+        F.max_by("_r", _of_side(order, "r")).alias("_r"),
+    )
+    if before is not None:
+        both = seen.withColumn("_age", F.lit(1)).unionByName(before.withColumn("_age", F.lit(0)))
+        seen = both.groupBy(key).agg(
+            F.min_by("_first", "_age").alias("_first"),
+            F.max_by("_l", F.when(F.col("_l").isNotNull(), F.col("_age"))).alias("_l"),
+            F.max_by("_r", F.when(F.col("_r").isNotNull(), F.col("_age"))).alias("_r"),
+        )
+    return seen.select(
+        key, "_first", F.when(F.col("_first") == "l", F.col("_l")).alias("_l"), F.when(F.col("_first") == "r", F.col("_r")).alias("_r")
     )
 
 

@@ -16,7 +16,7 @@ from millrace.plans.batch import LOG_SCHEMA, Query
 from millrace.session import shared_folder
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, logtail, messages
-from millrace.streaming import changelog_join, keyed, lookup, ordering, runner
+from millrace.streaming import carried, changelog_join, keyed, lookup, ordering, runner
 
 STREAM: dict[str, tuple[Query, str]] = {}
 
@@ -94,6 +94,15 @@ def running_total_stream(spark, sf_dir):
     return t.run_append(spark, build)
 
 
+@query(batch.RUNNING_SQL)
+def running_total_large_batches(spark, sf_dir):
+    def start(path, checkpoint):
+        events = t.table_stream(spark, sf_dir, "events").select("user_id", "event_id", t.cents("value").alias("amount"))
+        return carried.start_running_total(events, "user_id", "event_id", "amount", path, checkpoint)
+
+    return t.run_batches(spark, start).drop("amount", "batch")
+
+
 # ---- windows and order
 
 @query(_closed(batch.TUMBLE_SQL))
@@ -267,3 +276,13 @@ def first_arrival_join_stream(spark, sf_dir):
         return keyed.first_arrival_join(clicks, views, "user_id", "event_id")
 
     return t.run_append(spark, build)
+
+
+@query(batch.FIRST_ARRIVAL_SQL)
+def first_arrival_join_large_batches(spark, sf_dir):
+    def start(path, checkpoint):
+        clicks = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events"))[0]
+        views = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events"))[1]
+        return carried.start_first_arrival_join(clicks, views, "user_id", "event_id", path, checkpoint)
+
+    return t.run_batches(spark, start).drop("batch")

@@ -1,7 +1,8 @@
 """Keyed stateful operators on streams: running total and first-arrival join.
 
 State lives in the state store (RocksDB), one entry per key. The rows of a key within a micro-batch are put in order
-first; how many these can be is bounded by the source's rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
+first; how many these can be is bounded by the source's rate limit (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``).
+For micro-batches that are too large for that, or keys that are too hot, use ``millrace.streaming.carried``.
 """
 
 from __future__ import annotations

@@ -14,8 +14,9 @@ from millrace.operators import aggregates, joins, windows
 from millrace.operators.salting import Salting
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, messages
-from millrace.streaming import keyed, lookup, ordering, runner
+from millrace.streaming import carried, keyed, lookup, ordering, runner
 from millrace.streaming.changelog_join import changelog_join
+from tests.test_batch import first_arrival_by_hand
 
 
 class Feed:
@@ -285,6 +286,31 @@ def test_running_total_resumes_from_its_state(feed, run, rows):
     ) == [(1, 1, 5), (1, 2, 15), (1, 3, 16), (2, 2, 4), (2, 1, None)]
 
 
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_large_batches_equal_keyed_state(spark, feed, folder, rows, blocks):
+    random.seed(blocks)
+    left, right = feed("left", "id int, seq int, a int"), feed("right", "id int, seq int, b int")
+    lines = feed("lines", "id int, seq int, v int")
+    events, totals, expected = [], {}, []
+    for part in range(6):
+        mine = [(random.choice([1, 1, 1, 2, 3, 4 + part]), part * 100 + i, random.choice("lr"), random.randrange(50)) for i in range(60)]
+        events += mine
+        left.add(*[{"id": k, "seq": s, "a": v} for k, s, side, v in mine if side == "l"])
+        right.add(*[{"id": k, "seq": s, "b": v} for k, s, side, v in mine if side == "r"])
+        lines.add(*[{"id": k, "seq": s, "v": v} for k, s, _, v in mine])
+        for k, s, _, v in mine:
+            totals[k] = totals.get(k, 0) + v
+            expected.append((k, s, totals[k]))
+        if part % 2:
+            # stop and start again after every other part
+            runner.finish(carried.start_first_arrival_join(left.stream(), right.stream(), "id", "seq", f"{folder}/j", f"{folder}/jc", blocks))
+            runner.finish(carried.start_running_total(lines.stream(), "id", "seq", "v", f"{folder}/t", f"{folder}/tc", "total", blocks))
+    joined = runner.read_batches(spark, f"{folder}/j").select("id", "seq", "a", "b")
+    assert sorted((tuple(r) for r in joined.collect()), key=lambda r: r[1]) == first_arrival_by_hand(events)
+    summed = runner.read_batches(spark, f"{folder}/t").select("id", "seq", "total")
+    assert sorted(tuple(r) for r in summed.collect()) == sorted(expected)
+
+
 def test_lookup_sees_the_table_of_the_moment(spark, feed, run, rows, folder):
     scores = feed("scores", "stu_no int, score int")
     dim = f"{folder}/dim"
