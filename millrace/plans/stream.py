@@ -16,7 +16,7 @@ from millrace.plans.batch import LOG_SCHEMA, Query
 from millrace.session import shared_folder
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, logtail, messages
-from millrace.streaming import carried, changelog_join, keyed, lookup, ordering, runner
+from millrace.streaming import carried, changelog_band, changelog_join, keyed, lookup, ordering, runner
 
 STREAM: dict[str, tuple[Query, str]] = {}
 
@@ -185,6 +185,28 @@ def stream_join_theta(spark, sf_dir):
     return t.run_append(spark, build)
 
 
+def _theta_changes(spark, sf_dir, how):
+    def build():
+        purchases = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events"))[0]
+        views = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events"))[1]
+        return changelog_band.changelog_band_join(
+            purchases, views, "purchase_id", "view_id", -5, -1, how,
+            matches=lambda purchase, view: view.viewer != purchase.buyer,
+        )
+
+    return changelog.materialize(t.run_append(spark, build))
+
+
+@query(batch._theta_sql("LEFT"))
+def stream_join_theta_left(spark, sf_dir):
+    return _theta_changes(spark, sf_dir, "left")
+
+
+@query(batch._theta_sql("FULL"))
+def stream_join_theta_full(spark, sf_dir):
+    return _theta_changes(spark, sf_dir, "full")
+
+
 def _hot_users(spark, sf_dir) -> Salting:
     return find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
 

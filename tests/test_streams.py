@@ -15,6 +15,7 @@ from millrace.operators.salting import Salting
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, messages
 from millrace.streaming import carried, keyed, lookup, ordering, runner
+from millrace.streaming.changelog_band import changelog_band_join
 from millrace.streaming.changelog_join import changelog_join
 from tests.test_batch import first_arrival_by_hand
 
@@ -204,6 +205,36 @@ def test_changelog_join_nets_to_the_batch_join(spark, feed, run, rows, how):
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_changelog_band_join_nets_to_the_batch_join(spark, feed, run, how):
+    random.seed(13)
+    left, right = feed("left", "_op string, g int, x int, a int"), feed("right", "_op string, g int, y int, b int")
+    live_left, live_right = [], []
+
+    def change(live, place, name):
+        if live and random.random() < 0.4:
+            return {"_op": "-D", **live.pop(random.randrange(len(live)))}
+        row = {"g": random.choice([None, 1, 1, 1, 2]), place: random.choice([None, *range(12)]), name: random.randrange(3)}
+        live.append(row)
+        return {"_op": "+I", **row}
+
+    def build():
+        return changelog_band_join(
+            left.stream(), right.stream(), "x", "y", -3, 1, how, ["g"], lambda l, r: l.a != r.b, Salting(2)
+        )
+
+    for _ in range(3):
+        left.add(*[change(live_left, "x", "a") for _ in range(40)])
+        right.add(*[change(live_right, "y", "b") for _ in range(40)])
+        out = run(build())
+    l = spark.createDataFrame([tuple(r.values()) for r in live_left], "g int, x int, a int")
+    r = spark.createDataFrame([tuple(r.values()) for r in live_right], "h int, y int, b int")
+    near = (F.col("g") == F.col("h")) & (F.col("y") - F.col("x")).between(-3, 1) & (F.col("a") != F.col("b"))
+    expected = l.join(r, near, how).select(F.coalesce("g", "h").alias("g"), "x", "a", "y", "b")
+    got = changelog.materialize(out)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def test_left_join_retracts_the_padded_row(feed, run, rows):
     scores = feed("scores", "stu_no int, sub_no int, score int")
     students = feed("students", "value string")
