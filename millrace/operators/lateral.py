@@ -16,7 +16,8 @@ def lateral_left_join(df: DataFrame, function: str, arguments: Sequence[str], co
     view = f"_lateral_{id(df)}"
     df.createOrReplaceTempView(view)
     try:
-        call = f"{function}({', '.join('s.' + a for a in arguments)})"
-        return spark.sql(f"SELECT s.*, {', '.join('t.' + c for c in columns)} FROM {view} s LEFT JOIN LATERAL {call} AS t({', '.join(columns)}) ON true")
+        call = f"{function}({', '.join('s.' + a for a in arguments)}) AS t({', '.join(columns)})"
+        made = ", ".join(f"t.{c}" for c in columns)
+        return spark.sql(f"SELECT s.*, {made} FROM {view} s LEFT JOIN LATERAL {call} ON true")
     finally:
         spark.catalog.dropTempView(view)

@@ -491,5 +491,8 @@ def session_zone_day(spark, sf_dir):
     """Day windows that begin at local midnight, shown in local time."""
     rows = t.zoned(t.income(t.table(spark, sf_dir, "events")), "ts")
     days = windows.tumble(rows, "ts", "1 day", total(), offset=windows.day_offset("Asia/Shanghai"))
-    local = [F.convert_timezone(F.lit("UTC"), F.lit("Asia/Shanghai"), F.col(c).cast("timestamp_ntz")) for c in ("window_start", "window_end")]
-    return days.select(local[0].alias("local_start"), local[1].alias("local_end"), "total_amount")
+
+    def local(column: str):
+        return F.convert_timezone(F.lit("UTC"), F.lit("Asia/Shanghai"), F.col(column).cast("timestamp_ntz"))
+
+    return days.select(local("window_start").alias("local_start"), local("window_end").alias("local_end"), "total_amount")

@@ -88,7 +88,7 @@ def group_sum_stream(spark, sf_dir):
 @query(batch.RUNNING_SQL)
 def running_total_stream(spark, sf_dir):
     def build():
-        events = t.table_stream(spark, sf_dir, "events").select("user_id", "event_id", t.cents("value").alias("amount"))
+        events = t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES).select("user_id", "event_id", t.cents("value").alias("amount"))
         return keyed.running_total(events, "user_id", "event_id", "amount").drop("amount")
 
     return t.run_append(spark, build)
@@ -187,8 +187,8 @@ def stream_join_theta(spark, sf_dir):
 
 def _theta_changes(spark, sf_dir, how):
     def build():
-        purchases = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events"))[0]
-        views = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events"))[1]
+        purchases = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[0]
+        views = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[1]
         return changelog_band.changelog_band_join(
             purchases, views, "purchase_id", "view_id", -5, -1, how,
             matches=lambda purchase, view: view.viewer != purchase.buyer,
@@ -212,7 +212,7 @@ def _hot_users(spark, sf_dir) -> Salting:
 
 
 def _customer_changes(spark, sf_dir):
-    envelopes = t.customer_changes(t.table_stream(spark, sf_dir, "customer"))
+    envelopes = t.customer_changes(t.table_stream(spark, sf_dir, "customer", t.KEYED_BATCH_BYTES))
     return changelog.decode_changes(envelopes, t.DIM_SCHEMA).select("_op", "stu_no", "stu_name", "segment")
 
 
@@ -237,7 +237,7 @@ def stream_join_changelog(spark, sf_dir):
     hot = _hot_orders(spark, sf_dir)
 
     def build():
-        scores = t.ods_score(t.table_stream(spark, sf_dir, "orders"))
+        scores = t.ods_score(t.table_stream(spark, sf_dir, "orders", t.KEYED_BATCH_BYTES))
         return changelog_join.changelog_join(scores, _customer_changes(spark, sf_dir), ["stu_no"], "left", hot)
 
     return changelog.materialize(t.run_append(spark, build))
@@ -249,7 +249,7 @@ def stream_join_changelog_right(spark, sf_dir):
 
     def build():
         changes = _customer_changes(spark, sf_dir)
-        scores = _event_scores(t.table_stream(spark, sf_dir, "events"))
+        scores = _event_scores(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))
         return changelog_join.changelog_join(scores, changes, ["stu_no"], "right", hot)
 
     return changelog.materialize(t.run_append(spark, build))
@@ -261,7 +261,7 @@ def stream_join_changelog_full(spark, sf_dir):
 
     def build():
         changes = _customer_changes(spark, sf_dir)
-        scores = _event_scores(t.table_stream(spark, sf_dir, "events"))
+        scores = _event_scores(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))
         return changelog_join.changelog_join(scores, changes, ["stu_no"], "full", hot)
 
     return changelog.materialize(t.run_append(spark, build))
@@ -293,8 +293,8 @@ def lookup_join_cached(spark, sf_dir):
 @query(batch.FIRST_ARRIVAL_SQL)
 def first_arrival_join_stream(spark, sf_dir):
     def build():
-        clicks = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events"))[0]
-        views = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events"))[1]
+        clicks = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[0]
+        views = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[1]
         return keyed.first_arrival_join(clicks, views, "user_id", "event_id")
 
     return t.run_append(spark, build)

@@ -35,9 +35,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's files as a stream; the pattern matches one file as well as a folder of files."""
-    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet*")
+# Input of one micro-batch for operators whose Python state processors hold the changes of a key in memory.
+KEYED_BATCH_BYTES = 64 << 30
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_bytes: int | None = None) -> DataFrame:
+    """The table's files as a stream; the pattern matches one file as well as a folder of files.
+
+    ``max_bytes`` limits a micro-batch. Without it one micro-batch takes all files, which suits aggregates that Spark
+    combines before the shuffle.
+    """
+    reader = spark.readStream.schema(SCHEMAS[name])
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    return reader.parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def zoned(df: DataFrame, *names: str) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,15 +30,11 @@ def start_carried(stream: DataFrame, step: Step, path: str, checkpoint: str, tri
         return f"{checkpoint}-carried/slot={batch_id % KEPT_STATES}"
 
     def save(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            before = spark.read.parquet(state_path(batch_id - 1)) if batch_id else None
-            output, after = step(rows, before)
-            after.write.mode("overwrite").parquet(state_path(batch_id))
-            output.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        finally:
-            rows.unpersist()
+        # the rows are read from the source more than once, each time only the columns that are needed
+        before = rows.sparkSession.read.parquet(state_path(batch_id - 1)) if batch_id else None
+        output, after = step(rows, before)
+        after.write.mode("overwrite").parquet(state_path(batch_id))
+        output.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
