@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import fair_partitions
 
@@ -21,6 +22,18 @@ from millrace.session import fair_partitions
 BEFORE_ALL = -1
 
 
+def _as_number(df: DataFrame, order: str) -> Column:
+    """The order column as a number that grows with it, whatever the session's time zone is."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(order).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        since = f"(`{order}` - TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+        units = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
+        return F.expr(" + ".join(f"CAST(extract({u} FROM {since}) AS DOUBLE) * {n}" for u, n in units.items()))
+    return F.col(order).cast("double")
+
+
 def with_block(df: DataFrame, order: str, blocks: int | None = None, name: str = "_block") -> DataFrame:
     """Number the blocks of equal row count along a numeric or time column.
 
@@ -28,7 +41,7 @@ def with_block(df: DataFrame, order: str, blocks: int | None = None, name: str =
     work is divided; every row falls into exactly one block and blocks follow the order of the column.
     """
     n = blocks if blocks is not None else fair_partitions(df.sparkSession)
-    position = F.col(order).cast("double")
+    position = _as_number(df, order)
     if n <= 1:
         return df.withColumn(name, F.lit(0))
     shares = [i / n for i in range(1, n)]

@@ -42,6 +42,12 @@ def day_offset(zone: str) -> str:
     return f"{int((-jan).total_seconds()) % 86_400} seconds"
 
 
+def local_time(column: str | Column, zone: str) -> Column:
+    """The wall-clock time of an instant in a zone, independent of the session's zone."""
+    instant = F.col(column) if isinstance(column, str) else column
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
+
+
 def with_watermark(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
     """Declare event time; ``delay`` is the bounded out-of-orderness. No effect on a bounded table."""
     return df.withWatermark(ts, delay) if df.isStreaming else df
@@ -59,15 +65,56 @@ def _bounds(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def tumble(df: DataFrame, ts: str, size: str, aggs: Sequence[Column], keys: Sequence[str] = (), offset: str | None = None) -> DataFrame:
+def tumble(
+    df: DataFrame, ts: str, size: str, aggs: Sequence[Column], keys: Sequence[str] = (), offset: str | None = None
+) -> DataFrame:
     """Aggregate over windows ``[start, end)`` of one size that do not overlap."""
     window = F.window(ts, size, size, offset) if offset else F.window(ts, size)
     return _bounds(df.groupBy(*keys, window.alias("window")).agg(*aggs), keys)
 
 
-def hop(df: DataFrame, ts: str, slide: str, size: str, aggs: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
-    """Aggregate over windows of ``size`` that start every ``slide`` (the slide comes first)."""
-    return _bounds(df.groupBy(*keys, F.window(ts, size, slide).alias("window")).agg(*aggs), keys)
+# How an aggregate over rows is made, and how partial ones over short windows are merged into longer windows.
+_PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+Merged = Mapping[str, tuple[str, Column | str]]
+
+
+def _reduced(
+    df: DataFrame, ts: str, pane: str, aggs: Merged, keys: Sequence[str], offset: str = "0 seconds"
+) -> tuple[DataFrame, list[Column]]:
+    """A bounded table reduced to one row per key and pane, and the aggregates that finish the work.
+
+    The time is in ``_time``. A stream is left as it is: a pane would close before the longer windows that hold it,
+    and rows that come in between would be lost to them.
+    """
+    unknown = {how for how, _ in aggs.values()} - _MERGE.keys()
+    if unknown:
+        raise ValueError(f"cannot merge {sorted(unknown)}")
+    whole = [_PARTIAL[how](column).alias(name) for name, (how, column) in aggs.items()]
+    if df.isStreaming:
+        return df.withColumn("_time", F.col(ts)), whole
+    panes = df.groupBy(*keys, F.window(ts, pane, pane, offset).alias("_pane")).agg(*whole)
+    merged = [_MERGE[how](name).alias(name) for name, (how, _) in aggs.items()]
+    return panes.withColumn("_time", F.window_time("_pane")), merged
+
+
+def hop(
+    df: DataFrame, ts: str, slide: str, size: str, aggs: Sequence[Column] | Merged, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Aggregate over windows of ``size`` that start every ``slide`` (the slide comes first).
+
+    With ``aggs`` as a mapping of result names to (``sum`` | ``count`` | ``min`` | ``max``, column) and a size that is
+    a multiple of the slide, the rows of a bounded table are first reduced to one per slide, and only these are copied
+    into the ``size / slide`` windows that overlap. Otherwise each row is copied into its windows.
+    """
+    rows = df.withColumn("_time", F.col(ts))
+    if isinstance(aggs, Mapping):
+        if interval_ms(size) % interval_ms(slide):
+            aggs = [_PARTIAL[how](column).alias(name) for name, (how, column) in aggs.items()]
+        else:
+            rows, aggs = _reduced(df, ts, slide, aggs, keys)
+    return _bounds(rows.groupBy(*keys, F.window("_time", size, slide).alias("window")).agg(*aggs), keys)
 
 
 def tumble_rows(df: DataFrame, ts: str, size: str) -> DataFrame:
@@ -84,47 +131,35 @@ def tumble_rows(df: DataFrame, ts: str, size: str) -> DataFrame:
     )
 
 
-# How a partial aggregate over one step is merged into the longer windows.
-_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-_PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-
-
 def cumulate(
     df: DataFrame,
     ts: str,
     step: str,
     max_size: str,
-    aggs: Mapping[str, tuple[str, Column | str]],
+    aggs: Merged,
     keys: Sequence[str] = (),
     offset: str = "0 seconds",
 ) -> DataFrame:
     """Windows that all start with the period of ``max_size`` and end one ``step`` after the other.
 
-    ``aggs`` maps a result name to (``sum`` | ``count`` | ``min`` | ``max``, column). The rows are first reduced to one
-    row per step; only these rows are copied into the up to ``max_size / step`` longer windows, so the copies do not
-    grow with the input. A step without rows still gives a row if an earlier step of its period has one.
+    ``aggs`` maps a result name to (``sum`` | ``count`` | ``min`` | ``max``, column). The rows of a bounded table are
+    first reduced to one per step; only these are copied into the up to ``max_size / step`` longer windows, so the
+    copies do not grow with the input. A step without rows still gives a row if an earlier step of its period has one.
     """
     step_ms, max_ms = interval_ms(step), interval_ms(max_size)
     if max_ms % step_ms:
         raise ValueError("the maximum size must be a multiple of the step")
-    unknown = {how for how, _ in aggs.values()} - _MERGE.keys()
-    if unknown:
-        raise ValueError(f"cannot merge {sorted(unknown)}")
-
-    partial = df.groupBy(*keys, F.window(ts, step, step, offset).alias("_step")).agg(
-        *[_PARTIAL[how](column).alias(name) for name, (how, column) in aggs.items()]
-    )
+    rows, finish = _reduced(df, ts, step, aggs, keys, offset)
     # The hop of size max and slide step, cut where it crosses the end of the period. The start of the period is
     # derived by arithmetic, so that the window stays the only event-time column among the grouping keys.
     length = F.expr(f"interval {max_ms} millisecond")
     merged = (
-        partial.withColumn("_time", F.window_time("_step"))
-        .withColumn("_period", F.window("_time", max_size, max_size, offset))
+        rows.withColumn("_period", F.window("_time", max_size, max_size, offset))
         .withColumn("_start", F.col("_period.end") - length)
         .withColumn("_window", F.window("_time", max_size, step, offset))
         .where(F.col("_window.end") <= F.col("_start") + length)
         .groupBy(*keys, "_window", "_start")
-        .agg(*[_MERGE[how](name).alias(name) for name, (how, _) in aggs.items()])
+        .agg(*finish)
     )
     return merged.select(*keys, F.col("_start").alias("window_start"), F.col("_window.end").alias("window_end"), *aggs)
 

@@ -459,7 +459,7 @@ def tumble_rows(spark, sf_dir):
 
 @query(HOP_SQL)
 def hop(spark, sf_dir):
-    return windows.hop(t.income(t.table(spark, sf_dir, "events")), "ts", "10 minutes", "1 hour", total())
+    return windows.hop(t.income(t.table(spark, sf_dir, "events")), "ts", "10 minutes", "1 hour", {"total_amount": ("sum", "amount")})
 
 
 @query(CUMULATE_SQL)
@@ -491,8 +491,21 @@ def session_zone_day(spark, sf_dir):
     """Day windows that begin at local midnight, shown in local time."""
     rows = t.zoned(t.income(t.table(spark, sf_dir, "events")), "ts")
     days = windows.tumble(rows, "ts", "1 day", total(), offset=windows.day_offset("Asia/Shanghai"))
+    start, end = (windows.local_time(column, "Asia/Shanghai") for column in ("window_start", "window_end"))
+    return days.select(start.alias("local_start"), end.alias("local_end"), "total_amount")
 
-    def local(column: str):
-        return F.convert_timezone(F.lit("UTC"), F.lit("Asia/Shanghai"), F.col(column).cast("timestamp_ntz"))
 
-    return days.select(local("window_start").alias("local_start"), local("window_end").alias("local_end"), "total_amount")
+@query("SELECT event_id, ts + INTERVAL 8 HOUR AS local_ts FROM events")
+def session_zone_rows(spark, sf_dir):
+    """Instants shown in local time."""
+    rows = t.zoned(t.table(spark, sf_dir, "events"), "ts")
+    return rows.select("event_id", windows.local_time("ts", "Asia/Shanghai").alias("local_ts"))
+
+
+@query(
+    "SELECT user_id, ts, CAST(sum(CAST(round(value * 100) AS INTEGER)) "
+    "OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_total FROM events"
+)
+def running_total_by_time(spark, sf_dir):
+    events = t.table(spark, sf_dir, "events").select("user_id", "ts", t.cents("value").alias("amount"))
+    return running.running_total(events, ["user_id"], "ts", "amount").drop("amount")

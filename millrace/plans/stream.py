@@ -112,7 +112,7 @@ def tumble_stream(spark, sf_dir):
 
 @query(_closed(batch.HOP_SQL))
 def hop_stream(spark, sf_dir):
-    return _windows(spark, lambda: windows.hop(_income(spark, sf_dir), "ts", "10 minutes", "1 hour", batch.total()))
+    return _windows(spark, lambda: windows.hop(_income(spark, sf_dir), "ts", "10 minutes", "1 hour", {"total_amount": ("sum", "amount")}))
 
 
 @query(_closed(batch.CUMULATE_SQL))
@@ -270,21 +270,27 @@ def stream_join_changelog_full(spark, sf_dir):
 LOOKUP_SQL = "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
 
+def _lookup_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame, Salting]:
+    def documents(df: DataFrame) -> DataFrame:
+        return df.select("doc_id", "lang", "n_chars")
+
+    hot = find_hot_keys(t.table(spark, sf_dir, "documents"), ["doc_id"])
+    return documents(t.table_stream(spark, sf_dir, "documents")), t.table(spark, sf_dir, "labels"), hot
+
+
 @query(LOOKUP_SQL)
 def lookup_join(spark, sf_dir):
-    def build():
-        documents = t.table_stream(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-        return lookup.lookup_join(documents, t.table(spark, sf_dir, "labels"), ["doc_id"])
-
-    return t.run_append(spark, build)
+    documents, labels, hot = _lookup_parts(spark, sf_dir)
+    return t.run_append(spark, lambda: lookup.lookup_join(documents, labels, ["doc_id"], salting=hot))
 
 
 @query(LOOKUP_SQL)
 def lookup_join_cached(spark, sf_dir):
+    documents, labels, hot = _lookup_parts(spark, sf_dir)
+
     def start(path, checkpoint):
-        documents = t.table_stream(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
         return lookup.start_cached_lookup(
-            documents, lambda: t.table(spark, sf_dir, "labels"), ["doc_id"], path, checkpoint, refresh_seconds=30
+            documents, lambda: labels, ["doc_id"], path, checkpoint, refresh_seconds=30, salting=hot
         )
 
     return t.run_batches(spark, start).drop("batch")

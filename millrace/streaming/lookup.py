@@ -9,12 +9,24 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.salting import NO_SALTING, Salting
 from millrace.streaming.runner import start_batches
 
 
-def lookup_join(stream: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Stream-static join; Spark reads the table again in every micro-batch, later changes do not touch old rows."""
-    return stream.join(dim, list(on), how)
+def lookup_join(
+    stream: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", salting: Salting = NO_SALTING
+) -> DataFrame:
+    """Stream-static join; Spark reads the table again in every micro-batch, later changes do not touch old rows.
+
+    ``salting`` spreads the stream rows of hot keys when the table is too large to be broadcast.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    keys = list(on)
+    if salting.idle:
+        return stream.join(dim, keys, how)
+    spread = salting.spread(stream, keys, stream.columns)
+    return spread.join(salting.copy(dim, keys), [*keys, "_salt"], how).drop("_salt")
 
 
 class Snapshot:
@@ -45,9 +57,14 @@ def start_cached_lookup(
     checkpoint: str,
     refresh_seconds: float = 30.0,
     how: str = "left",
+    salting: Salting = NO_SALTING,
     trigger: dict | None = None,
     clock: Callable[[], float] = time.monotonic,
 ) -> StreamingQuery:
     """Lookup join against a kept snapshot; reads may be stale up to the refresh time."""
     snapshot = Snapshot(load, refresh_seconds, clock)
-    return start_batches(stream, path, checkpoint, "append", lambda rows, _: rows.join(snapshot.get(), list(on), how), trigger)
+
+    def join(rows: DataFrame, batch_id: int) -> DataFrame:
+        return lookup_join(rows, snapshot.get(), on, how, salting)
+
+    return start_batches(stream, path, checkpoint, "append", join, trigger)

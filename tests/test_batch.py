@@ -272,6 +272,40 @@ def test_blocks_split_a_hot_key_evenly(spark):
     assert len(sizes) == 8 and max(sizes) < 1.5 * 1000
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "decimal(20,3)"])
+def test_blocks_follow_every_kind_of_order(spark, kind):
+    numbers = spark.range(1, 400).select(F.lit(1).alias("k"), F.col("id").alias("n"))
+    if kind.startswith("decimal"):
+        column = F.col("n").cast(kind)
+    else:
+        column = (F.lit("1969-11-01").cast("date") + F.col("n").cast("int")).cast(kind)
+    df = numbers.withColumn("at", column)
+    out = running.running_total(df, ["k"], "at", "n", "t", 5).collect()
+    assert all(r["t"] == r["n"] * (r["n"] + 1) // 2 for r in out) and len(out) == 399
+    bounds = running.with_block(df, "at", 5).groupBy("_block").agg(F.min("n"), F.max("n")).orderBy("_block").collect()
+    assert len(bounds) == 5 and all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_user_functions_are_registered(spark, rows):
+    import pandas as pd
+
+    @F.pandas_udf("int")
+    def double(values: pd.Series) -> pd.Series:
+        return values * 2
+
+    registry.register_function(spark, "double_it", double)
+    assert rows(spark.createDataFrame([(3,), (4,)], "n int").selectExpr("double_it(n)")) == [(6,), (8,)]
+
+
+def test_local_time_does_not_depend_on_the_session_zone(spark):
+    from millrace.session import scoped_conf
+
+    for zone in ("UTC", "America/New_York"):
+        with scoped_conf(spark, spark__sql__session__timeZone=zone):
+            df = spark.sql("SELECT timestamp_seconds(1704067200) AS ts").select(windows.local_time("ts", "Asia/Shanghai").alias("l"))
+            assert df.collect()[0]["l"] == dt(2024, 1, 1, 8)
+
+
 def test_running_total_of_null_values_and_null_key(spark):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, None), (None, 3, 1), (1, 4, None), (1, 5, 2)], "k int, seq int, v int")
     out = running.running_total(df, ["k"], "seq", "v", "t", 3).orderBy("seq").select("t").collect()
@@ -291,6 +325,11 @@ def test_tumble_hop_cumulate(spark, rows):
     tumbled = windows.tumble(income(spark), "ts", "1 hour", total)
     assert rows(tumbled, "window_start", "t") == [(day(1, 0), 30), (day(1, 1), 30), (day(1, 5), 40), (day(2, 0), 50)]
 
+    merged = {"t": ("sum", "amount"), "n": ("count", "amount"), "top": ("max", "amount")}
+    every = [F.sum("amount").alias("t"), F.count("amount").alias("n"), F.max("amount").alias("top")]
+    for slide, size in (("10 minutes", "1 hour"), ("25 minutes", "1 hour")):
+        whole = rows(windows.hop(income(spark), "ts", slide, size, every))
+        assert rows(windows.hop(income(spark), "ts", slide, size, merged)) == whole
     hopped = {r["window_start"]: r["t"] for r in windows.hop(income(spark), "ts", "10 minutes", "1 hour", total).collect()}
     expected = defaultdict(int)
     for amount, ts in INCOME:

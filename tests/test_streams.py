@@ -85,6 +85,22 @@ def test_cumulating_windows_emit_steps_without_rows(feed, run):
     assert [found[(1, e)] for _, e in sorted(found)] == [30] + [60] * 4 + [100] * 19
 
 
+def test_late_rows_still_count_in_windows_that_are_open(feed, run):
+    income = feed("income", "amount int, ts timestamp")
+    income.add({"amount": 10, "ts": "2024-01-01 02:10:00"}, {"amount": 20, "ts": "2024-01-01 05:30:00"})
+    income.add({"amount": 1, "ts": "2024-01-01 05:31:00"})
+    # behind the watermark: too late for the windows that end by 05:30, in time for the others
+    income.add({"amount": 100, "ts": "2024-01-01 02:40:00"}, {"amount": 1000, "ts": "2024-01-01 05:10:00"})
+    income.add({"amount": 0, "ts": "2024-01-02 00:00:00"})
+    merged = {"t": ("sum", "amount")}
+    grown = run(windows.cumulate(windows.with_watermark(income.stream(), "ts"), "ts", "1 hour", "1 day", merged), "grown")
+    found = {r["window_end"].hour: r["t"] for r in grown.where("window_end <= '2024-01-01 08:00:00'").collect()}
+    assert found == {3: 10, 4: 10, 5: 10, 6: 1131, 7: 1131, 8: 1131}
+    hopped = run(windows.hop(windows.with_watermark(income.stream(), "ts"), "ts", "10 minutes", "1 hour", merged), "hopped")
+    found = {(r["window_end"].hour, r["window_end"].minute): r["t"] for r in hopped.where("window_end > '2024-01-01 05:00:00'").collect()}
+    assert found[(5, 40)] == 1021 and found[(6, 10)] == 1021 and found[(6, 20)] == 21
+
+
 def test_hopping_windows_stream_equals_batch(feed, run, rows, spark):
     income = feed("income", "amount int, ts timestamp")
     random.seed(5)
@@ -342,7 +358,8 @@ def test_large_batches_equal_keyed_state(spark, feed, folder, rows, blocks):
     assert sorted(tuple(r) for r in summed.collect()) == sorted(expected)
 
 
-def test_lookup_sees_the_table_of_the_moment(spark, feed, run, rows, folder):
+@pytest.mark.parametrize("salting", [Salting(1), Salting(3)])
+def test_lookup_sees_the_table_of_the_moment(spark, feed, run, rows, folder, salting):
     scores = feed("scores", "stu_no int, score int")
     dim = f"{folder}/dim"
 
@@ -350,7 +367,8 @@ def test_lookup_sees_the_table_of_the_moment(spark, feed, run, rows, folder):
         spark.createDataFrame(list(students), "stu_no int, stu_name string").write.mode("overwrite").json(dim)
 
     def build():
-        return lookup.lookup_join(scores.stream(), spark.read.schema("stu_no int, stu_name string").json(dim), ["stu_no"])
+        table = spark.read.schema("stu_no int, stu_name string").json(dim)
+        return lookup.lookup_join(scores.stream(), table, ["stu_no"], salting=salting).select("stu_no", "score", "stu_name")
 
     save((1, "v1"))
     scores.add({"stu_no": 1, "score": 10}, {"stu_no": 2, "score": 20})
