@@ -192,6 +192,7 @@ def _theta_changes(spark, sf_dir, how):
         return changelog_band.changelog_band_join(
             purchases, views, "purchase_id", "view_id", -5, -1, how,
             matches=lambda purchase, view: view.viewer != purchase.buyer,
+            bucket_width=64,  # numbers are unique, so a bucket has at most as many rows
         )
 
     return changelog.materialize(t.run_append(spark, build))

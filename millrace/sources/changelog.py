@@ -6,12 +6,14 @@ old row followed by an insertion of the new one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.messages import message_stream
+
 # Row kinds of a changelog and operation codes of the envelope.
 INSERT, DELETE = "+I", "-D"
 CREATE_CODE, SNAPSHOT_CODE, UPDATE_CODE, DELETE_CODE = "c", "r", "u", "d"
@@ -53,6 +55,18 @@ def decode_changes(df: DataFrame, schema: str | T.StructType, column: str = "val
     )
 
 
+def change_stream(
+    spark: SparkSession,
+    options: dict[str, str],
+    columns: Mapping[str, str] | str,
+    format: str = "kafka",
+    path: str | None = None,
+) -> DataFrame:
+    """A changelog from a stream of envelopes; ``columns`` is DDL or maps names to types, decided at run time."""
+    schema = columns if isinstance(columns, str) else ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    return decode_changes(message_stream(spark, options, format, path), schema).drop("_part")
+
+
 def encode_change(op: Column, before: Column | None, after: Column | None) -> Column:
     """An envelope as JSON text."""
     fields = [op.alias("op")]

@@ -35,3 +35,10 @@ def decode_json(df: DataFrame, schema: str | T.StructType, column: str = "value"
         text = F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown field in "), text)).cast("string")).otherwise(text)
     record = F.from_json(text, struct, {"mode": "FAILFAST"})
     return df.where(F.col(column).isNotNull()).select(record.alias("_record")).select("_record.*")
+
+
+def json_stream(
+    spark: SparkSession, options: dict[str, str], schema: str | T.StructType, format: str = "kafka", path: str | None = None
+) -> DataFrame:
+    """A stream of JSON messages as typed columns."""
+    return decode_json(message_stream(spark, options, format, path), schema)

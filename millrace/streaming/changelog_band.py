@@ -131,10 +131,12 @@ def changelog_band_join(
     equal: Sequence[str] = (),
     matches: Matches | None = None,
     salting: Salting = NO_SALTING,
+    bucket_width: int | None = None,
 ) -> DataFrame:
     """Join on ``lower <= right_on - left_on <= upper``, equal columns and a test of the two rows, each if given.
 
     A side without ``_op`` only adds rows. The result has ``_op``, the equal columns and the other columns of both.
+    Buckets are as wide as the band; where values are sparse, a larger ``bucket_width`` makes fewer groups and copies.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be inner, left, right or full")
@@ -153,7 +155,7 @@ def changelog_band_join(
     if set(left_schema.names) & set(right_schema.names):
         raise ValueError("rename the columns that both sides have")
     columns = ["_op", *equal, *left_schema.names, *right_schema.names]
-    width = F.lit(max(upper - lower, 1))
+    width = F.lit(max(upper - lower, bucket_width or 1))
 
     def counted(one, one_schema, one_on, other, other_schema, other_on, low, high, test, pairs) -> DataFrame:
         def tagged(df: DataFrame, side: str) -> DataFrame:

@@ -409,6 +409,28 @@ def test_messages_to_files_and_back(spark, feed, run, rows, folder):
     assert rows(run(back)) == [(1, "ä\n,"), (2, None)]
 
 
+def test_change_stream_with_a_schema_made_at_run_time(spark, run, rows, folder):
+    os.makedirs(f"{folder}/cdc")
+    with open(f"{folder}/cdc/1", "w") as handle:
+        for op, before, after in (("c", None, {"id": 1, "name": "a"}), ("u", {"id": 1, "name": "a"}, {"id": 1, "name": "b"})):
+            handle.write(json.dumps({"op": op, "before": before, "after": after}) + "\n")
+    stream = changelog.change_stream(spark, {}, {"id": "int", "name": "string"}, "text", f"{folder}/cdc")
+    assert rows(changelog.materialize(run(stream))) == [(1, "b")]
+    typed = messages.json_stream(spark, {}, "op string", "text", f"{folder}/cdc")
+    assert rows(run(typed, "typed")) == [("c",), ("u",)]
+
+
+def test_rate_limit_cuts_the_input_into_micro_batches(spark, feed, folder):
+    lines = feed("lines", "k int, v int")
+    for _ in range(4):
+        lines.add(*[{"k": 1, "v": 1} for _ in range(100)])
+    size = os.path.getsize(f"{lines.path}/00001.json")
+    stream = spark.readStream.schema(lines.schema).option("maxBytesPerTrigger", str(size)).json(lines.path)
+    sums = aggregates.group_sum(stream, ["k"], "v", "total")
+    runner.finish(runner.start_batches(sums, f"{folder}/out", f"{folder}/checkpoint"))
+    assert sorted(r["total"] for r in runner.read_batches(spark, f"{folder}/out").collect()) == [100, 200, 300, 400]
+
+
 def test_console(spark, feed, folder, capfd):
     scores = feed("scores", "stu_no int")
     scores.add({"stu_no": 4711})
