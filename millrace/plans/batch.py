@@ -13,7 +13,7 @@ from millrace.operators.salting import Salting, find_hot_keys
 from millrace.plans import tables as t
 from millrace.session import shared_folder
 from millrace.sinks import tables as sink_tables
-from millrace.sources import changelog, delimited, logtail, messages
+from millrace.sources import changelog, delimited, logtail
 
 Query = Callable[[SparkSession, str], DataFrame]
 BATCH: dict[str, tuple[Query, str]] = {}
