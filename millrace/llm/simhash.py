@@ -124,7 +124,8 @@ def _compare(home: np.ndarray, others: np.ndarray, radius: int, forest: _Forest,
     width = max(1, (1 << 20) // max(1, len(home)))
     for begin in range(0, len(others), width):
         part = others[begin : begin + width]
-        near = np.bitwise_count(part[:, None] ^ home[None, :]) <= radius
+        # unsigned, since bits of a negative number are counted by its absolute value
+        near = np.bitwise_count(part.view(np.uint64)[:, None] ^ home.view(np.uint64)[None, :]) <= radius
         if same:
             near &= np.arange(begin, begin + len(part))[:, None] < np.arange(len(home))[None, :]
         rows, columns = np.nonzero(near)
