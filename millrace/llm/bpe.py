@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import array
 import codecs
-import itertools
 import json
 from collections.abc import Iterator
 
@@ -17,6 +17,8 @@ from millrace.llm.common import in_chunks, plain
 
 # Pieces of text whose ids a task remembers; the memory is emptied when it is full, which changes no result.
 REMEMBERED_PIECES = 200_000
+# New pieces that go to the library at a time, and bytes of text that a task splits at a time.
+NEW_PIECES, TEXT_BYTES = 5_000, 1_000_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -41,8 +43,8 @@ def token_bytes(vocabulary_path: str) -> dict[int, bytes]:
 class Encoder:
     """Encodes texts with the tokenizers library, each match of ``pattern`` separately and once per task.
 
-    The pieces of a text are looked up in what the task has seen; new ones go to the library in one batch. Strings of
-    special tokens are ordinary text.
+    The pieces of a text are looked up in what the task has seen; new ones go to the library in batches. Strings of special
+    tokens are ordinary text.
     """
 
     def __init__(self, vocabulary_path: str, pattern: str):
@@ -56,17 +58,22 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary_path)
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [self.pattern.findall(text) for text in texts]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, 32 bits each."""
         if len(self.known) > REMEMBERED_PIECES:
             self.known = {}
-        known = self.known
-        new = list(set().union(*split).difference(known)) if split else []
-        if new:
-            known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        return [list(itertools.chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+        known, found = self.known, []
+        for text in texts:
+            pieces = self.pattern.findall(text)
+            new = list(set(pieces).difference(known))
+            for begin in range(0, len(new), NEW_PIECES):
+                part = new[begin : begin + NEW_PIECES]
+                for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                    known[piece] = array.array("i", encoding.ids).tobytes()
+            found.append(np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=np.int32))
+        return found
 
 
 def character_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,6 +89,12 @@ def character_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return number[begins], number[ends - 1] + 1
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    values = np.concatenate(rows) if rows else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
+
+
 def encode(
     docs: DataFrame, vocabulary_path: str, pattern: str, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",),
     offsets: bool = True,
@@ -102,17 +115,14 @@ def encode(
         size = np.zeros(max(table) + 1, dtype=np.int64)
         for i, token in table.items():
             size[i] = len(token)
-        for batch in in_chunks(batches, "_text"):
-            texts = batch.column("_text").to_pylist()
-            found = encoder.encode([t or "" for t in texts])
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(found, pa.list_(pa.int32()))]
+        for batch in in_chunks(batches, "_text", TEXT_BYTES):
+            texts = [t or "" for t in batch.column("_text").to_pylist()]
+            found = encoder.encode(texts)
+            columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [_lists(found)]
             names = [*batch.schema.names[:-1], "ids"]
             if offsets:
-                pairs = [
-                    character_offsets(t.encode(), size[np.array(ids)]) if ids else ([], [])
-                    for t, ids in zip((t or "" for t in texts), found)
-                ]
-                columns += [pa.array([p[side] for p in pairs], pa.list_(pa.int32())) for side in (0, 1)]
+                pairs = [character_offsets(t.encode(), size[ids]) for t, ids in zip(texts, found)]
+                columns += [_lists([p[side] for p in pairs]) for side in (0, 1)]
                 names += ["starts", "ends"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -131,10 +141,26 @@ def decode(tokens: DataFrame, vocabulary_path: str, ids_column: str = "ids", out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(vocabulary_path)
+        size = np.zeros(max(table) + 1, dtype=np.int64)
+        for i, token in table.items():
+            size[i] = len(token)
+        begin = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(table.get(i, b"") for i in range(len(size))), dtype=np.uint8)
+
+        def joined(ids: np.ndarray) -> bytes:
+            if len(ids) and not (0 <= ids.min() and ids.max() < len(size) and size[ids].all()):
+                raise ValueError("an id is not in the vocabulary")
+            lengths = size[ids]
+            # a byte's place in the table: its token's place, and how far into the token it is
+            shift = np.repeat(begin[ids] - (np.cumsum(lengths) - lengths), lengths)
+            return flat[shift + np.arange(len(shift))].tobytes()
+
         for batch in batches:
-            ids = batch.column(ids_column).to_pylist()
-            joined = pa.array([None if i is None else b"".join(map(table.__getitem__, i)) for i in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, joined], [*batch.schema.names, output])
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                column = part.column(ids_column)
+                texts = [None if not row.is_valid else joined(row.values.to_numpy(zero_copy_only=False).astype(np.int64)) for row in column]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, output])
 
     return tokens.select(*[plain(c) for c in others]).mapInArrow(run, schema)
 
