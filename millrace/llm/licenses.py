@@ -26,9 +26,9 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 
 # Names of licences in words: (label, keyword that any match holds as part of one word, pattern over words with single spaces).
 NAMES = (
-    ("apache-1.0", "apache", r"apache (?:software )?license (?:version |v )?1 0"),
-    ("apache-1.1", "apache", r"apache (?:software )?license (?:version |v )?1 1"),
-    ("apache-2.0", "apache", r"apache (?:software )?(?:license )?(?:version |v )?2(?: 0)?|asl 2 0 apache"),
+    ("apache-1.0", "apache", r"apache (?:software )?license (?:version |v ?)?1 0"),
+    ("apache-1.1", "apache", r"apache (?:software )?license (?:version |v ?)?1 1"),
+    ("apache-2.0", "apache", r"apache (?:software )?(?:license )?(?:version |v ?)?2(?: 0)?|asl 2 0 apache"),
     ("mit", "mit", r"(?:the )?mit x11|expat mit"),
     ("mit-0", "mit", r"mit no attribution(?: license)?|mit 0"),
     ("x11", "x11", r"x11 license|x consortium license x11"),
@@ -37,70 +37,70 @@ NAMES = (
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: license)?"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd|old bsd)(?: license)?"),
     ("0bsd", "bsd", r"(?:0bsd|zero clause bsd|bsd zero clause)(?: license)?"),
-    ("gpl-1.0", "general", r"(?:gnu )?general public license (?:version |v )?1(?: 0)?"),
-    ("gpl-2.0", "general", r"(?:gnu )?general public license (?:version |v )?2(?: 0)?"),
-    ("gpl-3.0", "general", r"(?:gnu )?general public license (?:version |v )?3(?: 0)?"),
+    ("gpl-1.0", "general", r"(?:gnu )?general public license (?:version |v ?)?1(?: 0)?"),
+    ("gpl-2.0", "general", r"(?:gnu )?general public license (?:version |v ?)?2(?: 0)?"),
+    ("gpl-3.0", "general", r"(?:gnu )?general public license (?:version |v ?)?3(?: 0)?"),
     ("gpl-2.0", "gpl", r"(?:gnu )?gpl(?: v| version)? ?2(?: 0)?(?: only| or later)?|gplv2"),
     ("gpl-3.0", "gpl", r"(?:gnu )?gpl(?: v| version)? ?3(?: 0)?(?: only| or later)?|gplv3"),
-    ("lgpl-2.0", "general", r"(?:gnu )?(?:library|lesser) general public license (?:version |v )?2(?: 0)?"),
-    ("lgpl-2.1", "general", r"(?:gnu )?lesser general public license (?:version |v )?2 1"),
-    ("lgpl-3.0", "general", r"(?:gnu )?lesser general public license (?:version |v )?3(?: 0)?"),
+    ("lgpl-2.0", "general", r"(?:gnu )?(?:library|lesser) general public license (?:version |v ?)?2(?: 0)?"),
+    ("lgpl-2.1", "general", r"(?:gnu )?lesser general public license (?:version |v ?)?2 1"),
+    ("lgpl-3.0", "general", r"(?:gnu )?lesser general public license (?:version |v ?)?3(?: 0)?"),
     ("lgpl", "general", r"(?:gnu )?(?:library|lesser) general public license"),
     ("lgpl-2.1", "lgpl", r"lgpl(?: v| version)? ?2 1(?: only| or later)?"),
     ("lgpl-3.0", "lgpl", r"lgpl(?: v| version)? ?3(?: 0)?(?: only| or later)?|lgplv3"),
     ("agpl-3.0", "general", r"(?:gnu )?affero general public license(?: version| v)? 3(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public license"),
     ("agpl-3.0", "agpl", r"agpl(?: v| version)? ?3(?: 0)?(?: only| or later)?|agplv3"),
-    ("gfdl", "documentation", r"(?:gnu )?free documentation license(?: (?:version |v )?1 [123])?"),
-    ("mpl-1.0", "mozilla", r"mozilla public license (?:version |v )?1 0"),
-    ("mpl-1.1", "mozilla", r"mozilla public license (?:version |v )?1 1"),
-    ("mpl-2.0", "mozilla", r"mozilla public license (?:version |v )?2(?: 0)?"),
+    ("gfdl", "documentation", r"(?:gnu )?free documentation license(?: (?:version |v ?)?1 [123])?"),
+    ("mpl-1.0", "mozilla", r"mozilla public license (?:version |v ?)?1 0"),
+    ("mpl-1.1", "mozilla", r"mozilla public license (?:version |v ?)?1 1"),
+    ("mpl-2.0", "mozilla", r"mozilla public license (?:version |v ?)?2(?: 0)?"),
     ("mpl", "mozilla", r"mozilla public license"),
-    ("epl-1.0", "eclipse", r"eclipse public license (?:version |v )?1 0"),
-    ("epl-2.0", "eclipse", r"eclipse public license (?:version |v )?2(?: 0)?"),
+    ("epl-1.0", "eclipse", r"eclipse public license (?:version |v ?)?1 0"),
+    ("epl-2.0", "eclipse", r"eclipse public license (?:version |v ?)?2(?: 0)?"),
     ("epl", "eclipse", r"eclipse public license"),
-    ("edl-1.0", "eclipse", r"eclipse distribution license(?: (?:version |v )?1 0)?"),
-    ("cddl-1.0", "development", r"common development and distribution license (?:version |v )?1 0"),
-    ("cddl-1.1", "development", r"common development and distribution license (?:version |v )?1 1"),
+    ("edl-1.0", "eclipse", r"eclipse distribution license(?: (?:version |v ?)?1 0)?"),
+    ("cddl-1.0", "development", r"common development and distribution license (?:version |v ?)?1 0"),
+    ("cddl-1.1", "development", r"common development and distribution license (?:version |v ?)?1 1"),
     ("cddl", "development", r"common development and distribution license"),
-    ("cpl-1.0", "public", r"common public license(?: (?:version |v )?1 0)?"),
-    ("ipl-1.0", "ibm", r"ibm public license(?: (?:version |v )?1 0)?"),
-    ("eupl-1.1", "european", r"european union public licen[cs]e (?:version |v )?1 1"),
-    ("eupl-1.2", "european", r"european union public licen[cs]e(?: (?:version |v )?1 2)?"),
-    ("cecill-2.1", "cecill", r"cecill(?: free software license agreement)?(?: (?:version |v )?2 1)?"),
+    ("cpl-1.0", "public", r"common public license(?: (?:version |v ?)?1 0)?"),
+    ("ipl-1.0", "ibm", r"ibm public license(?: (?:version |v ?)?1 0)?"),
+    ("eupl-1.1", "european", r"european union public licen[cs]e (?:version |v ?)?1 1"),
+    ("eupl-1.2", "european", r"european union public licen[cs]e(?: (?:version |v ?)?1 2)?"),
+    ("cecill-2.1", "cecill", r"cecill(?: free software license agreement)?(?: (?:version |v ?)?2 1)?"),
     ("cecill-b", "cecill", r"cecill b"),
     ("cecill-c", "cecill", r"cecill c"),
     ("isc", "isc", r"isc license"),
     ("zlib", "zlib", r"zlib(?: libpng)? license|zlib libpng"),
     ("libpng", "libpng", r"libpng license"),
-    ("bsl-1.0", "boost", r"boost software license(?: (?:version |v )?1 0)?"),
-    ("busl-1.1", "business", r"business source license(?: (?:version |v )?1 1)?"),
-    ("sspl-1.0", "server", r"server side public license(?: (?:version |v )?1)?"),
-    ("elastic-2.0", "elastic", r"elastic license(?: (?:version |v )?2(?: 0)?)?"),
+    ("bsl-1.0", "boost", r"boost software license(?: (?:version |v ?)?1 0)?"),
+    ("busl-1.1", "business", r"business source license(?: (?:version |v ?)?1 1)?"),
+    ("sspl-1.0", "server", r"server side public license(?: (?:version |v ?)?1)?"),
+    ("elastic-2.0", "elastic", r"elastic license(?: (?:version |v ?)?2(?: 0)?)?"),
     ("postgresql", "postgresql", r"postgresql licen[cs]e"),
-    ("python-2.0", "python", r"python (?:software foundation )?license(?: (?:version |v )?2(?: 0)?)?"),
-    ("php-3.01", "php", r"php license(?: (?:version |v )?3 01)?"),
+    ("python-2.0", "python", r"python (?:software foundation )?license(?: (?:version |v ?)?2(?: 0)?)?"),
+    ("php-3.01", "php", r"php license(?: (?:version |v ?)?3 01)?"),
     ("ruby", "ruby", r"ruby license"),
-    ("artistic-1.0", "artistic", r"artistic license(?: (?:version |v )?1 0)?"),
-    ("artistic-2.0", "artistic", r"artistic license (?:version |v )?2(?: 0)?"),
-    ("afl-3.0", "academic", r"academic free license(?: (?:version |v )?3 0)?"),
-    ("osl-3.0", "open", r"open software license(?: (?:version |v )?3 0)?"),
+    ("artistic-1.0", "artistic", r"artistic license(?: (?:version |v ?)?1 0)?"),
+    ("artistic-2.0", "artistic", r"artistic license (?:version |v ?)?2(?: 0)?"),
+    ("afl-3.0", "academic", r"academic free license(?: (?:version |v ?)?3 0)?"),
+    ("osl-3.0", "open", r"open software license(?: (?:version |v ?)?3 0)?"),
     ("ms-pl", "microsoft", r"microsoft public license"),
     ("ms-rl", "microsoft", r"microsoft reciprocal license"),
     ("ncsa", "illinois", r"university of illinois(?: ncsa)? open source license"),
-    ("upl-1.0", "universal", r"universal permissive license(?: (?:version |v )?1 0)?"),
+    ("upl-1.0", "universal", r"universal permissive license(?: (?:version |v ?)?1 0)?"),
     ("unlicense", "unlicense", r"(?:the )?unlicense(?: org)?"),
     ("wtfpl", "wtfpl", r"wtfpl"),
-    ("ofl-1.1", "font", r"(?:sil )?open font license(?: (?:version |v )?1 1)?"),
+    ("ofl-1.1", "font", r"(?:sil )?open font license(?: (?:version |v ?)?1 1)?"),
     ("openssl", "openssl", r"openssl license"),
     ("beerware", "beer", r"(?:the )?beer ?ware license"),
     ("vim", "vim", r"vim license"),
     ("json", "json", r"json license"),
-    ("qpl-1.0", "public", r"q public license(?: (?:version |v )?1 0)?"),
-    ("lppl-1.3c", "latex", r"latex project public license(?: (?:version |v )?1 3c?)?"),
+    ("qpl-1.0", "public", r"q public license(?: (?:version |v ?)?1 0)?"),
+    ("lppl-1.3c", "latex", r"latex project public license(?: (?:version |v ?)?1 3c?)?"),
     ("odbl-1.0", "odbl", r"odbl(?: 1 0)?"),
-    ("odbl-1.0", "database", r"open (?:data commons open )?database license(?: (?:version |v )?1 0)?"),
-    ("odc-by-1.0", "attribution", r"open data commons attribution license(?: (?:version |v )?1 0)?"),
+    ("odbl-1.0", "database", r"open (?:data commons open )?database license(?: (?:version |v ?)?1 0)?"),
+    ("odc-by-1.0", "attribution", r"open data commons attribution license(?: (?:version |v ?)?1 0)?"),
     ("pddl-1.0", "domain", r"(?:open data commons )?public domain dedication and license"),
     ("cc0-1.0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("cc-by-1.0", "cc", r"cc by 1 0"),
