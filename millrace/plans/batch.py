@@ -390,6 +390,21 @@ def aggregate_own_function(spark, sf_dir):
     return aggregate.apply_aggregate(rows, ["uid"], aggregate.TotalBalance(), ["income", "expense"], "total_balance")
 
 
+@query("""
+SELECT CASE WHEN o_orderkey % 10 <> 0 THEN 9007199254740992 + o_custkey END AS account,
+  CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN 9007199254740993 + o_orderkey ELSE 0 END) - sum(o_orderkey) AS BIGINT) AS total_balance
+FROM orders GROUP BY 1
+""")
+def aggregate_own_function_large_keys(spark, sf_dir):
+    """Keys and values beyond 2^53, with NULLs beside them."""
+    orders = t.table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 10 != 0, F.lit(2**53) + F.col("o_custkey")).alias("account"),
+        F.when(F.col("o_orderstatus") != "F", F.lit(2**53 + 1) + F.col("o_orderkey")).alias("income"),
+        F.col("o_orderkey").alias("expense"),
+    )
+    return aggregate.apply_aggregate(orders, ["account"], aggregate.TotalBalance(), ["income", "expense"], "total_balance")
+
+
 @query("SELECT l_orderkey AS stu_no, CAST(sum(10 // l_linenumber) AS BIGINT) AS num FROM lineitem GROUP BY 1")
 def aggregate_of_scalar(spark, sf_dir):
     registry.register_all(spark)

@@ -80,6 +80,20 @@ def test_own_aggregate_with_retraction_and_null_key(spark, rows):
     assert rows(out) == [(1, 0), (None, 9)]
 
 
+def test_own_aggregate_of_large_and_odd_keys(spark):
+    big, nan = 2**53, float("nan")
+    df = spark.createDataFrame([(big, 1), (big + 1, 2), (None, 4), (big, None), (None, big + 1)], "k bigint, a bigint").withColumn("b", F.lit(0))
+    out = aggregate.apply_aggregate(df.coalesce(1), ["k"], aggregate.TotalBalance(), ["a", "b"], "t")
+    assert {r.k: r.t for r in out.collect()} == {big: 1, big + 1: 2, None: big + 5}
+    odd = spark.createDataFrame([(nan, 1), (nan, 2), (None, 4), (0.0, 8), (-0.0, 16), (None, 32)], "k double, a bigint").withColumn("b", F.lit(0))
+    out = aggregate.apply_aggregate(odd.repartition(3), ["k"], aggregate.TotalBalance(), ["a", "b"], "t")
+    assert sorted((str(r.k), r.t) for r in out.collect()) == [("0.0", 24), ("None", 36), ("nan", 3)]
+    typed = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01', 1.25BD, 1L), (DATE'2024-01-01', 1.25BD, 2L), (NULL, 1.25BD, 4L), (DATE'2024-01-01', NULL, 8L) t(d, m, a)")
+    out = aggregate.apply_aggregate(typed.withColumn("b", F.lit(0)), ["d", "m"], aggregate.TotalBalance(), ["a", "b"], "t")
+    assert sorted(r.t for r in out.collect()) == [3, 4, 8] and out.schema["m"].dataType == typed.schema["m"].dataType
+    assert aggregate.apply_aggregate(df.limit(0), ["k"], aggregate.TotalBalance(), ["a", "b"], "t").count() == 0
+
+
 def test_own_aggregate_keeps_one_accumulator_per_task(spark):
     df = spark.range(0, 40_000, 1, 4).select(F.lit(1).alias("k"), F.col("id").cast("int").alias("a"), F.lit(0).alias("b"))
     out = aggregate.apply_aggregate(df, ["k"], aggregate.TotalBalance(), ["a", "b"], "t")
