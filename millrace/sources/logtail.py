@@ -1,16 +1,19 @@
 """A Spark data source for delimited logs that still grow.
 
 ``spark.read`` scans the files as they are; ``spark.readStream`` gives the existing lines and then each line that is
-appended later. The position of a stream is the byte after the last complete line of every file; Spark keeps it in the
-checkpoint. Files are read in byte ranges on the executors through Arrow's file systems, so the path may name a local,
-HDFS or object-store folder.
+appended later. The position of a stream is the byte after the last complete line of every file, together with a
+fingerprint of the file's beginning; Spark keeps both in the checkpoint. So a log that was renamed is read on under its
+new name, and one that was replaced by other content is noticed. Folders are read with all their sub-folders. Files are
+read in byte ranges on the executors through Arrow's file systems, so the path may name a local, HDFS or object-store
+folder.
 """
 
 from __future__ import annotations
 
 import decimal
-import posixpath
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -24,6 +27,8 @@ FORMAT = "delimited_log"
 RANGE_BYTES = 128 << 20  # one task, unless the option range_bytes says otherwise
 BLOCK_BYTES = 1 << 20  # read and decoded at a time
 PROBE_BYTES = 64 << 10
+HEAD_BYTES = 1024  # that a file is known by
+OPENED_AT_ONCE = 16  # files that the driver looks into
 
 
 @dataclass
@@ -42,17 +47,52 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
-def _files(path: str) -> dict[str, int]:
-    """Size of the file, or of every file in the folder that is not hidden."""
+def _files(path: str) -> dict[str, tuple[int, int]]:
+    """Size and time of change of the file, or of every file below the folder that is not hidden."""
     system, root = _open(path)
     info = system.get_file_info(root)
     if info.type == pafs.FileType.File:
-        return {info.path: info.size}
+        return {info.path: (info.size, info.mtime_ns or 0)}
     if info.type == pafs.FileType.NotFound:
         raise FileNotFoundError(path)
-    found = system.get_file_info(pafs.FileSelector(root))
-    visible = [f for f in found if f.type == pafs.FileType.File and posixpath.basename(f.path)[0] not in "._"]
-    return {f.path: f.size for f in visible}
+    found = system.get_file_info(pafs.FileSelector(root, recursive=True))
+
+    def hidden(inner: str) -> bool:
+        return any(name[:1] in "._" for name in inner[len(info.path) :].strip("/").split("/"))
+
+    return {f.path: (f.size, f.mtime_ns or 0) for f in found if f.type == pafs.FileType.File and not hidden(f.path)}
+
+
+def _head(system: pafs.FileSystem, path: str, length: int) -> str:
+    """Fingerprint of the first ``length`` bytes; a shorter file has another one."""
+    with system.open_input_file(path) as handle:
+        head = handle.read_at(length, 0) if length else b""
+    return hashlib.sha1(head).hexdigest() if len(head) == length else "short"
+
+
+@dataclass(frozen=True)
+class Place:
+    """How far a file has been read, its size then, and what it begins with."""
+
+    position: int
+    size: int
+    length: int
+    head: str
+
+    def of(self, system: pafs.FileSystem, path: str) -> bool:
+        """Whether a file is the one that was read."""
+        return self.length > 0 and _head(system, path, self.length) == self.head
+
+    def as_list(self) -> list:
+        return [self.position, self.size, self.length, self.head]
+
+
+NEW = Place(0, 0, 0, hashlib.sha1(b"").hexdigest())
+
+
+def _at_once(function: Callable, items: list) -> list:
+    with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+        return list(pool.map(function, items))
 
 
 def _after_last_newline(system: pafs.FileSystem, path: str, start: int, size: int) -> int:
@@ -74,6 +114,8 @@ def _ranges(path: str, start: int, limit: int, size: int) -> list[ByteRange]:
 
 def _lines(root: str, part: ByteRange) -> Iterator[pa.Array]:
     """Lines of a range, one Arrow array per block; a line belongs to the range with its first byte."""
+    if part.start >= part.limit:
+        return
     system, _ = _open(root)
     with system.open_input_file(part.path) as handle:
         at = part.start
@@ -186,7 +228,8 @@ class LogReader(_Decoder, DataSourceReader):
             yield item
 
     def partitions(self) -> list[ByteRange]:
-        return [part for path, size in sorted(_files(self.root).items()) for part in _ranges(path, 0, size, self.range_bytes)]
+        parts = [part for path, (size, _) in sorted(_files(self.root).items()) for part in _ranges(path, 0, size, self.range_bytes)]
+        return parts or [ByteRange("", 0, 0, 0)]  # Spark asks for one part at least
 
 
 class LogStreamReader(_Decoder, DataSourceStreamReader):
@@ -194,32 +237,82 @@ class LogStreamReader(_Decoder, DataSourceStreamReader):
 
     def __init__(self, schema: T.StructType, options: dict):
         super().__init__(schema, options)
-        self.known: dict[str, tuple[int, int]] = {}
+        self.rotation = options.get("on_rotation", "fail")
+        if self.rotation not in ("fail", "restart"):
+            raise ValueError("on_rotation must be fail or restart")
+        self.stats: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, Place] = {}
 
     def initialOffset(self) -> dict:
         return {}
 
+    def _lost(self, path: str, place: Place) -> None:
+        """A file that was read is not there any more, under no name."""
+        if self.rotation == "fail" and place.size > place.position:
+            raise ValueError(f"{path} is gone, and lines at its end were not complete when it was read")
+
+    def _replaced(self, path: str) -> Place:
+        if self.rotation == "fail":
+            raise ValueError(
+                f"{path} holds other content or became shorter: a log that is read as a stream may only grow, "
+                "unless on_rotation=restart reads it anew"
+            )
+        return NEW
+
+    def _matched(self, system: pafs.FileSystem, before: dict[str, Place], paths: list[str]) -> dict[str, Place]:
+        """Where each file was read up to: by its name if it begins as it did, else by its beginning under a former name."""
+        same = _at_once(lambda path: path not in before or before[path].length == 0 or before[path].of(system, path), paths)
+        found = {path: before[path] for path, good in zip(paths, same) if good and path in before}
+        others = {path: place for path, place in before.items() if path not in found}
+        for path in paths:
+            if path not in found:
+                former = next((name for name, place in others.items() if name != path and place.of(system, path)), None)
+                if former is not None:
+                    found[path] = others.pop(former)
+        for path in paths:
+            if path not in found:
+                found[path] = self._replaced(path) if path in others else NEW
+        for path, place in others.items():
+            if path not in paths:
+                self._lost(path, place)
+        return found
+
     def latestOffset(self) -> dict:
         system, _ = _open(self.root)
-        offset = {}
-        for path, size in sorted(_files(self.root).items()):
-            seen_size, position = self.known.get(path, (-1, 0))
-            if size < seen_size:
-                raise ValueError(f"{path} became shorter: a log that is read as a stream may only grow")
-            if size != seen_size:
-                position = _after_last_newline(system, path, position, size)
-                self.known[path] = (size, position)
-            offset[path] = position
-        return offset
+        stats = _files(self.root)
+        changed = [path for path in sorted(stats) if self.stats.get(path) != stats[path]]
+        gone = [path for path in self.known if path not in stats]
+        if changed or gone:
+            moving = {path: self.known[path] for path in [*changed, *gone] if path in self.known}
+            before = self._matched(system, moving, changed)
+
+            def look(path: str) -> Place:
+                place, size = before[path], stats[path][0]
+                if size < place.position:
+                    place = self._replaced(path)
+                position = _after_last_newline(system, path, place.position, size)
+                length = min(HEAD_BYTES, position)
+                return Place(position, size, length, _head(system, path, length))
+
+            found = dict(zip(changed, _at_once(look, changed)))
+            self.known = {path: found.get(path) or self.known[path] for path in stats}
+            self.stats = stats
+        return {path: place.as_list() for path, place in sorted(self.known.items())}
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
-        sizes = _files(self.root)
+        system, _ = _open(self.root)
+        stats = _files(self.root)
+        before = {path: Place(*place) for path, place in start.items()}
+        after = {path: Place(*place) for path, place in end.items()}
+        moved = sorted(path for path in after if before.get(path) != after[path])
+        moving = {path: place for path, place in before.items() if after.get(path) != place}
+        begins = self._matched(system, moving, moved)
         parts = []
-        for path, limit in sorted(end.items()):
-            begin = start.get(path, 0)
-            if limit < begin or sizes.get(path, 0) < limit:
-                raise ValueError(f"{path} became shorter: a log that is read as a stream may only grow")
-            parts.extend(_ranges(path, begin, limit, self.range_bytes))
+        for path in moved:
+            begin, limit = begins[path].position, after[path].position
+            if stats.get(path, (0, 0))[0] < limit or (after[path].length and not after[path].of(system, path)):
+                raise ValueError(f"{path} was replaced or became shorter while it was read")
+            parts.extend(_ranges(path, min(begin, limit), limit, self.range_bytes))
         return parts
 
     def commit(self, end: dict) -> None:
@@ -227,7 +320,9 @@ class LogStreamReader(_Decoder, DataSourceStreamReader):
 
 
 class DelimitedLog(DataSource):
-    """Options: ``path`` (required), ``separator`` (``,``), ``on_malformed`` (``drop`` or ``fail``), ``range_bytes``."""
+    """Options: ``path`` (required), ``separator`` (``,``), ``on_malformed`` (``drop`` or ``fail``), ``range_bytes``, and for
+    streams ``on_rotation``: ``fail`` if a log that was read holds other content, or ``restart`` it from its beginning.
+    """
 
     @classmethod
     def name(cls) -> str:

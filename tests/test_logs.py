@@ -148,6 +148,63 @@ def test_shortened_log_fails(spark, folder):
         tail(spark, path, out, checkpoint)
 
 
+def tail_on(spark, path, folder, **options):
+    df = logtail.read_log(spark, path, SCORES, mode="stream", **options)
+    runner.finish(runner.start_append(df, f"{folder}/out", f"{folder}/checkpoint"))
+    return sorted(tuple(r) for r in spark.read.schema(SCORES).parquet(f"{folder}/out").collect())
+
+
+def test_replaced_log_fails_or_is_read_anew(spark, folder):
+    path = write(f"{folder}/log.csv", "1,1,1\n2,2,2\n")
+    tail_on(spark, path, folder)
+    write(path, "7,7,7\n8,8,8\n9,9,9\n")
+    with pytest.raises(Exception, match="other content"):
+        tail_on(spark, path, folder)
+    expected = [(1, 1, 1), (2, 2, 2), (7, 7, 7), (8, 8, 8), (9, 9, 9)]
+    assert tail_on(spark, path, folder, on_rotation="restart") == expected
+
+
+def test_renamed_log_is_read_on(spark, folder):
+    logs = f"{folder}/logs"
+    os.mkdir(logs)
+    write(f"{logs}/a.csv", "1,1,1\n2,2,")
+    assert tail_on(spark, logs, folder) == [(1, 1, 1)]
+    os.rename(f"{logs}/a.csv", f"{logs}/a.csv.1")
+    write(f"{logs}/a.csv.1", "2\n", "a")
+    write(f"{logs}/a.csv", "3,3,3\n")
+    assert tail_on(spark, logs, folder) == [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
+
+
+def test_vanished_log(spark, folder):
+    logs = f"{folder}/logs"
+    os.mkdir(logs)
+    write(f"{logs}/whole.csv", "1,1,1\n")
+    write(f"{logs}/half.csv", "2,2,2\n3,3")
+    assert len(tail_on(spark, logs, folder)) == 2
+    os.rename(f"{logs}/whole.csv", f"{folder}/elsewhere.csv")
+    write(f"{logs}/new.csv", "4,4,4\n")
+    assert len(tail_on(spark, logs, folder)) == 3
+    os.rename(f"{logs}/half.csv", f"{folder}/elsewhere-2.csv")
+    write(f"{logs}/new.csv", "5,5,5\n", "a")
+    with pytest.raises(Exception, match="not complete"):
+        tail_on(spark, logs, folder)
+    assert len(tail_on(spark, logs, folder, on_rotation="restart")) == 4
+
+
+def test_logs_in_folders_and_empty_logs(spark, folder, rows):
+    logs = f"{folder}/logs"
+    os.makedirs(f"{logs}/dt=1/_temporary")
+    assert rows(logtail.read_log(spark, logs, SCORES)) == []
+    write(f"{logs}/empty.csv", "")
+    assert rows(logtail.read_log(spark, logs, SCORES)) == []
+    write(f"{logs}/b.csv", "1,1,1\n")
+    write(f"{logs}/dt=1/a.csv", "2,2,2\n3,3,3\n")
+    write(f"{logs}/dt=1/_temporary/c.csv", "9,9,9\n")
+    write(f"{logs}/.hidden", "9,9,9\n")
+    assert rows(logtail.read_log(spark, logs, SCORES)) == [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
+    assert tail_on(spark, logs, folder) == [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
+
+
 def test_rolling_folder(spark, folder):
     logs, out = f"{folder}/logs", f"{folder}/out"
     os.mkdir(logs)
