@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.changelog import INSERT
+from millrace.sources.changelog import DELETE, INSERT
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str | Column, name: str) -> DataFrame:
@@ -30,3 +30,15 @@ def retractable(changes: DataFrame, keys: Sequence[str], op: str = "_op", **sums
     rows = F.sum(signed(F.lit(1).cast("long"), op)).alias("_rows")
     totals = [F.sum(signed(column, op)).alias(name) for name, column in sums.items()]
     return changes.groupBy(*keys).agg(rows, *totals).where("_rows > 0").drop("_rows")
+
+
+def retracting(changes: DataFrame, keys: Sequence[str], op: str = "_op", **sums: str | Column) -> DataFrame:
+    """As ``retractable``, for update streams: a key without rows left comes once more, as ``-D``, the others as ``+I``.
+
+    A row replaces the key's former one.
+    """
+    rows = F.sum(signed(F.lit(1).cast("long"), op)).alias("_rows")
+    totals = [F.sum(signed(column, op)).alias(name) for name, column in sums.items()]
+    summed = changes.groupBy(*keys).agg(rows, *totals)
+    kind = F.when(F.col("_rows") > 0, F.lit(INSERT)).otherwise(F.lit(DELETE)).alias("_op")
+    return summed.select(kind, *keys, *sums)

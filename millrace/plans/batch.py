@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import aggregate, registry, scalar
 from millrace.operators import aggregates, joins, lateral, ordering, projection, running, windows
-from millrace.operators.salting import Salting, find_hot_keys
+from millrace.operators.salting import Salting
 from millrace.plans import tables as t
 from millrace.session import shared_folder
 from millrace.sinks import tables as sink_tables
@@ -34,15 +34,18 @@ def query(sql: str):
 LOG_SCHEMA = "l_orderkey bigint, l_linenumber int, quantity int, l_returnflag string, l_partkey int"
 
 
-def lineitem_log(spark: SparkSession, sf_dir: str) -> str:
-    """The line items as delimited text in the shared folder."""
-    lines = t.table(spark, sf_dir, "lineitem").select(
+def log_lines(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         F.concat_ws(
             ",", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int"), "l_returnflag", F.col("l_partkey")
         ).alias("value")
     )
+
+
+def lineitem_log(spark: SparkSession, sf_dir: str) -> str:
+    """The line items as delimited text in the shared folder."""
     path = shared_folder(spark, "log")
-    lines.write.text(path)
+    log_lines(t.table(spark, sf_dir, "lineitem")).write.text(path)
     return path
 
 
@@ -220,8 +223,7 @@ def join_right(spark, sf_dir):
 @query(_order_lines_sql("FULL"))
 def join_full(spark, sf_dir):
     lines, orders = _order_lines(spark, sf_dir)
-    hot = find_hot_keys([lines, orders], ["orderkey", "status"])
-    return joins.regular_join(lines, orders, ["orderkey", "status"], "full", salting=hot)
+    return joins.regular_join(lines, orders, ["orderkey", "status"], "full")
 
 
 @query(_order_lines_sql("FULL"))
@@ -298,8 +300,7 @@ def enrich_lookup(spark, sf_dir):
     dim = t.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("last_flag"), "l_shipdate", "l_linenumber"
     )
-    hot = find_hot_keys(orders, ["o_orderkey"])
-    return joins.enrich(orders, dim, "o_orderkey", ["l_shipdate", "l_linenumber", "last_flag"], ["last_flag"], hot)
+    return joins.enrich(orders, dim, "o_orderkey", ["l_shipdate", "l_linenumber", "last_flag"], ["last_flag"])
 
 
 LATERAL_SQL = """

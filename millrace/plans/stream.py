@@ -1,22 +1,23 @@
-"""Queries on streams. Each runs over all available data and gives what the stream wrote.
+"""Queries on streams. Their tables arrive in parts; after each delivery the stream is started, reads on from its
+checkpoint and stops, and the query gives what it wrote in all its runs.
 
 The SQL describes the result after the last micro-batch: windows that the watermark has not closed yet are not there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates, joins, windows
-from millrace.operators.salting import Salting, find_hot_keys
+from millrace.operators.salting import find_hot_keys, kept_with
 from millrace.plans import batch
 from millrace.plans import tables as t
 from millrace.plans.batch import LOG_SCHEMA, Query
-from millrace.session import shared_folder
+from millrace.session import fair_partitions, shared_folder
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, logtail, messages
-from millrace.streaming import carried, changelog_band, changelog_join, keyed, lookup, ordering, runner
+from millrace.streaming import carried, changelog_band, changelog_join, delta_join, keyed, lookup, ordering, runner
 
 STREAM: dict[str, tuple[Query, str]] = {}
 
@@ -28,17 +29,23 @@ def query(sql: str):
     return add
 
 
-def _income(spark: SparkSession, sf_dir: str, delay: str = "0 seconds") -> DataFrame:
-    events = t.zoned(t.income(t.table_stream(spark, sf_dir, "events")), "ts")
-    return windows.with_watermark(events, "ts", delay)
+def _in_time(sql: str) -> str:
+    """Rows that come when their windows are closed are dropped."""
+    return sql.replace("FROM events", f"FROM (SELECT * FROM events WHERE NOT {t.LATE_SQL}) AS events")
 
 
 def _closed(sql: str) -> str:
-    return f"SELECT * FROM ({sql}) WHERE window_end <= (SELECT max(ts) FROM events)"
+    return f"SELECT * FROM ({_in_time(sql)}) WHERE window_end <= (SELECT max(ts) FROM events)"
 
 
-def _windows(spark, build) -> DataFrame:
-    return t.zoneless(t.run_append(spark, build), "window_start", "window_end")
+def _windows(spark, sf_dir, build) -> DataFrame:
+    """Windows over events that arrive in order of time, with late ones at the end."""
+    arrivals = t.events_in_time(spark, sf_dir)
+
+    def income(_checkpoint):
+        return build(windows.with_watermark(t.zoned(t.income(arrivals.stream("events")), "ts"), "ts"))
+
+    return t.zoneless(t.run_append(spark, arrivals, income), "window_start", "window_end")
 
 
 # ---- sources
@@ -48,26 +55,29 @@ def _windows(spark, build) -> DataFrame:
     "FROM lineitem"
 )
 def log_tail_stream(spark, sf_dir):
-    path = batch.lineitem_log(spark, sf_dir)
-    return t.run_append(spark, lambda: logtail.read_log(spark, path, LOG_SCHEMA, mode="stream"))
+    """Logs that come while the stream is stopped, in sub-folders; each run reads on from its checkpoint."""
+    lines = batch.log_lines(t.table(spark, sf_dir, "lineitem"))
+    root, folder = shared_folder(spark, "log"), shared_folder(spark, "stream")
+    for part in range(t.PARTS):
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(t.PARTS)) == part).write.text(f"{root}/part={part}")
+        stream = logtail.read_log(spark, root, LOG_SCHEMA, mode="stream")
+        runner.finish(runner.start_append(stream, f"{folder}/rows", f"{folder}/checkpoint"))
+    return runner.read_append(spark, f"{folder}/rows", stream)
 
 
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def json_message_stream(spark, sf_dir):
     """Rows to JSON messages, and the messages back to typed rows."""
+    arrivals = t.Arrivals(spark, t.PARTS, conversations=(t.table(spark, sf_dir, "conversations"), t.by_content("conv_id")))
     schema = "conv_id bigint, turn bigint, role string, text string"
     path = shared_folder(spark, "messages")
 
-    def written():
-        rows = t.table_stream(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-        return sink_messages.write_messages(
-            sink_messages.to_json_value(rows), {}, path + "-checkpoint", "text", path, runner.AVAILABLE_NOW
-        )
+    def build(checkpoint):
+        rows = sink_messages.to_json_value(arrivals.stream("conversations").select("conv_id", "turn", "role", "text"))
+        runner.finish(sink_messages.write_messages(rows, {}, path + "-checkpoint", "text", path, runner.AVAILABLE_NOW))
+        return messages.decode_json(messages.message_stream(spark, {}, "text", path), schema, strict=True)
 
-    runner.finish(written())
-    return t.run_append(
-        spark, lambda: messages.decode_json(messages.message_stream(spark, {}, "text", path), schema, strict=True)
-    )
+    return t.run_append(spark, arrivals, build)
 
 
 # ---- aggregates
@@ -75,86 +85,116 @@ def json_message_stream(spark, sf_dir):
 @query(batch.GROUP_SUM_SQL)
 def group_sum_stream(spark, sf_dir):
     """Updating result; the last update of a key is its value."""
+    arrivals = t.events_in_order(spark, sf_dir)
 
     def start(path, checkpoint):
-        scores = t.score(t.table_stream(spark, sf_dir, "events"))
-        sums = aggregates.group_sum(scores, ["stuname"], "score", "total_score")
+        sums = aggregates.group_sum(t.score(arrivals.stream("events")), ["stuname"], "score", "total_score")
         return runner.start_batches(sums, path, checkpoint, "update")
 
-    updates = t.run_batches(spark, start)
+    updates = t.run_batches(spark, arrivals, start)
     return updates.groupBy("stuname").agg(F.max_by("total_score", "batch").alias("total_score"))
 
 
+@query(f"""
+SELECT segment, CAST(sum(balance) AS BIGINT) AS total FROM (
+  SELECT c_mktsegment AS segment, CAST(round(c_acctbal * 100) AS BIGINT) AS balance FROM customer WHERE c_mktsegment <> 'MACHINERY'
+) GROUP BY segment
+""")
+def retraction_stream(spark, sf_dir):
+    """Sums over a changelog whose changes come in later micro-batches; a key that has gone is taken back."""
+    arrivals = _customer_messages(spark, sf_dir)
+
+    def start(path, checkpoint):
+        changes = changelog.decode_changes(arrivals.stream("messages"), t.DIM_SCHEMA)
+        sums = aggregates.retracting(changes, ["segment"], total="balance")
+        return runner.start_batches(sums, path, checkpoint, "update")
+
+    updates = t.run_batches(spark, arrivals, start)
+    last = updates.groupBy("segment").agg(F.max_by(F.struct("_op", "total"), "batch").alias("last"))
+    return last.where(F.col("last._op") == changelog.INSERT).select("segment", "last.total")
+
+
 @query(batch.RUNNING_SQL)
 def running_total_stream(spark, sf_dir):
-    def build():
-        events = t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES).select("user_id", "event_id", t.cents("value").alias("amount"))
+    arrivals = t.events_in_order(spark, sf_dir)
+
+    def build(_checkpoint):
+        events = arrivals.stream("events", t.KEYED_BATCH_BYTES).select("user_id", "event_id", t.cents("value").alias("amount"))
         return keyed.running_total(events, "user_id", "event_id", "amount").drop("amount")
 
-    return t.run_append(spark, build)
+    return t.run_append(spark, arrivals, build)
 
 
 @query(batch.RUNNING_SQL)
 def running_total_large_batches(spark, sf_dir):
+    arrivals = t.events_in_order(spark, sf_dir)
+
     def start(path, checkpoint):
-        events = t.table_stream(spark, sf_dir, "events").select("user_id", "event_id", t.cents("value").alias("amount"))
+        events = arrivals.stream("events").select("user_id", "event_id", t.cents("value").alias("amount"))
         return carried.start_running_total(events, "user_id", "event_id", "amount", path, checkpoint)
 
-    return t.run_batches(spark, start).drop("amount", "batch")
+    return t.run_batches(spark, arrivals, start).drop("amount", "batch")
 
 
 # ---- windows and order
 
 @query(_closed(batch.TUMBLE_SQL))
 def tumble_stream(spark, sf_dir):
-    return _windows(spark, lambda: windows.tumble(_income(spark, sf_dir), "ts", "1 hour", batch.total()))
+    return _windows(spark, sf_dir, lambda income: windows.tumble(income, "ts", "1 hour", batch.total()))
 
 
 @query(_closed(batch.HOP_SQL))
 def hop_stream(spark, sf_dir):
-    return _windows(spark, lambda: windows.hop(_income(spark, sf_dir), "ts", "10 minutes", "1 hour", {"total_amount": ("sum", "amount")}))
+    return _windows(spark, sf_dir, lambda income: windows.hop(income, "ts", "10 minutes", "1 hour", {"total_amount": ("sum", "amount")}))
 
 
 @query(_closed(batch.CUMULATE_SQL))
 def cumulate_stream(spark, sf_dir):
     return _windows(
-        spark,
-        lambda: windows.cumulate(_income(spark, sf_dir), "ts", "1 hour", "1 day", {"total_amount": ("sum", "amount")}),
+        spark, sf_dir, lambda income: windows.cumulate(income, "ts", "1 hour", "1 day", {"total_amount": ("sum", "amount")})
     )
 
 
 @query("SELECT CAST(sum(CAST(round(value * 100) AS INTEGER)) AS BIGINT) AS total_amount FROM events")
 def processing_time_tumble_stream(spark, sf_dir):
     """Windows by arrival hold every row once, whenever it arrived."""
+    arrivals = t.events_in_order(spark, sf_dir)
 
     def start(path, checkpoint):
-        rows = t.income(t.table_stream(spark, sf_dir, "events"))
-        by_window = windows.tumble_by_processing_time(rows, "1 minute", batch.total())
+        by_window = windows.tumble_by_processing_time(t.income(arrivals.stream("events")), "1 minute", batch.total())
         return runner.start_batches(by_window, path, checkpoint, "update")
 
-    updates = t.run_batches(spark, start)
+    updates = t.run_batches(spark, arrivals, start)
     last = updates.groupBy("window_start", "window_end").agg(F.max_by("total_amount", "batch").alias("total_amount"))
     return last.agg(F.sum("total_amount").alias("total_amount"))
 
 
-@query(
-    "SELECT CAST(user_id AS VARCHAR) AS stuname, event_type AS subject, CAST(round(value * 100) AS INTEGER) AS score, ts FROM events "
-    "WHERE time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"
+@query(f"""
+SELECT stuname, subject, score, ts, CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS position FROM (
+  SELECT CAST(user_id AS VARCHAR) AS stuname, event_type AS subject, CAST(round(value * 100) AS INTEGER) AS score, ts, event_id
+  FROM events WHERE time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND
+    AND NOT {t.LATE_SQL}
 )
+""")
 def order_by_time_stream(spark, sf_dir):
+    """The rows in the order in which the stream wrote them, counted through its micro-batches and files."""
+    arrivals = t.events_in_time(spark, sf_dir)
+
     def start(path, checkpoint):
-        scores = t.zoned(t.score(t.table_stream(spark, sf_dir, "events")), "ts")
+        scores = t.zoned(t.score(arrivals.stream("events")), "ts")
         return ordering.start_ordered(scores, "ts", path, checkpoint, "10 seconds", "1 minute", ties=["event_id"])
 
-    rows = t.run_batches(spark, start)
-    return t.zoneless(rows, "ts").select("stuname", "subject", "score", "ts").orderBy("ts")
+    rows = t.zoneless(ordering.with_position(t.run_batches(spark, arrivals, start)), "ts")
+    return rows.select("stuname", "subject", "score", "ts", "position")
 
 
 # ---- joins
 
-def _hot_orders(spark, sf_dir) -> Salting:
-    """Hot customers by what has been stored so far; the choice belongs to the stream's checkpoint."""
-    return find_hot_keys(t.ods_score(t.table(spark, sf_dir, "orders")), ["stu_no"])
+def _scores_and_students(spark, sf_dir) -> t.Arrivals:
+    scores, students = t.ods_score(t.table(spark, sf_dir, "orders")), t.dim_student(t.table(spark, sf_dir, "customer"))
+    return t.Arrivals(
+        spark, t.PARTS, scores=(scores, t.by_content("sub_no")), students=(students, t.by_content("stu_no"))
+    )
 
 
 @query(
@@ -162,40 +202,45 @@ def _hot_orders(spark, sf_dir) -> Salting:
     "FROM orders JOIN customer ON o_custkey = c_custkey"
 )
 def stream_join_inner(spark, sf_dir):
-    hot = _hot_orders(spark, sf_dir)
+    """Hot keys are looked for in the first part and stay with the checkpoint."""
+    arrivals = _scores_and_students(spark, sf_dir)
 
-    def build():
-        scores = t.ods_score(t.table_stream(spark, sf_dir, "orders"))
-        students = t.dim_student(t.table_stream(spark, sf_dir, "customer"))
-        joined = joins.regular_join(scores, students, ["stu_no"], salting=hot)
+    def build(checkpoint):
+        seen = spark.read.schema("stu_no bigint").parquet(f"{arrivals.folder}/scores")
+        hot = kept_with(spark, checkpoint, lambda: find_hot_keys(seen, ["stu_no"]))
+        joined = joins.regular_join(arrivals.stream("scores"), arrivals.stream("students"), ["stu_no"], salting=hot)
         return joined.select("stu_no", "stu_name", "sub_no", "score")
 
-    return t.run_append(spark, build)
+    return t.run_append(spark, arrivals, build)
 
 
 @query(batch._theta_sql("INNER"))
 def stream_join_theta(spark, sf_dir):
-    def build():
-        purchases = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events"))[0]
-        views = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events"))[1]
+    arrivals = t.events_by_content(spark, sf_dir)
+
+    def build(_checkpoint):
+        purchases = batch._views_and_purchases(arrivals.stream("events"))[0]
+        views = batch._views_and_purchases(arrivals.stream("events"))[1]
         return joins.band_join(
             purchases, views, "purchase_id", "view_id", -5, -1, condition=F.col("viewer") != F.col("buyer")
         )
 
-    return t.run_append(spark, build)
+    return t.run_append(spark, arrivals, build)
 
 
 def _theta_changes(spark, sf_dir, how):
-    def build():
-        purchases = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[0]
-        views = batch._views_and_purchases(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[1]
+    arrivals = t.events_by_content(spark, sf_dir)
+
+    def build(_checkpoint):
+        purchases = batch._views_and_purchases(arrivals.stream("events", t.KEYED_BATCH_BYTES))[0]
+        views = batch._views_and_purchases(arrivals.stream("events", t.KEYED_BATCH_BYTES))[1]
         return changelog_band.changelog_band_join(
             purchases, views, "purchase_id", "view_id", -5, -1, how,
             matches=lambda purchase, view: view.viewer != purchase.buyer,
             bucket_width=64,  # numbers are unique, so a bucket has at most as many rows
         )
 
-    return changelog.materialize(t.run_append(spark, build))
+    return changelog.materialize(t.run_append(spark, arrivals, build))
 
 
 @query(batch._theta_sql("LEFT"))
@@ -203,18 +248,20 @@ def stream_join_theta_left(spark, sf_dir):
     return _theta_changes(spark, sf_dir, "left")
 
 
+@query(batch._theta_sql("RIGHT"))
+def stream_join_theta_right(spark, sf_dir):
+    return _theta_changes(spark, sf_dir, "right")
+
+
 @query(batch._theta_sql("FULL"))
 def stream_join_theta_full(spark, sf_dir):
     return _theta_changes(spark, sf_dir, "full")
 
 
-def _hot_users(spark, sf_dir) -> Salting:
-    return find_hot_keys(_event_scores(t.table(spark, sf_dir, "events")), ["stu_no"])
-
-
-def _customer_changes(spark, sf_dir):
-    envelopes = t.customer_changes(t.table_stream(spark, sf_dir, "customer", t.KEYED_BATCH_BYTES))
-    return changelog.decode_changes(envelopes, t.DIM_SCHEMA).select("_op", "stu_no", "stu_name", "segment")
+def _customer_messages(spark, sf_dir, **others) -> t.Arrivals:
+    """Change envelopes: creations first, then changes, then removals."""
+    messages_ = t.customer_changes(t.table(spark, sf_dir, "customer"))
+    return t.Arrivals(spark, t.PARTS, messages=(messages_, F.col("position")), **others)
 
 
 def _changelog_sql(left: str, how: str) -> str:
@@ -233,85 +280,100 @@ def _event_scores(events: DataFrame) -> DataFrame:
     )
 
 
-@query(_changelog_sql(_ORDERS_SQL, "LEFT"))
-def stream_join_changelog(spark, sf_dir):
-    hot = _hot_orders(spark, sf_dir)
+def _changes_of_join(spark, sf_dir, scores: DataFrame, how: str) -> DataFrame:
+    """What the join wrote over all micro-batches: scores that wait for their student are padded, and taken back later."""
+    arrivals = _customer_messages(spark, sf_dir, scores=(scores, t.by_content("sub_no")))
 
-    def build():
-        scores = t.ods_score(t.table_stream(spark, sf_dir, "orders", t.KEYED_BATCH_BYTES))
-        return changelog_join.changelog_join(scores, _customer_changes(spark, sf_dir), ["stu_no"], "left", hot)
+    def start(path, checkpoint):
+        students = changelog.decode_changes(arrivals.stream("messages"), t.DIM_SCHEMA).select("_op", "stu_no", "stu_name", "segment")
+        return delta_join.start_changelog_join(
+            arrivals.stream("scores"), students, ["stu_no"], path, checkpoint, how, buckets=fair_partitions(spark)
+        )
 
-    return changelog.materialize(t.run_append(spark, build))
+    return t.run_batches(spark, arrivals, start)
 
 
-@query(_changelog_sql(_EVENTS_SQL, "RIGHT"))
-def stream_join_changelog_right(spark, sf_dir):
-    hot = _hot_users(spark, sf_dir)
+@query(_changelog_sql(_ORDERS_SQL, "LEFT"))
+def stream_join_changelog(spark, sf_dir):
+    changes = _changes_of_join(spark, sf_dir, t.ods_score(t.table(spark, sf_dir, "orders")), "left")
+    return changelog.materialize(changes.drop("batch"))
 
-    def build():
-        changes = _customer_changes(spark, sf_dir)
-        scores = _event_scores(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))
-        return changelog_join.changelog_join(scores, changes, ["stu_no"], "right", hot)
 
-    return changelog.materialize(t.run_append(spark, build))
+@query(_changelog_sql(_EVENTS_SQL, "RIGHT"))
+def stream_join_changelog_right(spark, sf_dir):
+    changes = _changes_of_join(spark, sf_dir, _event_scores(t.table(spark, sf_dir, "events")), "right")
+    return changelog.materialize(changes.drop("batch"))
 
 
 @query(_changelog_sql(_EVENTS_SQL, "FULL"))
 def stream_join_changelog_full(spark, sf_dir):
-    hot = _hot_users(spark, sf_dir)
-
-    def build():
-        changes = _customer_changes(spark, sf_dir)
-        scores = _event_scores(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))
-        return changelog_join.changelog_join(scores, changes, ["stu_no"], "full", hot)
+    changes = _changes_of_join(spark, sf_dir, _event_scores(t.table(spark, sf_dir, "events")), "full")
+    return changelog.materialize(changes.drop("batch"))
+
+
+@query(_changelog_sql(_EVENTS_SQL, "LEFT"))
+def stream_join_changelog_keyed(spark, sf_dir):
+    """The same with one state entry per row in the state store, for small and frequent micro-batches."""
+    scores = _event_scores(t.table(spark, sf_dir, "events"))
+    arrivals = _customer_messages(spark, sf_dir, scores=(scores, t.by_content("sub_no")))
+
+    def build(checkpoint):
+        seen = spark.read.schema("stu_no bigint").parquet(f"{arrivals.folder}/scores")
+        hot = kept_with(spark, checkpoint, lambda: find_hot_keys(seen, ["stu_no"]))
+        students = changelog.decode_changes(arrivals.stream("messages", t.KEYED_BATCH_BYTES), t.DIM_SCHEMA)
+        return changelog_join.changelog_join(
+            arrivals.stream("scores", t.KEYED_BATCH_BYTES), students.select("_op", "stu_no", "stu_name", "segment"), ["stu_no"], "left", hot
+        )
 
-    return changelog.materialize(t.run_append(spark, build))
+    return changelog.materialize(t.run_append(spark, arrivals, build))
 
 
 LOOKUP_SQL = "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
 
-def _lookup_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame, Salting]:
-    def documents(df: DataFrame) -> DataFrame:
-        return df.select("doc_id", "lang", "n_chars")
-
-    hot = find_hot_keys(t.table(spark, sf_dir, "documents"), ["doc_id"])
-    return documents(t.table_stream(spark, sf_dir, "documents")), t.table(spark, sf_dir, "labels"), hot
+def _lookup(spark, sf_dir, start) -> DataFrame:
+    documents = t.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    arrivals = t.Arrivals(spark, t.PARTS, documents=(documents, t.by_content("doc_id")))
+    return t.run_batches(spark, arrivals, lambda path, checkpoint: start(arrivals.stream("documents"), path, checkpoint)).drop("batch")
 
 
 @query(LOOKUP_SQL)
 def lookup_join(spark, sf_dir):
-    documents, labels, hot = _lookup_parts(spark, sf_dir)
-    return t.run_append(spark, lambda: lookup.lookup_join(documents, labels, ["doc_id"], salting=hot))
+    def start(documents, path, checkpoint):
+        return lookup.start_lookup(documents, lambda: t.table(spark, sf_dir, "labels"), ["doc_id"], path, checkpoint)
+
+    return _lookup(spark, sf_dir, start)
 
 
 @query(LOOKUP_SQL)
 def lookup_join_cached(spark, sf_dir):
-    documents, labels, hot = _lookup_parts(spark, sf_dir)
-
-    def start(path, checkpoint):
+    def start(documents, path, checkpoint):
         return lookup.start_cached_lookup(
-            documents, lambda: labels, ["doc_id"], path, checkpoint, refresh_seconds=30, salting=hot
+            documents, lambda: t.table(spark, sf_dir, "labels"), ["doc_id"], path, checkpoint, refresh_seconds=30
         )
 
-    return t.run_batches(spark, start).drop("batch")
+    return _lookup(spark, sf_dir, start)
 
 
 @query(batch.FIRST_ARRIVAL_SQL)
 def first_arrival_join_stream(spark, sf_dir):
-    def build():
-        clicks = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[0]
-        views = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events", t.KEYED_BATCH_BYTES))[1]
+    arrivals = t.events_in_order(spark, sf_dir)
+
+    def build(_checkpoint):
+        clicks = batch.clicks_and_views(arrivals.stream("events", t.KEYED_BATCH_BYTES))[0]
+        views = batch.clicks_and_views(arrivals.stream("events", t.KEYED_BATCH_BYTES))[1]
         return keyed.first_arrival_join(clicks, views, "user_id", "event_id")
 
-    return t.run_append(spark, build)
+    return t.run_append(spark, arrivals, build)
 
 
 @query(batch.FIRST_ARRIVAL_SQL)
 def first_arrival_join_large_batches(spark, sf_dir):
+    arrivals = t.events_in_order(spark, sf_dir)
+
     def start(path, checkpoint):
-        clicks = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events"))[0]
-        views = batch.clicks_and_views(t.table_stream(spark, sf_dir, "events"))[1]
+        clicks = batch.clicks_and_views(arrivals.stream("events"))[0]
+        views = batch.clicks_and_views(arrivals.stream("events"))[1]
         return carried.start_first_arrival_join(clicks, views, "user_id", "event_id", path, checkpoint)
 
-    return t.run_batches(spark, start).drop("batch")
+    return t.run_batches(spark, arrivals, start).drop("batch")

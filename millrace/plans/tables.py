@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import is_local, scoped_conf, shared_folder
+from millrace.session import scoped_conf, shared_folder
 from millrace.sources.changelog import encode_change
 from millrace.streaming import runner
 
@@ -36,19 +36,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Input of one micro-batch for operators whose Python state processors hold the changes of a key in memory.
-KEYED_BATCH_BYTES = 64 << 30
+KEYED_BATCH_BYTES = 256 << 20
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_bytes: int | None = None) -> DataFrame:
-    """The table's files as a stream; the pattern matches one file as well as a folder of files.
+class Arrivals:
+    """Tables that arrive part by part, as the input of streams.
 
-    ``max_bytes`` limits a micro-batch. Without it one micro-batch takes all files, which suits aggregates that Spark
-    combines before the shuffle.
+    Each table is cut by a column expression that gives the number of a row's part. ``deliver`` puts the rows of one part
+    into the folders that the streams read; a query is started after each delivery and resumes from its checkpoint, so
+    every part is a micro-batch of its own and every run but the first a restart.
     """
-    reader = spark.readStream.schema(SCHEMAS[name])
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
-    return reader.parquet(f"{sf_dir}/{name}.parquet*")
+
+    def __init__(self, spark: SparkSession, parts: int, **tables: tuple[DataFrame, Column]):
+        self.spark, self.parts, self.tables = spark, parts, tables
+        self.folder = shared_folder(spark, "arrivals")
+
+    def deliver(self, part: int) -> None:
+        for name, (df, number) in self.tables.items():
+            df.where(number == part).write.mode("append").parquet(f"{self.folder}/{name}")
+
+    def stream(self, name: str, max_bytes: int | None = None) -> DataFrame:
+        """``max_bytes`` limits a micro-batch; without it one takes all new files."""
+        reader = self.spark.readStream.schema(self.tables[name][0].schema)
+        if max_bytes is not None:
+            reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+        return reader.parquet(f"{self.folder}/{name}")
+
+
+PARTS = 3
+
+
+def by_content(*columns: str) -> Column:
+    """Parts of about equal size, whatever the order of the rows."""
+    return F.pmod(F.xxhash64(*columns), F.lit(PARTS)).cast("int")
+
+
+def by_order(df: DataFrame, column: str) -> Column:
+    """Parts that follow each other in ``column``."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return F.floor((F.col(column) - F.lit(low)) * F.lit(PARTS) / F.lit((high or 0) - (low or 0) + 1)).cast("int")
+
+
+# Rows that come when their windows are long closed: every fiftieth of the first half of the time.
+LATE_SQL = "(event_id % 50 = 0 AND epoch_us(ts) < (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events))"
+
+
+def events_in_time(spark: SparkSession, sf_dir: str) -> Arrivals:
+    """Events in parts that follow each other in time, and in a last part the late ones (``LATE_SQL``)."""
+    events = table(spark, sf_dir, "events")
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(time), F.max(time)).first()
+    part = F.floor((time - F.lit(low)) * F.lit(PARTS) / F.lit(high - low + 1)).cast("int")
+    late = (F.col("event_id") % 50 == 0) & (time < F.lit((low + high) // 2))
+    return Arrivals(spark, PARTS + 1, events=(events, F.when(late, F.lit(PARTS)).otherwise(part)))
+
+
+def events_in_order(spark: SparkSession, sf_dir: str) -> Arrivals:
+    """Events in parts that follow each other by their numbers."""
+    events = table(spark, sf_dir, "events")
+    return Arrivals(spark, PARTS, events=(events, by_order(events, "event_id")))
+
+
+def events_by_content(spark: SparkSession, sf_dir: str) -> Arrivals:
+    return Arrivals(spark, PARTS, events=(table(spark, sf_dir, "events"), by_content("event_id")))
 
 
 def zoned(df: DataFrame, *names: str) -> DataFrame:
@@ -141,25 +191,27 @@ def customer_changes(customer: DataFrame) -> DataFrame:
 
 
 def _state_conf(spark: SparkSession):
-    """On one machine a state store per core is enough; a cluster keeps the session's number of partitions."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if is_local(spark):
-        partitions = min(partitions, spark.sparkContext.defaultParallelism)
-    return scoped_conf(spark, spark__sql__shuffle__partitions=partitions)
+    """One state store per core at most; the number belongs to the checkpoint."""
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return scoped_conf(spark, spark__sql__shuffle__partitions=max(1, partitions))
 
 
-def run_append(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
-    """Run a stream over all available data in append mode and give what it wrote."""
+def run_append(spark: SparkSession, arrivals: Arrivals, build: Callable[[str], DataFrame]) -> DataFrame:
+    """Run a stream in append mode after each delivery and give what it wrote; ``build`` gets the checkpoint's path."""
     with _state_conf(spark):
         folder = shared_folder(spark, "stream")
-        stream = build()
-        runner.finish(runner.start_append(stream, f"{folder}/rows", f"{folder}/checkpoint"))
+        for part in range(arrivals.parts):
+            arrivals.deliver(part)
+            stream = build(f"{folder}/checkpoint")
+            runner.finish(runner.start_append(stream, f"{folder}/rows", f"{folder}/checkpoint"))
         return runner.read_append(spark, f"{folder}/rows", stream)
 
 
-def run_batches(spark: SparkSession, start: Callable[[str, str], object]) -> DataFrame:
-    """Run a stream that writes numbered micro-batches; the result has the number in ``batch``."""
+def run_batches(spark: SparkSession, arrivals: Arrivals, start: Callable[[str, str], object]) -> DataFrame:
+    """Run a stream that writes numbered micro-batches after each delivery; the result has the number in ``batch``."""
     with _state_conf(spark):
         folder = shared_folder(spark, "stream")
-        runner.finish(start(f"{folder}/rows", f"{folder}/checkpoint"))
+        for part in range(arrivals.parts):
+            arrivals.deliver(part)
+            runner.finish(start(f"{folder}/rows", f"{folder}/checkpoint"))
         return runner.read_batches(spark, f"{folder}/rows")

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Arrow batches of long texts stay small
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
     # equality filters reach Python data sources
     "spark.sql.python.filterPushdown.enabled": "true",
     # state on disk, with only the changes uploaded at each commit

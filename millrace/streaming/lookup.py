@@ -16,9 +16,10 @@ from millrace.streaming.runner import start_batches
 def lookup_join(
     stream: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", salting: Salting = NO_SALTING
 ) -> DataFrame:
-    """Stream-static join; Spark reads the table again in every micro-batch, later changes do not touch old rows.
+    """Join of rows with the table as ``dim`` shows it.
 
-    ``salting`` spreads the stream rows of hot keys when the table is too large to be broadcast.
+    A frame over files keeps the list of its files, so on a stream it shows the table of the start; ``start_lookup`` makes
+    a new frame in each micro-batch. ``salting`` spreads the stream rows of hot keys when the table is too large to be broadcast.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
@@ -29,8 +30,24 @@ def lookup_join(
     return spread.join(salting.copy(dim, keys), [*keys, "_salt"], how).drop("_salt")
 
 
+def start_lookup(
+    stream: DataFrame,
+    load: Callable[[], DataFrame],
+    on: Sequence[str],
+    path: str,
+    checkpoint: str,
+    how: str = "left",
+    salting: Salting = NO_SALTING,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Lookup join that loads the table anew in every micro-batch; later changes do not touch old rows."""
+    return start_batches(
+        stream, path, checkpoint, "append", lambda rows, _: lookup_join(rows, load(), on, how, salting), trigger
+    )
+
+
 class Snapshot:
-    """The external table, read again when the kept copy is older than ``refresh_seconds``."""
+    """The external table, loaded again when the kept copy is older than ``refresh_seconds``."""
 
     def __init__(self, load: Callable[[], DataFrame], refresh_seconds: float, clock: Callable[[], float] = time.monotonic):
         self.load = load
@@ -42,12 +59,37 @@ class Snapshot:
     def get(self) -> DataFrame:
         now = self.clock()
         if self.frame is None or now - self.loaded_at >= self.refresh:
-            if self.frame is not None:
-                self.frame.unpersist()
+            self.drop()
             self.frame = self.load().persist(StorageLevel.MEMORY_AND_DISK)
             self.loaded_at = now
         return self.frame
 
+    def drop(self) -> None:
+        if self.frame is not None:
+            self.frame.unpersist()
+            self.frame = None
+
+
+class CachedLookup:
+    """A running cached lookup; its snapshot is dropped when it ends."""
+
+    def __init__(self, query: StreamingQuery, snapshot: Snapshot):
+        self.query, self.snapshot = query, snapshot
+
+    def awaitTermination(self, timeout: int | None = None) -> bool | None:
+        try:
+            return self.query.awaitTermination(timeout)
+        finally:
+            if not self.query.isActive:
+                self.snapshot.drop()
+
+    def stop(self) -> None:
+        self.query.stop()
+        self.snapshot.drop()
+
+    def __getattr__(self, name: str):
+        return getattr(self.query, name)
+
 
 def start_cached_lookup(
     stream: DataFrame,
@@ -60,11 +102,11 @@ def start_cached_lookup(
     salting: Salting = NO_SALTING,
     trigger: dict | None = None,
     clock: Callable[[], float] = time.monotonic,
-) -> StreamingQuery:
-    """Lookup join against a kept snapshot; reads may be stale up to the refresh time."""
+) -> CachedLookup:
+    """Lookup join against a kept snapshot; ``load`` makes a new frame, and reads may be stale up to the refresh time."""
     snapshot = Snapshot(load, refresh_seconds, clock)
 
     def join(rows: DataFrame, batch_id: int) -> DataFrame:
         return lookup_join(rows, snapshot.get(), on, how, salting)
 
-    return start_batches(stream, path, checkpoint, "append", join, trigger)
+    return CachedLookup(start_batches(stream, path, checkpoint, "append", join, trigger), snapshot)

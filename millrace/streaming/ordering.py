@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,3 +47,19 @@ def start_ordered(
     """
     held = hold_until_complete(df, ts, delay, bucket)
     return start_batches(held, path, checkpoint, "append", lambda rows, _: order_by_time(rows, ts, *ties), trigger)
+
+
+def with_position(rows: DataFrame, name: str = "position") -> DataFrame:
+    """Number the rows of ``start_ordered`` as they were written: micro-batch, file in the order of names, row in the file.
+
+    Files are counted first, so that each row only needs the rows before its own file.
+    """
+    file = F.col("_metadata.file_name")
+    placed = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = placed.groupBy("batch", "_file").agg(F.count(F.lit(1)).alias("_size"))
+    # one row per file
+    before = F.sum("_size").over(Window.orderBy("batch", "_file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("batch", "_file", F.coalesce(before, F.lit(0)).alias("_start"))
+    return placed.join(starts, ["batch", "_file"]).select(
+        *rows.columns, (F.col("_start") + F.col("_row") + 1).alias(name)
+    )

@@ -100,6 +100,15 @@ def test_own_aggregate_keeps_one_accumulator_per_task(spark):
     assert out.collect()[0]["t"] == sum(range(40_000))
 
 
+def test_a_hot_key_is_copied_no_more_than_its_share_asks(spark):
+    facts = spark.range(0, 1000).select(F.when(F.col("id") < 300, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    dim = facts.select("k").distinct()
+    salting = find_hot_keys(facts, ["k"])  # four partitions: a fair share is 250 rows, the hot key has 300
+    assert [n for _, n in salting.hot] == [2]
+    assert salting.copy(dim, ["k"]).count() == dim.count() + 1
+    assert joins.regular_join(facts, dim, ["k"], "left", salting=salting).count() == 1000
+
+
 def test_quotients(spark, rows):
     df = spark.createDataFrame([(3,), (-3,), (20,), (None,)], "n int")
     assert rows(df.select(scalar.quotient("n"))) == [(-3,), (0,), (3,), (None,)]

@@ -11,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates, joins, windows
-from millrace.operators.salting import Salting
+from millrace.operators.salting import Salting, kept_with
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, messages
-from millrace.streaming import carried, keyed, lookup, ordering, runner
+from millrace.streaming import carried, delta_join, keyed, lookup, ordering, runner
 from millrace.streaming.changelog_band import changelog_band_join
 from millrace.streaming.changelog_join import changelog_join
 from tests.test_batch import first_arrival_by_hand
@@ -221,6 +221,79 @@ def test_changelog_join_nets_to_the_batch_join(spark, feed, run, rows, how):
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+@pytest.fixture
+def delta(spark, folder):
+    """Run the join over what has come since the last run, at a given time; gives the new rows."""
+
+    def start(left, right, how, at=0.0, ttl=None):
+        query = delta_join.start_changelog_join(
+            left, right, ["k"], f"{folder}/out", f"{folder}/checkpoint", how, ttl, buckets=3, clock=lambda: at
+        )
+        runner.finish(query)
+        return runner.read_batches(spark, f"{folder}/out")
+
+    return start
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_delta_join_nets_to_the_batch_join(spark, feed, delta, how, monkeypatch):
+    monkeypatch.setattr(delta_join, "FOLDED", 2)
+    random.seed(8)
+    left, right = feed("left", "_op string, k int, a int"), feed("right", "_op string, k int, b string")
+    live_left, live_right = [], []
+
+    def change(live, name, value):
+        if live and random.random() < 0.4:
+            return {"_op": "-D", **live.pop(random.randrange(len(live)))}
+        row = {"k": random.choice([None, 1, 2, 3, 4, 5]), name: value}
+        live.append(row)
+        return {"_op": "+I", **row}
+
+    for _ in range(5):
+        left.add(*[change(live_left, "a", random.randrange(3)) for _ in range(20)])
+        right.add(*[change(live_right, "b", random.choice("xyz")) for _ in range(20)])
+        out = delta(left.stream(), right.stream(), how)
+    l = spark.createDataFrame([(r["k"], r["a"]) for r in live_left], "k int, a int")
+    r = spark.createDataFrame([(r["k"], r["b"]) for r in live_right], "k int, b string")
+    expected = l.join(r, "k", how).select("k", "a", "b")
+    got = changelog.materialize(out.drop("batch"))
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    assert how == "inner" or out.where("_op = '-D' AND (a IS NULL OR b IS NULL)").count() > 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_delta_join_forgets_what_nobody_meets(feed, delta, how):
+    left, right = feed("left", "_op string, k int, a int"), feed("right", "_op string, k int, b string")
+    right.add()
+    seen = 0
+
+    def step(at, lefts=(), rights=()):
+        nonlocal seen
+        left.add(*[{"_op": op, "k": k, "a": a} for op, k, a in lefts])
+        right.add(*[{"_op": op, "k": k, "b": b} for op, k, b in rights])
+        out = delta(left.stream(), right.stream(), how, at, 5.0).collect()
+        new = sorted((r["_op"], r["k"], r["a"] or 0, r["b"] or "") for r in out if r["batch"] >= seen)
+        seen = max((r["batch"] for r in out), default=-1) + 1
+        return new
+
+    pads_left, pads_right = how in ("left", "full"), how in ("right", "full")
+
+    def when(condition, *rows):
+        return list(rows) if condition else []
+
+    assert step(0, [("+I", 1, 1)]) == when(pads_left, ("+I", 1, 1, ""))
+    # the left row is forgotten, so the right one meets nobody
+    assert step(10, [], [("+I", 1, "x")]) == when(pads_right, ("+I", 1, 0, "x"))
+    assert step(12, [("+I", 1, 2)]) == sorted([("+I", 1, 2, "x"), *when(pads_right, ("-D", 1, 0, "x"))])
+    # met at 12, so still there at 16; the left row of 12 was met by nobody after that
+    assert step(16, [("+I", 1, 3)]) == [("+I", 1, 3, "x")]
+    # at 18 the left row of 12 is forgotten and cannot go any more; the one of 16 can, and the right row is alone
+    assert step(18, [("-D", 1, 2), ("-D", 1, 3)]) == sorted([("-D", 1, 3, "x"), *when(pads_right, ("+I", 1, 0, "x"))])
+    # a forgotten row that comes again is new
+    assert step(40, [("+I", 1, 3)]) == when(pads_left, ("+I", 1, 3, ""))
+    assert step(41, [], [("+I", 1, "x")]) == sorted([("+I", 1, 3, "x"), *when(pads_left, ("-D", 1, 3, ""))])
+
+
 @pytest.mark.parametrize("how", ["left", "right", "full"])
 def test_changelog_band_join_nets_to_the_batch_join(spark, feed, run, how):
     random.seed(13)
@@ -378,6 +451,46 @@ def test_lookup_sees_the_table_of_the_moment(spark, feed, run, rows, folder, sal
     assert rows(run(build())) == [(1, 10, "v1"), (1, 11, "v2"), (2, 20, None)]
 
 
+def test_lookup_sees_files_that_come_while_it_runs(spark, feed, folder):
+    scores, dim, out = feed("scores", "stu_no int"), f"{folder}/dim", f"{folder}/out"
+
+    def save(*students):
+        spark.createDataFrame(list(students), "stu_no int, stu_name string").write.mode("append").parquet(dim)
+
+    save((1, "a"))
+    query = lookup.start_lookup(
+        scores.stream(), lambda: spark.read.schema("stu_no int, stu_name string").parquet(dim), ["stu_no"], out, f"{folder}/c",
+        trigger={"processingTime": "100 milliseconds"},
+    )
+    try:
+        scores.add({"stu_no": 1}, {"stu_no": 2})
+        query.processAllAvailable()
+        save((2, "b"))
+        scores.add({"stu_no": 2})
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    found = {(r["batch"], r["stu_no"], r["stu_name"]) for r in runner.read_batches(spark, out).collect()}
+    assert found == {(0, 1, "a"), (0, 2, None), (1, 2, "b")}
+
+
+def test_salting_belongs_to_the_checkpoint(spark, folder):
+    chosen = Salting(4, ((7, 2), (9, 3)))
+    for stored, path in ((chosen, "a"), (Salting(3), "b"), (Salting(4, ()), "c")):
+        assert kept_with(spark, f"{folder}/{path}", lambda: stored) == stored
+        assert kept_with(spark, f"{folder}/{path}", lambda: Salting(99)) == stored
+
+
+def test_retracting_sums(spark, feed, folder):
+    changes = feed("changes", "_op string, k string, v int")
+    changes.add({"_op": "+I", "k": "a", "v": 5}, {"_op": "+I", "k": "b", "v": 7})
+    changes.add({"_op": "-D", "k": "a", "v": 5})
+    sums = aggregates.retracting(changes.stream(), ["k"], total="v")
+    runner.finish(runner.start_batches(sums, f"{folder}/out", f"{folder}/checkpoint", "update"))
+    found = sorted((r["batch"], r["_op"], r["k"], r["total"]) for r in runner.read_batches(spark, f"{folder}/out").collect())
+    assert found == [(0, "+I", "a", 5), (0, "+I", "b", 7), (1, "-D", "a", 0)]
+
+
 def test_cached_lookup_reads_again_after_its_time(spark, feed, folder):
     scores = feed("scores", "stu_no int")
     loads = []
