@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -31,15 +31,18 @@ def interval_ms(text: str) -> int:
     return total
 
 
-def day_offset(zone: str) -> str:
-    """``offset`` for day windows that begin at local midnight in a zone without daylight saving time.
+def day_offset(zone: str, years: tuple[int, int]) -> str:
+    """``offset`` for day windows that begin at local midnight in a zone whose offset does not change in these years.
 
-    Windows are aligned to midnight UTC; a zone that is 8 hours ahead starts its day 16 hours after that.
+    Windows are aligned to midnight UTC; a zone that is 8 hours ahead starts its day 16 hours after that. The offset is
+    looked up for each day of ``years``; where it changes, days have different lengths, and ``tumble_local_days`` is right.
     """
-    jan, jul = (datetime(2024, month, 1, tzinfo=ZoneInfo(zone)).utcoffset() for month in (1, 7))
-    if jan != jul:
-        raise ValueError(f"days in {zone} have different lengths: group by the local date instead")
-    return f"{int((-jan).total_seconds()) % 86_400} seconds"
+    first, last = years
+    days = (datetime(first, 1, 1) + timedelta(days=n) for n in range((datetime(last + 1, 1, 1) - datetime(first, 1, 1)).days))
+    offsets = {day.replace(tzinfo=ZoneInfo(zone)).utcoffset() for day in days}
+    if len(offsets) > 1:
+        raise ValueError(f"days in {zone} have different lengths: use tumble_local_days")
+    return f"{int((-offsets.pop()).total_seconds()) % 86_400} seconds"
 
 
 def local_time(column: str | Column, zone: str) -> Column:
@@ -48,6 +51,16 @@ def local_time(column: str | Column, zone: str) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
 
 
+def tumble_local_days(df: DataFrame, ts: str, zone: str, aggs: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
+    """Aggregates per calendar day of a zone, whatever its offset from UTC is on that day: (local_day, keys, aggregates).
+
+    Each instant is put into the day that the zone's clocks show, so days of 23 and 25 hours are right. On a stream use
+    update or complete mode: a day that is no fixed span of event time is not closed by the watermark.
+    """
+    day = F.to_date(local_time(ts, zone)).alias("local_day")
+    return df.groupBy(day, *keys).agg(*aggs)
+
+
 def with_watermark(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
     """Declare event time; ``delay`` is the bounded out-of-orderness. No effect on a bounded table."""
     return df.withWatermark(ts, delay) if df.isStreaming else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import aggregate, registry, scalar
+from millrace.functions import aggregate, lifecycle, registry, scalar
 from millrace.operators import aggregates, joins, lateral, ordering, projection, running, windows
 from millrace.operators.salting import Salting
 from millrace.plans import tables as t
@@ -506,7 +506,7 @@ def order_by_time(spark, sf_dir):
 def session_zone_day(spark, sf_dir):
     """Day windows that begin at local midnight, shown in local time."""
     rows = t.zoned(t.income(t.table(spark, sf_dir, "events")), "ts")
-    days = windows.tumble(rows, "ts", "1 day", total(), offset=windows.day_offset("Asia/Shanghai"))
+    days = windows.tumble(rows, "ts", "1 day", total(), offset=windows.day_offset("Asia/Shanghai", (2024, 2024)))
     start, end = (windows.local_time(column, "Asia/Shanghai") for column in ("window_start", "window_end"))
     return days.select(start.alias("local_start"), end.alias("local_end"), "total_amount")
 
@@ -525,3 +525,54 @@ def session_zone_rows(spark, sf_dir):
 def running_total_by_time(spark, sf_dir):
     events = t.table(spark, sf_dir, "events").select("user_id", "ts", t.cents("value").alias("amount"))
     return running.running_total(events, ["user_id"], "ts", "amount").drop("amount")
+
+
+@query("""
+WITH calls AS (
+  SELECT o_orderkey, o_orderdate + to_minutes(o_orderkey % 1440) AS ts, year(o_orderdate) AS y FROM orders
+), turns AS (
+  SELECT *, make_date(y, 4, 1) + CAST((7 - dayofweek(make_date(y, 4, 1))) % 7 AS INTEGER) + INTERVAL 7 HOUR AS spring,
+    make_date(y, 10, 31) - CAST(dayofweek(make_date(y, 10, 31)) AS INTEGER) + INTERVAL 6 HOUR AS autumn
+  FROM calls
+)
+SELECT CAST(ts - CASE WHEN ts >= spring AND ts < autumn THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END AS DATE) AS local_day,
+  count(*) AS calls
+FROM turns GROUP BY 1
+""")
+def tumble_local_days(spark, sf_dir):
+    """Days in a zone with summer time (first Sunday of April to last Sunday of October in these years)."""
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("o_orderkey") % 1440).cast("int"))
+    calls = t.zoned(t.table(spark, sf_dir, "orders").select((F.col("o_orderdate") + minutes).alias("ts")), "ts")
+    return windows.tumble_local_days(calls, "ts", "America/New_York", [F.count(F.lit(1)).alias("calls")])
+
+
+@query("""
+SELECT l_orderkey, CAST(l_linenumber AS SMALLINT) AS l_linenumber, CAST(round(l_extendedprice, 1) AS DECIMAL(12, 1)) AS price,
+  CAST(l_shipdate AS DATE) AS shipped, l_shipdate + to_seconds(l_linenumber) AS shipped_at, l_returnflag
+FROM lineitem
+""")
+def log_scan_typed(spark, sf_dir):
+    """A log with every kind of field: whole numbers, decimals that are rounded, days, times and text."""
+    rows = t.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws(
+            ";", "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(14,2)"), F.datediff("l_shipdate", F.lit("1970-01-01")),
+            F.date_format(F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("l_linenumber").cast("decimal(18,6)")), "yyyy-MM-dd HH:mm:ss"), "l_returnflag",
+        ).alias("value")
+    )
+    path = shared_folder(spark, "log")
+    rows.write.text(path)
+    schema = "l_orderkey bigint, l_linenumber smallint, price decimal(12,1), shipped date, shipped_at timestamp_ntz, l_returnflag string"
+    return delimited.scan_log(spark, path, schema, ";")
+
+
+@query("SELECT user_id, event_id, CAST(round(value * 100) AS INTEGER) * 3 AS amount FROM events")
+def function_with_resource(spark, sf_dir):
+    """A function that opens something once per task; here a factor that it looks up when it is opened."""
+    rows = t.table(spark, sf_dir, "events").select("user_id", "event_id", t.cents("value").alias("amount"))
+
+    def call(factors, batch):
+        return batch.assign(amount=batch["amount"] * factors["amount"])
+
+    return lifecycle.map_with_resource(
+        rows, lambda: {"amount": 3}, call, "user_id bigint, event_id bigint, amount int", lambda factors: factors.clear()
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,12 +32,28 @@ def write_messages(
     return None
 
 
-def print_rows(df: DataFrame, rows: int = 20, checkpoint: str | None = None, mode: str = "append", trigger: dict | None = None) -> StreamingQuery | None:
-    """Show result rows; for a stream each micro-batch is printed."""
+def print_rows(
+    df: DataFrame, checkpoint: str | None = None, mode: str = "append", trigger: dict | None = None,
+    write: Callable[[str], None] = print,
+) -> StreamingQuery | None:
+    """Print every row, one line each; for a stream those of each micro-batch.
+
+    The rows come to the driver one partition after the other, so it holds one partition at a time.
+    """
+
+    def lines(rows: DataFrame, batch_id: int | None = None) -> None:
+        for row in rows.toLocalIterator():
+            write(", ".join(f"{name}={value}" for name, value in row.asDict().items()))
+
     if not df.isStreaming:
-        df.show(rows, truncate=False)
+        lines(df)
         return None
-    writer = df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", "false")
+    writer = df.writeStream.outputMode(mode).foreachBatch(lines)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def preview_rows(df: DataFrame, rows: int) -> None:
+    """Show the first rows of a bounded table as a table."""
+    df.show(rows, truncate=False)

@@ -29,13 +29,14 @@ def append_table(df: DataFrame, options: dict[str, str]) -> None:
 
 
 def upsert_table(
-    updates: DataFrame, options: dict[str, str], keys: Sequence[str], order: Sequence[str] = (), staging_suffix: str = "_staging"
+    updates: DataFrame, options: dict[str, str], keys: Sequence[str], split: dict[str, str], order: Sequence[str] = (),
+    staging_suffix: str = "_staging",
 ) -> str:
     """Write the image of a keyed database table after the updates to a staging table; gives its name.
 
-    The table that is read is never overwritten. Exchange the two tables in the database afterwards.
+    ``split`` cuts the scan of the table into tasks, see ``read_table``. The table that is read is never overwritten. Exchange the two tables in the database afterwards.
     """
-    target = read_table(updates.sparkSession, options)
+    target = read_table(updates.sparkSession, options, split)
     staging = options["dbtable"] + staging_suffix
     image = upsert(target, updates, keys, order)
     image.write.format("jdbc").options(**{**options, "dbtable": staging}).mode("overwrite").save()

@@ -21,14 +21,16 @@ def partition_options(column: str, lower: int, upper: int, partitions: int) -> d
     }
 
 
-def read_table(
-    spark: SparkSession, options: dict[str, str], schema: str | None = None, split: dict[str, str] | None = None
-) -> DataFrame:
+# For tables that are known to be small: one query reads the table in one task.
+UNSPLIT: dict[str, str] = {}
+
+
+def read_table(spark: SparkSession, options: dict[str, str], split: dict[str, str], schema: str | None = None) -> DataFrame:
     """Read one table; Spark sends the needed columns and the filters to the database.
 
-    ``schema`` is the declared schema as DDL; columns are selected and cast to it.
+    ``split`` says how the scan is cut into tasks (``partition_options``), or that it is not (``UNSPLIT``). ``schema`` is the declared schema as DDL; columns are selected and cast to it.
     """
-    df = spark.read.format("jdbc").options(**options, **(split or {})).load()
+    df = spark.read.format("jdbc").options(**options, **split).load()
     return declared(df, schema) if schema else df
 
 

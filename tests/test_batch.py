@@ -392,11 +392,11 @@ def test_local_day_windows(spark, rows):
     df = spark.createDataFrame([(1, "2024-01-01 15:59:59"), (2, "2024-01-01 16:00:00")], "amount int, text string").selectExpr(
         "amount", "cast(text AS timestamp) AS ts"
     )
-    offset = windows.day_offset("Asia/Shanghai")
+    offset = windows.day_offset("Asia/Shanghai", (2024, 2024))
     assert offset == "57600 seconds"
     assert rows(windows.tumble(df, "ts", "1 day", [F.sum("amount").alias("t")], offset=offset), "t") == [(1,), (2,)]
     with pytest.raises(ValueError):
-        windows.day_offset("Europe/Berlin")
+        windows.day_offset("Europe/Berlin", (2024, 2024))
 
 
 def test_processing_time(spark):
