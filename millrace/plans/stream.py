@@ -131,7 +131,7 @@ def running_total_large_batches(spark, sf_dir):
 
     def start(path, checkpoint):
         events = arrivals.stream("events").select("user_id", "event_id", t.cents("value").alias("amount"))
-        return carried.start_running_total(events, "user_id", "event_id", "amount", path, checkpoint)
+        return carried.start_running_total(events, "user_id", "event_id", "amount", path, checkpoint, buckets=fair_partitions(spark))
 
     return t.run_batches(spark, arrivals, start).drop("amount", "batch")
 
@@ -374,6 +374,6 @@ def first_arrival_join_large_batches(spark, sf_dir):
     def start(path, checkpoint):
         clicks = batch.clicks_and_views(arrivals.stream("events"))[0]
         views = batch.clicks_and_views(arrivals.stream("events"))[1]
-        return carried.start_first_arrival_join(clicks, views, "user_id", "event_id", path, checkpoint)
+        return carried.start_first_arrival_join(clicks, views, "user_id", "event_id", path, checkpoint, buckets=fair_partitions(spark))
 
     return t.run_batches(spark, arrivals, start).drop("batch")

@@ -6,9 +6,8 @@ else: changed left rows meet the right rows of now, changed right rows the left
 padded with NULLs; the padded row is removed as soon as a partner comes. The net of all output is the join of the current
 rows.
 
-What is kept is written next to the checkpoint as changes per micro-batch, cut by a hash of the key, and folded into one
-table every few micro-batches. A micro-batch that is repeated after a failure reads what its first run read and writes
-over what that wrote. Nothing is held in Python; joins are plain ones, so that adaptive execution splits hot keys.
+What is kept lies in files next to the checkpoint (``millrace.streaming.kept``). Nothing is held in Python; joins are plain
+ones, so that adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -23,46 +22,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources.changelog import DELETE, INSERT
+from millrace.streaming.kept import KeptRows
 from millrace.streaming.runner import AVAILABLE_NOW
 
-# micro-batches whose changes are folded at a time
-FOLDED = 8
+def _added_up(columns: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Changes of rows as one row each: how many there are, how many of them stand padded, and the last touch."""
 
+    def fold(changes: DataFrame) -> DataFrame:
+        return changes.groupBy(*columns).agg(
+            F.sum("_n").alias("_n"), F.sum("_padded").alias("_padded"), F.max("_at").alias("_at")
+        ).where("_n > 0")
 
-class _Kept:
-    """The kept rows of one side: (keys, row, n, padded, at), as changes that add up; ``at`` is the last touch."""
-
-    def __init__(self, path: str, schema: T.StructType):
-        self.path, self.schema = path, schema
-        self.columns = schema.names
-        numbers = [T.StructField(n, T.LongType()) for n in ("_n", "_padded", "_at")]
-        self.stored = T.StructType([*schema.fields, *numbers, T.StructField("_bucket", T.IntegerType())])
-
-    def _base(self, batch_id: int) -> str:
-        return f"{self.path}/base={batch_id // FOLDED % 2}"
-
-    def _changes(self, batch_id: int) -> str:
-        return f"{self.path}/changes={batch_id % (2 * FOLDED)}"
-
-    def _read(self, spark, paths: list[str]) -> DataFrame | None:
-        return reduce(DataFrame.unionByName, [spark.read.schema(self.stored).parquet(p) for p in paths]) if paths else None
-
-    def before(self, spark, batch_id: int) -> DataFrame:
-        """The changes that add up to the rows before a micro-batch; folds them first when it is time to."""
-        start = batch_id - batch_id % FOLDED
-        if batch_id and batch_id == start:
-            last = batch_id - FOLDED
-            paths = ([self._base(last)] if last else []) + [self._changes(b) for b in range(last, batch_id)]
-            folded = self._read(spark, paths).groupBy(*self.columns, "_bucket").agg(
-                F.sum("_n").alias("_n"), F.sum("_padded").alias("_padded"), F.max("_at").alias("_at")
-            )
-            folded.where("_n > 0").write.mode("overwrite").partitionBy("_bucket").parquet(self._base(batch_id))
-        paths = ([self._base(start)] if start else []) + [self._changes(b) for b in range(start, batch_id)]
-        found = self._read(spark, paths)
-        return found if found is not None else spark.createDataFrame([], self.stored)
-
-    def write(self, changes: DataFrame, batch_id: int) -> None:
-        changes.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(self._changes(batch_id))
+    return fold
 
 
 def _signed(change: Column) -> Column:
@@ -107,10 +78,13 @@ def start_changelog_join(
         return (df if "_op" in df.columns else df.withColumn("_op", F.lit(INSERT))).withColumn("_side", F.lit(side))
 
     changes = tagged(left, "l").unionByName(tagged(right, "r"), allowMissingColumns=True)
-    kept = {side: _Kept(f"{checkpoint}-kept/{side}", schema) for side, schema in schemas.items()}
+    numbers = [T.StructField(n, T.LongType()) for n in ("_n", "_padded", "_at")]
+    kept = {
+        side: KeptRows(f"{checkpoint}-kept/{side}", keys, T.StructType([*schema.fields, *numbers]), _added_up(schema.names), buckets)
+        for side, schema in schemas.items()
+    }
     pads = {"l": how in ("left", "full"), "r": how in ("right", "full")}
     columns = [*keys, *schemas["l"].names[len(keys) :], *schemas["r"].names[len(keys) :]]
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     joinable = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
     def save(rows: DataFrame, batch_id: int) -> None:
@@ -120,19 +94,17 @@ def start_changelog_join(
         now = int(clock() * 1000)
         sign = F.when(F.col("_op") == INSERT, F.lit(1)).otherwise(F.lit(-1)).cast("long")
         rows = rows.persist()
-        touched = rows.select(*keys, bucket.alias("_bucket")).distinct().persist()
-        named = [r[0] for r in touched.select("_bucket").distinct().collect()]  # buckets at most
+        touched = rows.where(joinable).select(*keys).distinct().persist()
 
         def side(name: str) -> DataFrame:
             """Rows of the touched keys: ``_n`` of them before and ``_dn`` more now."""
             own, schema = kept[name], schemas[name]
             new = rows.where(F.col("_side") == name).select(
-                *schema.names, bucket.alias("_bucket"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_padded"),
+                *schema.names, F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_padded"),
                 F.lit(now).cast("long").alias("_at"), sign.alias("_dn"),
             )
-            old = own.before(spark, batch_id).where(F.col("_bucket").isin(named))
-            old = old.join(touched.select(*keys).where(joinable), keys, "left_semi").withColumn("_dn", F.lit(0).cast("long"))
-            found = new.unionByName(old).groupBy(*schema.names, "_bucket").agg(
+            old = own.before(touched, batch_id).withColumn("_dn", F.lit(0).cast("long"))
+            found = new.unionByName(old).groupBy(*schema.names).agg(
                 F.sum("_n").alias("_n"), F.sum("_padded").alias("_padded"), F.sum("_dn").alias("_dn"),
                 F.max(F.when(F.col("_dn") == 0, F.col("_at"))).alias("_at"),
             )
@@ -182,7 +154,6 @@ def start_changelog_join(
                 (F.col("_n") + F.col("_dn") - F.col("_stored")).alias("_n"),
                 (F.col("_padded") + F.col("_dp") - F.col("_stored_padded")).alias("_padded"),
                 F.lit(now).cast("long").alias("_at"),
-                "_bucket",
             )
             kept[name].write(written, batch_id)
         net = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), results)

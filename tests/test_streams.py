@@ -14,7 +14,7 @@ from millrace.operators import aggregates, joins, windows
 from millrace.operators.salting import Salting, kept_with
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, messages
-from millrace.streaming import carried, delta_join, keyed, lookup, ordering, runner
+from millrace.streaming import carried, delta_join, kept, keyed, lookup, ordering, runner
 from millrace.streaming.changelog_band import changelog_band_join
 from millrace.streaming.changelog_join import changelog_join
 from tests.test_batch import first_arrival_by_hand
@@ -237,7 +237,7 @@ def delta(spark, folder):
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
 def test_delta_join_nets_to_the_batch_join(spark, feed, delta, how, monkeypatch):
-    monkeypatch.setattr(delta_join, "FOLDED", 2)
+    monkeypatch.setattr(kept, "FOLDED", 2)
     random.seed(8)
     left, right = feed("left", "_op string, k int, a int"), feed("right", "_op string, k int, b string")
     live_left, live_right = [], []
@@ -407,7 +407,8 @@ def test_running_total_resumes_from_its_state(feed, run, rows):
 
 
 @pytest.mark.parametrize("blocks", [1, 5])
-def test_large_batches_equal_keyed_state(spark, feed, folder, rows, blocks):
+def test_large_batches_equal_keyed_state(spark, feed, folder, rows, blocks, monkeypatch):
+    monkeypatch.setattr(kept, "FOLDED", 2)
     random.seed(blocks)
     left, right = feed("left", "id int, seq int, a int"), feed("right", "id int, seq int, b int")
     lines = feed("lines", "id int, seq int, v int")
@@ -431,6 +432,18 @@ def test_large_batches_equal_keyed_state(spark, feed, folder, rows, blocks):
     assert sorted(tuple(r) for r in summed.collect()) == sorted(expected)
 
 
+def test_running_total_forgets_idle_keys(spark, feed, folder):
+    lines = feed("lines", "id int, seq int, v int")
+    for seq, at in enumerate((0.0, 4.0, 20.0)):
+        lines.add({"id": 1, "seq": seq, "v": 1}, {"id": None, "seq": seq, "v": 10})
+        query = carried.start_running_total(
+            lines.stream(), "id", "seq", "v", f"{folder}/t", f"{folder}/c", "total", 2, ttl_seconds=5.0, clock=lambda: at
+        )
+        runner.finish(query)
+    found = sorted((r["seq"], r["id"] or 0, r["total"]) for r in runner.read_batches(spark, f"{folder}/t").collect())
+    assert found == [(0, 0, 10), (0, 1, 1), (1, 0, 20), (1, 1, 2), (2, 0, 10), (2, 1, 1)]
+
+
 @pytest.mark.parametrize("salting", [Salting(1), Salting(3)])
 def test_lookup_sees_the_table_of_the_moment(spark, feed, run, rows, folder, salting):
     scores = feed("scores", "stu_no int, score int")
