@@ -96,8 +96,8 @@ def _visits(fps: DataFrame, radius: int) -> DataFrame:
                 columns = [np.concatenate([own, tile]), home, np.concatenate([fp, fp[row]])]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["tile", "home", "fp"])
 
-    # each row becomes dozens, so the rows are dealt to all tasks first
-    dealt = fps.select("fp").repartition(shuffle_partitions(fps.sparkSession), "fp")
+    # each row becomes dozens, so the rows are dealt to all tasks first, by another hash than they lie by already
+    dealt = fps.select("fp").repartition(shuffle_partitions(fps.sparkSession), F.xxhash64("fp"))
     return dealt.mapInArrow(run, "tile bigint, home boolean, fp bigint")
 
 
