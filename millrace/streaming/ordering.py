@@ -1,34 +1,24 @@
-"""Sorting a stream by event time."""
+"""Sorting a stream by event time.
+
+Rows wait in files until their time bucket is complete. A micro-batch writes its rows once, and reads those of the
+buckets that it completes: the files hold ranges of time, so Parquet leaves out the rest. No row is written again while
+it waits, and none is in a state store.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.ordering import order_by_time
-from millrace.operators.salting import Salting
-from millrace.operators.windows import with_watermark
-from millrace.session import fair_partitions
-from millrace.streaming.runner import start_batches
-
+from millrace.operators.windows import interval_ms
+from millrace.streaming.runner import AVAILABLE_NOW
 
-def hold_until_complete(df: DataFrame, ts: str, delay: str, bucket: str, salts: int | None = None) -> DataFrame:
-    """Hold rows back until the watermark has passed their time bucket.
-
-    Buckets close in time order, and a row that comes after its bucket was closed is dropped. The rows of a bucket are
-    spread over ``salts`` groups (one per shuffle partition if not given), so no task holds a whole bucket.
-    """
-    n = salts or fair_partitions(df.sparkSession)
-    columns = df.columns
-    held = (
-        Salting(n).spread(with_watermark(df, ts, delay), [], columns)
-        .groupBy(F.window(ts, bucket).alias("_bucket"), "_salt")
-        .agg(F.collect_list(F.struct(*columns)).alias("_rows"))
-    )
-    return held.select(F.explode("_rows").alias("_row")).select("_row.*")
+_MARKS = "batch bigint, latest bigint, seen bigint, closed bigint"
 
 
 def start_ordered(
@@ -43,10 +33,42 @@ def start_ordered(
 ) -> StreamingQuery:
     """Write the stream in ascending event time: micro-batch after micro-batch, each sorted by a parallel range sort.
 
-    Within a micro-batch the files follow each other by name. ``ties`` order rows of the same time.
+    A bucket is complete when a row has come that is later than its end by ``delay``. Rows of complete buckets that come
+    still later are dropped, and so are rows without a time. Within a micro-batch the files follow each other by name.
+    ``ties`` order rows of the same time. A repeated micro-batch writes over what its first run wrote.
     """
-    held = hold_until_complete(df, ts, delay, bucket)
-    return start_batches(held, path, checkpoint, "append", lambda rows, _: order_by_time(rows, ts, *ties), trigger)
+    width, held, marks = interval_ms(bucket) * 1000, f"{checkpoint}-held/rows", f"{checkpoint}-held/marks"
+    behind = interval_ms(delay) * 1000
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        known = spark.read.schema(_MARKS).parquet(f"{marks}/{batch_id - 1}").collect() if batch_id else []
+        # one row per micro-batch with rows that still wait
+        seen = max((m["seen"] for m in known), default=None)
+        closed = max((m["closed"] for m in known), default=None)
+        time = F.unix_micros(F.col(ts).cast("timestamp"))
+        fresh = rows.where(F.col(ts).isNotNull())
+        if closed is not None:
+            fresh = fresh.where(time >= closed)
+        fresh.sortWithinPartitions(ts).write.mode("overwrite").parquet(f"{held}/{batch_id}")
+        written = spark.read.schema(df.schema).parquet(f"{held}/{batch_id}")
+        latest = written.agg(F.max(time)).first()[0]
+        waiting = {m["batch"]: m["latest"] for m in known if m["latest"] is not None}
+        if latest is not None:
+            waiting[batch_id] = latest
+            seen = latest if seen is None else max(seen, latest)
+        now = closed if seen is None else max(x for x in (closed, (seen - behind) // width * width) if x is not None)
+        frames = [spark.read.schema(df.schema).parquet(f"{held}/{b}") for b in sorted(waiting)] or [written]
+        complete = reduce(DataFrame.unionByName, frames)
+        begin, end = (F.timestamp_micros(F.lit(x)).cast(df.schema[ts].dataType) for x in (closed or 0, now or 0))
+        complete = complete.where(F.col(ts) < end) if closed is None else complete.where((F.col(ts) >= begin) & (F.col(ts) < end))
+        order_by_time(complete, ts, *ties).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        left = [(b, last, seen, now) for b, last in sorted(waiting.items()) if now is None or last >= now]
+        spark.createDataFrame(left or [(None, None, seen, now)], _MARKS).coalesce(1).write.mode("overwrite").parquet(f"{marks}/{batch_id}")
+
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
+    return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
 
 
 def with_position(rows: DataFrame, name: str = "position") -> DataFrame:

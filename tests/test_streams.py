@@ -167,6 +167,20 @@ def test_stream_is_ordered_by_time(spark, feed, folder):
         assert values == sorted(values)
 
 
+def test_rows_of_complete_buckets_that_come_late_are_dropped(spark, feed, folder):
+    score = feed("score", "n int, ts timestamp")
+
+    def add(*minutes):
+        score.add(*[{"n": m, "ts": None if m is None else f"2024-01-01 00:{m:02}:30"} for m in minutes])
+        runner.finish(ordering.start_ordered(score.stream(), "ts", f"{folder}/out", f"{folder}/checkpoint", "60 seconds", "1 minute"))
+        return sorted((r["batch"], r["n"]) for r in runner.read_batches(spark, f"{folder}/out").collect())
+
+    assert add(None) == [] and add(5, 1) == [(1, 1)]
+    # up to minute 4 all is complete: 3 comes too late, 4 is complete at once by the 9 beside it
+    assert add(9, 3, 4) == [(1, 1), (2, 4), (2, 5)]
+    assert add() == [(1, 1), (2, 4), (2, 5)] and add(20) == [(1, 1), (2, 4), (2, 5), (4, 9)]
+
+
 @pytest.mark.parametrize("salting", [Salting(1), Salting(3)])
 def test_inner_join_of_two_streams(feed, run, rows, salting):
     scores = feed("scores", "stu_no int, score int")
