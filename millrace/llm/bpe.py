@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import codecs
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -19,6 +20,8 @@ from millrace.llm.common import in_chunks, plain
 REMEMBERED_PIECES = 200_000
 # New pieces that go to the library at a time, and bytes of text that a task splits at a time.
 NEW_PIECES, TEXT_BYTES = 5_000, 1_000_000
+# Pieces of one text that are held at a time.
+HELD_PIECES = 500_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -60,19 +63,30 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
+    def _pieces(self, text: str) -> Iterator[list[str]]:
+        """The matches of a text; those of a very long one part by part."""
+        if len(text) <= HELD_PIECES:
+            yield self.pattern.findall(text)
+            return
+        matches = (match.group() for match in self.pattern.finditer(text))
+        while part := list(itertools.islice(matches, HELD_PIECES)):
+            yield part
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, 32 bits each."""
         if len(self.known) > REMEMBERED_PIECES:
             self.known = {}
         known, found = self.known, []
         for text in texts:
-            pieces = self.pattern.findall(text)
-            new = list(set(pieces).difference(known))
-            for begin in range(0, len(new), NEW_PIECES):
-                part = new[begin : begin + NEW_PIECES]
-                for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[piece] = array.array("i", encoding.ids).tobytes()
-            found.append(np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=np.int32))
+            parts = []
+            for pieces in self._pieces(text):
+                new = list(set(pieces).difference(known))
+                for begin in range(0, len(new), NEW_PIECES):
+                    part = new[begin : begin + NEW_PIECES]
+                    for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                        known[piece] = array.array("i", encoding.ids).tobytes()
+                parts.append(b"".join(map(known.__getitem__, pieces)))
+            found.append(np.frombuffer(b"".join(parts), dtype=np.int32))
         return found
 
 

@@ -60,6 +60,7 @@ def test_table_holds_the_ranks(ranks):
 
 def test_forgetting_changes_nothing(reference, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 3)
+    monkeypatch.setattr(bpe, "HELD_PIECES", 2)
     encoder = bpe.Encoder(*vocabulary())
     texts = [t or "" for t in TEXTS]
     for _ in range(2):
