@@ -31,11 +31,15 @@ OPAQUE = "script style title noscript template iframe textarea svg math object s
 FURNITURE = frozenset("nav footer aside form dialog menu head header".split())
 # Words in class, id and role that name furniture.
 FURNITURE_WORDS = frozenset(
-    "ad ads adv advert advertisement adverts adsense banner sponsor sponsored promo promotion cookie cookies consent notice "
-    "gdpr sidebar widget nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments respond "
+    "ad ads adv adbox adslot adunit advert advertisement advertising adverts adsense aside announcement banner sponsor sponsored promo promotion cookie cookies consent notice "
+    "gdpr notification notifications sidebar widget nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments discussion disqus respond "
     "reply replies share sharing social related newsletter subscribe subscription popup modal overlay login search pagination "
     "pager toolbar topbar contentinfo complementary alert disclaimer".split()
 )
+# Those of them that make furniture of an article or main element itself.
+NOT_THE_ARTICLE = frozenset("ad ads advert advertisement comment comments reply replies related sponsored promo".split())
+# Those that a page's title may stand in.
+HEADER_WORDS = frozenset(["header", "masthead"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset(["article", "main"])
 # Elements whose end tags end everything that was left open inside.
@@ -51,15 +55,26 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true",
 _WORD = re.compile(r"[a-z]+")
 
 
-def _is_furniture(tag: str, rest: str, in_article: bool) -> bool:
-    if tag in FURNITURE and not (tag == "header" and in_article):
-        return True
-    if not rest or tag in CONTAINERS and not _NAMED.search(rest):
-        return False
+# Names that say what an element has, not what it is: ``has-sidebar``, ``no-ads``.
+_HAS = re.compile(r"\b(?:has|with|without|no|non|not)-[\w-]+")
+
+
+def _named(rest: str) -> set[str]:
+    values = (m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(rest))
+    return {word for value in values for word in _WORD.findall(_HAS.sub(" ", value.lower()))}
+
+
+def _kind(tag: str, rest: str, in_article: bool) -> str | None:
+    """``furniture``, ``header`` (of which an article keeps the headings), or None."""
     if tag in ("html", "body"):
-        return False
-    words = {w for m in _NAMED.finditer(rest) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())}
-    return bool(words & FURNITURE_WORDS) or bool(_HIDDEN.search(rest))
+        return None
+    words = _named(rest) if rest else set()
+    if tag in CONTAINERS:
+        return "furniture" if words & NOT_THE_ARTICLE else None
+    if tag == "header" or words & HEADER_WORDS:
+        kind = "header" if in_article else "furniture"
+        return "furniture" if words & (FURNITURE_WORDS - HEADER_WORDS) else kind
+    return "furniture" if tag in FURNITURE or words & FURNITURE_WORDS or (rest and _HIDDEN.search(rest)) else None
 
 
 def page_lines(page: str) -> list[tuple[str, bool]]:
@@ -70,9 +85,9 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
     """
     lines: list[tuple[str, bool]] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture begins here, container begins here
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, and whether furniture, a container, an article's header begins here
     opened: dict[str, int] = {}
-    dark = articles = 0
+    dark = articles = headers = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
@@ -81,12 +96,13 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             lines.append((text, articles > 0))
 
     def close(upto: int) -> None:
-        nonlocal dark, articles
+        nonlocal dark, articles, headers
         while len(stack) > upto:
-            tag_, furniture, container = stack.pop()
+            tag_, furniture, container, header = stack.pop()
             opened[tag_] -= 1
             dark -= furniture
             articles -= container
+            headers -= header
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -116,14 +132,15 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             close(len(stack) - 1)
         if tag == "li" and stack and stack[-1][0] == "li":
             close(len(stack) - 1)
-        furniture = _is_furniture(tag, token["rest"] or "", articles > 0)
-        if not furniture and articles and any(s[0] == "header" for s in stack) and tag in BLOCKS and tag not in HEADINGS | {"div", "section"}:
-            furniture = True
+        kind = _kind(tag, token["rest"] or "", articles > 0)
+        # of an article's header only the headings are text
+        furniture = kind == "furniture" or (headers > 0 and tag in BLOCKS and tag not in HEADINGS | {"div", "section"})
         container = tag in CONTAINERS and not furniture and not dark
-        stack.append((tag, furniture, container))
+        stack.append((tag, furniture, container, kind == "header"))
         opened[tag] = opened.get(tag, 0) + 1
         dark += furniture
         articles += container
+        headers += kind == "header"
     if not dark and at < len(page):
         pieces.append(page[at:])
     flush()

@@ -71,6 +71,16 @@ def test_article_of_a_page():
     assert all(inside for _, inside in lines)
 
 
+def test_names_of_elements():
+    def texts(page):
+        return [text for text, _ in extract.page_lines(page)]
+
+    assert texts('<main class="has-sidebar no-ads"><div class="entry-header"><h1>T</h1><p>by</p></div><p>a</p></main><p>out') == ["T", "a"]
+    assert texts('<div class="site-header"><h1>Site</h1></div><div class="with-nav"><p>a</p><div role=navigation>n</div></div>') == ["a"]
+    assert texts('<article><p>a</p><article class="comment"><p>c</p></article><p hidden>h</p><p>b</p></article>') == ["a", "b"]
+    assert texts('<body class="ad-free"><p>adrift</p><p class="lead">x<span class="ad">y</span>z</p>') == ["adrift", "xz"]
+
+
 @pytest.mark.parametrize("page", ["", "plain", "<", "<p", "<p>a", "</p>", "<!-- x", "<script>x", "a</b></i>b", "<b><p>x</b>y", "<a href='>'>q</a>", "&", "\x00"])
 def test_broken_markup(page):
     assert all(text for text, _ in extract.page_lines(page))
