@@ -28,14 +28,14 @@ Matches = Callable[[Row, Row], bool]
 class _CountedJoin(StatefulProcessor):
     """Rows ``one`` of a bucket with their partners among the rows ``other``; emits pairs, padded rows, or both."""
 
-    def __init__(self, width, one, other, output, one_on, other_on, lower, upper, matches, pairs):
+    def __init__(self, width, one, other, output, one_on, other_on, lower, upper, matches, pairs, ttl_ms):
         self.width, self.one, self.other, self.output = width, one, other, output
         self.at_one, self.at_other = one.names.index(one_on), other.names.index(other_on)
-        self.lower, self.upper, self.matches, self.pairs = lower, upper, matches, pairs
+        self.lower, self.upper, self.matches, self.pairs, self.ttl_ms = lower, upper, matches, pairs, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ones = handle.getMapState("one", self.one, "n bigint, partners bigint")
-        self.others = _Counts(handle, "other", self.other, None)
+        self.ones = handle.getMapState("one", self.one, "n bigint, partners bigint", self.ttl_ms)
+        self.others = _Counts(handle, "other", self.other, self.ttl_ms)
         self.row = Row(*self.output.names)
         self.nobody = (None,) * len(self.other)
         self.as_one, self.as_other = Row(*self.one.names), Row(*self.other.names)
@@ -132,11 +132,14 @@ def changelog_band_join(
     matches: Matches | None = None,
     salting: Salting = NO_SALTING,
     bucket_width: int | None = None,
+    ttl_ms: int | None = None,
 ) -> DataFrame:
     """Join on ``lower <= right_on - left_on <= upper``, equal columns and a test of the two rows, each if given.
 
     A side without ``_op`` only adds rows. The result has ``_op``, the equal columns and the other columns of both.
-    Buckets are as wide as the band; where values are sparse, a larger ``bucket_width`` makes fewer groups and copies.
+    Buckets are as wide as the band; where values are sparse, a larger ``bucket_width`` makes fewer groups and copies. With
+    ``ttl_ms`` a row leaves the state so long after its last change (for the side that may be padded, also of the number of
+    its partners); it meets nobody from then on, and nothing is reported.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be inner, left, right or full")
@@ -170,8 +173,10 @@ def changelog_band_join(
         )
         key_fields = [T.StructField(k, left.schema[k].dataType) for k in equal]
         output = T.StructType([T.StructField("_op", T.StringType()), *key_fields, *one_schema.fields, *other_schema.fields])
-        processor = _CountedJoin(len(equal), one_schema, other_schema, output, one_on, other_on, low, high, test, pairs)
-        return changes.groupBy(*keys, "_salt").transformWithState(processor, output, "append", "None").select(*columns)
+        processor = _CountedJoin(len(equal), one_schema, other_schema, output, one_on, other_on, low, high, test, pairs, ttl_ms)
+        return changes.groupBy(*keys, "_salt").transformWithState(
+            processor, output, "append", "ProcessingTime" if ttl_ms else "None"
+        ).select(*columns)
 
     turned = (lambda one, other: matches(other, one)) if matches is not None else None
     from_left = (left, left_schema, left_on, right, right_schema, right_on, lower, upper, matches)

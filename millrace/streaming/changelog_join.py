@@ -243,11 +243,15 @@ def changelog_join(
     """Inner, left, right or full join of two streams on equal keys, as a changelog.
 
     A side without a column ``_op`` only adds rows. The result has ``_op``, the keys and the other columns of both
-    sides, whose names must differ. ``salting`` must stay the same for the life of a checkpoint. With ``ttl_ms`` a
-    row that has not met a partner for that long leaves the state.
+    sides, whose names must differ. ``salting`` must stay the same for the life of a checkpoint
+    (``salting.kept_with``). With ``ttl_ms`` a row that has not met a partner for that long leaves the state; only inner and
+    left joins take it.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be inner, left, right or full")
+    if ttl_ms and how in ("right", "full"):
+        # whether a right row has partners is counted in another group than the partners expire in
+        raise ValueError("right and full joins with a time to live: use delta_join.start_changelog_join")
     keys = list(on)
 
     def payload(df: DataFrame) -> T.StructType:

@@ -362,9 +362,14 @@ def test_left_join_retracts_the_padded_row(feed, run, rows):
     assert rows(changelog.materialize(run(build()))) == [(1, 1, 90, None)]
 
 
-def test_state_that_meets_no_partner_expires(spark, feed, folder):
+@pytest.mark.parametrize("kind", ["equal", "band"])
+def test_state_that_meets_no_partner_expires(spark, feed, folder, kind):
     left, right = feed("left", "k int, a int"), feed("right", "k int, b string")
-    joined = changelog_join(left.stream(), right.stream(), ["k"], "left", ttl_ms=3_000)
+    if kind == "equal":
+        joined = changelog_join(left.stream(), right.stream(), ["k"], "left", ttl_ms=3_000)
+    else:
+        places = right.stream().withColumnRenamed("k", "r")
+        joined = changelog_band_join(left.stream(), places, "k", "r", 0, 0, "left", ttl_ms=3_000).drop("r")
     query = runner.start_append(joined, f"{folder}/out", f"{folder}/checkpoint", {"processingTime": "200 milliseconds"})
 
     def wait_for(condition, limit=60):
