@@ -40,6 +40,19 @@ def plain(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of a row in one, so that no column made beside it can clash with their names."""
+    return F.struct(*[plain(c) for c in df.columns])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(name: str) -> Column:
     """Text with NULL as empty."""
     return F.coalesce(plain(name).cast("string"), F.lit(""))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import plain, text_of, written
+from millrace.llm.common import free_name, plain, text_of, written
 
 # Runs of these characters count as one space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -60,18 +60,20 @@ def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_colum
     Of rows that are repeated whole (same id, same text, same everything) one stays; that takes a further shuffle, so it
     is done only if some id occurs twice.
     """
-    answer = exact_duplicates(docs, id_column, text_column).select(F.col(id_column).alias("id"), "kept")
+    answer = exact_duplicates(docs, id_column, text_column).select(plain(id_column).alias("id"), "kept")
     answer = written(answer, "exact-answer")
     if not answer.groupBy("id").count().filter("count > 1").isEmpty():
         return _drop_by_text(docs, id_column, text_column).dropDuplicates()
-    dropped = answer.filter(~F.col("kept")).select(F.col("id").alias("dropped_id"))
-    return docs.join(dropped.hint("merge"), plain(id_column).eqNullSafe(F.col("dropped_id")), "left_anti")
+    name = free_name(docs, "dropped_id")
+    dropped = answer.filter(~F.col("kept")).select(F.col("id").alias(name))
+    return docs.join(dropped.hint("merge"), plain(id_column).eqNullSafe(F.col(name)), "left_anti")
 
 
 def _drop_by_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Keep by id and text, for tables whose ids are not unique."""
+    id_, sha = free_name(docs, "kept_id"), free_name(docs, "kept_sha")
     answer = exact_duplicates(docs, id_column, text_column).filter("kept").select(
-        F.col(id_column).alias("kept_id"), "text_sha256"
+        plain(id_column).alias(id_), F.col("text_sha256").alias(sha)
     ).distinct()
-    sha = F.sha2(one_space(text_of(text_column)), 256)
-    return docs.join(answer, (sha == F.col("text_sha256")) & plain(id_column).eqNullSafe(F.col("kept_id")), "left_semi")
+    own = F.sha2(one_space(text_of(text_column)), 256)
+    return docs.join(answer, (own == F.col(sha)) & plain(id_column).eqNullSafe(F.col(id_)), "left_semi")

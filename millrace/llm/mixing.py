@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import plain, shuffle_partitions, written
+from millrace.llm.common import packed, plain, shuffle_partitions, written
 
 # A Poisson number of a larger mean is the sum of numbers of at most this mean; each is inverted from one table.
 LARGEST_MEAN = 8.0
@@ -81,14 +81,15 @@ def mix(
     rates = rates.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), parts.alias("_mix_parts"))
     rates = written(rates.withColumn("_mix_cdf", _table(F.col("_mix_rate") / F.col("_mix_parts"))), "mix-rates")
 
-    name = F.coalesce(plain(id_column).cast("string"), F.lit("null"))
+    name = F.coalesce(F.col("_mix_id").cast("string"), F.lit("null"))
+    rows = docs.select(packed(docs).alias("_mix_row"), plain(id_column).alias("_mix_id"), plain(source_column).alias("_mix_of"))
 
     def draw(part: Column) -> Column:
         u = uniform(F.concat_ws(":", F.lit(str(seed)), name, part.cast("string")))
         return F.size(F.filter("_mix_cdf", lambda below: below < u))
 
     number = F.aggregate(F.sequence(F.lit(1), F.col("_mix_parts")), F.lit(0), lambda sum_, part: sum_ + draw(part))
-    counted = docs.join(rates, plain(source_column).eqNullSafe(F.col("_mix_source"))).withColumn("_mix_n", number)
+    counted = rows.join(rates, F.col("_mix_of").eqNullSafe(F.col("_mix_source"))).withColumn("_mix_n", number)
     copies = counted.filter("_mix_n > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(0), F.col("_mix_n") - 1)))
     place = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), name, F.col("_mix_copy").cast("string")))
     shuffled = copies.withColumn("_mix_place", place).repartition(shuffle_partitions(spark), "_mix_place")
@@ -97,4 +98,5 @@ def mix(
     new = {copy_column: "_mix_copy"} if copy_column else {}
     if detail:
         new |= {"n_copies": "_mix_n", "rate": "_mix_rate", "shuffle_key": "_mix_place"}
-    return ordered.select(*[plain(c) for c in docs.columns if c not in new], *[F.col(k).alias(v) for v, k in new.items()])
+    kept = [F.col("_mix_row").getField(c).alias(c) for c in docs.columns if c not in new]
+    return ordered.select(*kept, *[F.col(k).alias(v) for v, k in new.items()])

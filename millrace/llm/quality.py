@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import plain, text_of
+from millrace.llm.common import free_name, packed, plain, text_of
 
 # Labelled rows that a model is fitted on, at most: those with the smallest hashes of their ids.
 FIT_ROWS = 20_000
@@ -25,7 +25,7 @@ STATISTICS = (
 
 
 def with_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` with the statistics of whole texts as columns; an empty text has zeros.
+    """``docs`` with the statistics of whole texts as columns that begin with ``_q_``; an empty text has zeros.
 
     Shares are per character or per word, so that they do not grow with the text; only ``_q_words`` does (as a
     logarithm), since the share of distinct words depends on it.
@@ -226,11 +226,13 @@ def scored(docs: DataFrame, model: RuleModel, text_column: str = "text", output:
     No shuffle and no Python: statistics and rules are columns. The score leaves a generator, so that a filter on it is
     not copied into every rule.
     """
-    others = [plain(c) for c in docs.columns if c != output]
-    return with_statistics(docs, text_column).select(*others, F.explode(F.array(model.score())).alias(output))
+    rows = docs.select(packed(docs).alias("_q_row"), text_of(text_column).alias("_q_source"))
+    others = [F.col("_q_row").getField(c).alias(c) for c in docs.columns if c != output]
+    return with_statistics(rows, "_q_source").select(*others, F.explode(F.array(model.score())).alias(output))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, as they are."""
     model = fit(docs, labels, text_column=text_column)
-    return scored(docs, model, text_column, "_q_score").filter(F.col("_q_score") >= threshold).drop("_q_score")
+    score = free_name(docs, "score")
+    return scored(docs, model, text_column, score).filter(F.col(score) >= threshold).drop(score)

@@ -71,7 +71,7 @@ def op5_mixing(spark, sf_dir):
 def op6_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model).select(
+    return quality.scored(docs.select("doc_id", "text"), model).select(
         "doc_id", quality.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
 

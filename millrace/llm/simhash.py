@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import in_chunks, plain, shuffle_partitions, written
+from millrace.llm.common import free_name, in_chunks, plain, shuffle_partitions, written
 from millrace.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -221,5 +221,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows whose id is the smallest of their component, with all columns; rows without an id stay."""
     answer = near_duplicates(docs, id_column, text_column)
-    dropped = answer.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("dropped_id"))
-    return docs.join(dropped.hint("merge"), plain(id_column) == F.col("dropped_id"), "left_anti")
+    name = free_name(docs, "dropped_id")
+    dropped = answer.filter(plain(id_column) != F.col("component_id")).select(plain(id_column).alias(name))
+    return docs.join(dropped.hint("merge"), plain(id_column) == F.col(name), "left_anti")

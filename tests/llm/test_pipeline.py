@@ -3,8 +3,10 @@
 import hashlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from millrace.llm import mixing, quality
+from millrace.llm import exactdedup, mixing, quality
 from millrace.llm.common import table
 from tests.llm.test_duplicates import components_by_hand, exact_by_hand, fingerprint_by_hand
 
@@ -43,3 +45,16 @@ def test_empty_and_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, SF)
         assert rows.count() >= 0
+
+
+def test_clashing_columns_pass_through(spark):
+    docs = table(spark, SF, "documents").limit(60)
+    extra = ["score", "dropped_id", "kept_id", "kept_sha", "_q_words", "_q_text", "_q_row", "_mix_n", "_mix_row", "id", "fp", "rate", "a.b"]
+    for name in extra:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, docs, SF)
+        assert rows.columns == docs.columns
+        found = rows.collect()
+        assert found and all(r[name] == f"{name}{r.doc_id}" for r in found for name in extra)
+    assert exactdedup.drop_exact_duplicates(docs.union(docs)).count() == exactdedup.drop_exact_duplicates(docs).count()
