@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exactdedup, mixing, quality, queries, simhash
+from millrace.llm import bpe, exactdedup, mixing, nearcopies, quality, queries
 from millrace.llm.common import table, written
 from millrace.session import configure
 
@@ -25,9 +25,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: 0.8 or more of their five-word shingles in common."""
     configure(spark)
-    return simhash.drop_near_duplicates(docs)
+    return nearcopies.drop_near_copies(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
