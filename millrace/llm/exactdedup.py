@@ -57,23 +57,27 @@ def exact_duplicates(
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows that stay, with all their columns.
 
-    Of rows that are repeated whole (same id, same text, same everything) one stays; that takes a further shuffle, so it
-    is done only if some id occurs twice.
+    Of each group of equal texts one row stays: that with the smallest id and, of several with this id, the one whose other
+    columns have the smallest hash. The latter takes a further shuffle, so it is done only if some id occurs twice.
     """
     answer = exact_duplicates(docs, id_column, text_column).select(plain(id_column).alias("id"), "kept")
     answer = written(answer, "exact-answer")
     if not answer.groupBy("id").count().filter("count > 1").isEmpty():
-        return _drop_by_text(docs, id_column, text_column).dropDuplicates()
+        return _drop_by_text(docs, id_column, text_column)
     name = free_name(docs, "dropped_id")
     dropped = answer.filter(~F.col("kept")).select(F.col("id").alias(name))
     return docs.join(dropped.hint("merge"), plain(id_column).eqNullSafe(F.col(name)), "left_anti")
 
 
 def _drop_by_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Keep by id and text, for tables whose ids are not unique."""
-    id_, sha = free_name(docs, "kept_id"), free_name(docs, "kept_sha")
-    answer = exact_duplicates(docs, id_column, text_column).filter("kept").select(
-        plain(id_column).alias(id_), F.col("text_sha256").alias(sha)
-    ).distinct()
-    own = F.sha2(one_space(text_of(text_column)), 256)
-    return docs.join(answer, (own == F.col(sha)) & plain(id_column).eqNullSafe(F.col(id_)), "left_semi")
+    """One row per text, for tables whose ids are not unique or missing."""
+    sha, rank, least = (free_name(docs, name) for name in ("kept_sha", "kept_rank", "kept_least"))
+    ranked = docs.withColumn(sha, F.sha2(one_space(text_of(text_column)), 256)).withColumn(
+        rank,
+        F.struct(plain(id_column).isNull().alias("without"), plain(id_column).alias("id"), F.xxhash64(*map(plain, docs.columns)).alias("hash")),
+    )
+    first = ranked.groupBy(sha).agg(F.min(rank).alias(least))
+    first = written(first.select(F.col(sha).alias(sha + "_"), least), "exact-first")
+    stay = ranked.join(first.hint("merge"), (F.col(sha) == F.col(sha + "_")) & F.col(rank).eqNullSafe(F.col(least)), "left_semi")
+    # what is left of a text is one row, as often as it is repeated whole
+    return stay.dropDuplicates([sha]).drop(sha, rank)

@@ -128,3 +128,12 @@ def test_components_of_chains_and_hubs(spark):
     found = {r.node: r.label for r in components.components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {-5: -5, 200: -5, 201: -5}
     assert components.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_exact_stage_keeps_one_row_of_repeated_or_missing_ids(spark):
+    rows = [(1, "a b", "x"), (1, "a  b", "y"), (1, "a b", "x"), (2, "a b", "x"), (None, "c", "x"), (None, "c", "y"), (None, " c", "y"), (3, "d", "x"), (None, "d", "x"), (4, None, "x"), (4, "", "y")]
+    found = exactdedup.drop_exact_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    left = found.collect()
+    assert sorted(((r.doc_id, (r.text or "").replace("  ", " ")) for r in left), key=str) == [(1, "a b"), (3, "d"), (4, ""), (None, " c"), (None, "c")]
+    again = exactdedup.drop_exact_duplicates(spark.createDataFrame(rows[::-1], "doc_id bigint, text string, source string"))
+    assert found.columns == again.columns and {tuple(r) for r in left} == {tuple(r) for r in again.collect()}
