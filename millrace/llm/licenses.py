@@ -29,7 +29,7 @@ NAMES = (
     ("apache-1.0", "apache", r"apache (?:software )?license (?:version |v ?)?1 0"),
     ("apache-1.1", "apache", r"apache (?:software )?license (?:version |v ?)?1 1"),
     ("apache-2.0", "apache", r"apache (?:software )?(?:license )?(?:version |v ?)?2(?: 0)?|asl 2 0 apache"),
-    ("mit", "mit", r"(?:the )?mit x11|expat mit"),
+    ("mit", "mit", r"(?:the )?mit x11|expat mit|mit license"),
     ("mit-0", "mit", r"mit no attribution(?: license)?|mit 0"),
     ("x11", "x11", r"x11 license|x consortium license x11"),
     ("bsd-1-clause", "bsd", r"(?:bsd 1 clause|1 clause bsd)(?: license)?"),
@@ -128,6 +128,18 @@ NAMES = (
     ("proprietary", "confidential", r"proprietary and confidential|confidential and proprietary"),
 )
 
+# Short identifiers of licences as words, for labels whose identifier is not the label itself.
+IDENTIFIERS = {
+    "gfdl": r"gfdl(?: 1 [123])?(?: only| or later)?",
+    "cc-by-sa-2.0": "cc by sa 2 [05]",
+    "cc-by-nc-2.0": "cc by nc 2 [05]",
+    "lppl-1.3c": "lppl 1 3[ac]",
+    **{label: label.replace("-", " ").replace(".", " ") + "(?: only| or later)?" for label in ("gpl-1.0", "gpl-2.0", "gpl-3.0", "lgpl-2.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0")},
+}
+# Labels that are no identifiers, and identifiers that are plain words or names of programs, which count in tags only.
+NO_IDENTIFIERS = frozenset("public-domain proprietary edl-1.0 lgpl agpl mpl epl cddl".split())
+IN_TAGS_ONLY = frozenset("ruby vim json beerware openssl postgresql libpng x11".split())
+
 # Sentences of licence texts: (label, keyword, pattern).
 SENTENCES = (
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -150,7 +162,7 @@ SENTENCES = (
 # How texts speak of a licence by its name: (form, priority, confidence, pattern around the name). Higher priorities win.
 FORMS = (
     ("name", 2, 0.6, r"{name}"),
-    ("licensed", 3, 0.9, r"(?:dual )?(?:licen[cs]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?{name}(?: license)?"),
+    ("licensed", 3, 0.9, r"(?:dual )?(?:licen[cs]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?{name}(?: licen[cs]e)?"),
     ("tag", 4, 1.0, r"spdx license identifier {name}"),
 )
 BASE_PRIORITY, BASE_CONFIDENCE = 1, 0.5
@@ -167,16 +179,34 @@ class Rule:
     priority: int
     confidence: float
     base: bool = False
+    also: str = ""  # a second keyword, if any
+
+
+def identifiers() -> dict[str, str]:
+    """Patterns of the identifiers, by label."""
+    labels = dict.fromkeys(label for label, _, _ in NAMES)
+    return {x: IDENTIFIERS.get(x, x.replace("-", " ").replace(".", " ")) for x in labels if x not in NO_IDENTIFIERS}
+
+
+def _both_spellings(pattern: str) -> str:
+    return re.sub(r"\blicense\b", "licen[cs]e", pattern)
 
 
 def rules() -> tuple[Rule, ...]:
     """All rules in their order: tags, sentences and phrases, names, base phrases; of equal rules the earlier one wins."""
     found = [
-        Rule(label, keyword, around.replace("{name}", f"(?:{name})"), priority, confidence)
+        Rule(label, keyword, around.replace("{name}", f"(?:{_both_spellings(name)})"), priority, confidence)
         for form, priority, confidence, around in FORMS
         for label, keyword, name in NAMES
     ]
-    found += [Rule(label, keyword, sentence, SENTENCE_PRIORITY, SENTENCE_CONFIDENCE) for label, keyword, sentence in SENTENCES]
+    for form, priority, confidence, around in FORMS:
+        for label, name in identifiers().items():
+            first = name.split()[0].split("(")[0]
+            if form == "tag":
+                found.append(Rule(label, "spdx", around.replace("{name}", f"(?:{name})"), priority, confidence))
+            elif form == "licensed" and label not in IN_TAGS_ONLY:
+                found.append(Rule(label, first, around.replace("{name}", f"(?:{name})"), priority, confidence, also="under"))
+    found += [Rule(label, keyword, _both_spellings(sentence), SENTENCE_PRIORITY, SENTENCE_CONFIDENCE) for label, keyword, sentence in SENTENCES]
     found += [Rule(label, phrase.split()[0], phrase, BASE_PRIORITY, BASE_CONFIDENCE, True) for phrase, label in BASE]
     return tuple(sorted(found, key=lambda rule: -rule.priority))
 
@@ -210,9 +240,10 @@ class Scanner:
         known: dict[str, bool] = {}
         found = []
         for number, (rule, pattern) in enumerate(zip(self.rules, self.patterns)):
-            if rule.keyword not in known:
-                known[rule.keyword] = rule.keyword in line
-            if known[rule.keyword]:
+            for keyword in (rule.keyword, rule.also):
+                if keyword not in known:
+                    known[keyword] = keyword in line
+            if known[rule.keyword] and known[rule.also]:
                 for match in pattern.finditer(line):
                     first = bisect.bisect_left(begins, match.start(1))
                     last = bisect.bisect_left(begins, match.end(1)) - 1
@@ -255,8 +286,14 @@ def scan(
     text = text_of(text_column)
     lowered = F.lower(text)
     gate = F.lit(False)
-    for keyword in keywords(rules_):
+    alone = {rule.keyword for rule in rules_ if not rule.also}
+    for keyword in sorted(alone):
         gate = gate | F.contains(lowered, F.lit(keyword))
+    for also in sorted({rule.also for rule in rules_} - {""}):
+        either = F.lit(False)
+        for keyword in sorted({rule.keyword for rule in rules_ if rule.also == also} - alone):
+            either = either | F.contains(lowered, F.lit(keyword))
+        gate = gate | (F.contains(lowered, F.lit(also)) & either)
     rows = docs.select(
         plain(id_column).alias("id"),
         F.regexp_count(text, F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"),
