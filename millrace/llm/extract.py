@@ -81,7 +81,9 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
     """(line, in an article) of a page, without markup and furniture, in page order.
 
     A line is the text between two block boundaries, character references decoded, white space as single spaces. If the
-    page has article or main elements, lines outside them are left out. A header inside an article keeps its headings.
+    page has article or main elements that hold a quarter of its characters or more, lines outside them are left out; otherwise
+    they are teasers, and the comparison with the neighbour decides on the lines outside. A header inside an article keeps
+    its headings.
     """
     lines: list[tuple[str, bool]] = []
     pieces: list[str] = []
@@ -144,7 +146,8 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
     if not dark and at < len(page):
         pieces.append(page[at:])
     flush()
-    if any(inside for _, inside in lines):
+    held = sum(len(text) for text, inside in lines if inside)
+    if held and 4 * held >= sum(len(text) for text, _ in lines):
         return [(text, True) for text, inside in lines if inside]
     return lines
 

@@ -147,3 +147,14 @@ def test_given_pages_by_hand(spark):
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert got[row.page_id] == "\n\n".join(b for b in blocks if b)
     assert pages.select(F.count_distinct("page_id")).first()[0] == len(got)
+
+
+def test_text_outside_teaser_articles_stays():
+    story = "A long story that no element of the page marks as the article, sentence after sentence. " * 5
+    page = f"<body><p>Shared line</p><div><p>{story}</p></div><article>Teaser one</article><article>Teaser two</article></body>"
+    lines = extract.page_lines(page)
+    assert [text for text, _ in lines] == ["Shared line", story.strip(), "Teaser one", "Teaser two"]
+    other = extract.page_lines("<body><p>Shared line</p><p>Something else</p></body>")
+    assert extract.main_lines(lines, other) == [story.strip(), "Teaser one", "Teaser two"]
+    whole = extract.page_lines(f"<body><p>Menu</p><article>{story}</article></body>")
+    assert whole == [(story.strip(), True)]
