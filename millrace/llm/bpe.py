@@ -72,22 +72,31 @@ class Encoder:
         while part := list(itertools.islice(matches, HELD_PIECES)):
             yield part
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, 32 bits each."""
+    def learn(self, pieces: set[str]) -> None:
+        """Let the library encode the pieces that are not known yet, many in one call."""
         if len(self.known) > REMEMBERED_PIECES:
             self.known = {}
-        known, found = self.known, []
-        for text in texts:
-            parts = []
-            for pieces in self._pieces(text):
-                new = list(set(pieces).difference(known))
-                for begin in range(0, len(new), NEW_PIECES):
-                    part = new[begin : begin + NEW_PIECES]
-                    for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                        known[piece] = array.array("i", encoding.ids).tobytes()
-                parts.append(b"".join(map(known.__getitem__, pieces)))
-            found.append(np.frombuffer(b"".join(parts), dtype=np.int32))
-        return found
+        new = list(pieces.difference(self.known))
+        for begin in range(0, len(new), NEW_PIECES):
+            part = new[begin : begin + NEW_PIECES]
+            for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[piece] = array.array("i", encoding.ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, 32 bits each."""
+        found = []
+        if sum(map(len, texts)) <= 4 * HELD_PIECES:
+            split = [self.pattern.findall(text) for text in texts]
+            self.learn({p for pieces in split for p in pieces})
+            found = [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
+        else:
+            for text in texts:
+                parts = []
+                for pieces in self._pieces(text):
+                    self.learn(set(pieces))
+                    parts.append(b"".join(map(self.known.__getitem__, pieces)))
+                found.append(b"".join(parts))
+        return [np.frombuffer(ids, dtype=np.int32) for ids in found]
 
 
 def character_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

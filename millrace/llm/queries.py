@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exactdedup, extract, licenses, mixing, quality, simhash, topk, urlrules
+from millrace.llm import alignment, bpe, centroids, chat, exactdedup, extract, licenses, mixing, piecebpe, quality, simhash, topk, urlrules
 from millrace.llm.common import SCHEMAS, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,70 @@ def op7_url_filters(spark, sf_dir):
 @query()
 def op8_html(spark, sf_dir):
     return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def piece_vocabulary() -> str:
+    """Path of the piece vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op11_piece_bpe(spark, sf_dir):
+    path = piece_vocabulary()
+    return piecebpe.digests(piecebpe.decode(piecebpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
+@query()
+def op12_alignment(spark, sf_dir):
+    path, pattern = vocabulary()
+    aligned = alignment.align_tokenizers(table(spark, sf_dir, "documents"), path, pattern, piece_vocabulary())
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def _centroid_sql(centroids: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS) -> str:
+    """Rounds written out; a vector and a centroid are lists."""
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row_no, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), centres0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v AS centre FROM kept
+  QUALIFY cluster < {centroids}
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""
+pairs{r} AS (
+  SELECT row_no, vec_id, v, cluster,
+    list_sum(list_transform(range(1, 65), lambda i: (v[i] - centre[i]) * (v[i] - centre[i]))) AS distance
+  FROM kept, centres{r}
+), near{r} AS MATERIALIZED (
+  SELECT row_no, any_value(vec_id) AS vec_id, any_value(v) AS v, min(distance) AS distance,
+    min_by(cluster, distance * {centroids} + cluster) AS cluster
+  FROM pairs{r} GROUP BY row_no
+)""")
+        if r < rounds:
+            steps.append(f"""
+means{r} AS (
+  SELECT cluster, list(mean ORDER BY i) AS centre FROM (
+    SELECT cluster, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+    FROM near{r}, range(1, 65) c(i) GROUP BY cluster, i
+  ) GROUP BY cluster
+), centres{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(means{r}.centre, centres{r}.centre) AS centre FROM centres{r} LEFT JOIN means{r} USING (cluster)
+)""")
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(centre, ',')) AS centroid_sha256
+FROM near{rounds} JOIN centres{rounds} USING (cluster)
+"""
+
+
+@query(_centroid_sql())
+def op13_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
