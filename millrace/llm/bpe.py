@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import codecs
+import hashlib
 import itertools
 import json
 from collections.abc import Iterator
@@ -112,6 +113,34 @@ def character_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return number[begins], number[ends - 1] + 1
 
 
+class Decoder:
+    """Bytes and text of ids, by the table of the bytes of each id."""
+
+    def __init__(self, vocabulary_path: str):
+        table = token_bytes(vocabulary_path)
+        self.size = np.zeros(max(table) + 1, dtype=np.int64)
+        for i, token in table.items():
+            self.size[i] = len(token)
+        self.begin = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(table.get(i, b"") for i in range(len(self.size))), dtype=np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        ids = ids.astype(np.int64)
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.size) and self.size[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        lengths = self.size[ids]
+        # a byte's place in the table: its token's place, and how far into the token it is
+        shift = np.repeat(self.begin[ids] - (np.cumsum(lengths) - lengths), lengths)
+        return self.flat[shift + np.arange(len(shift))].tobytes()
+
+    def streamed(self, ids: np.ndarray, run: int) -> Iterator[str]:
+        """Text of ids that come ``run`` at a time: bytes of a character that a run splits wait for the next run."""
+        decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")
+        for begin in range(0, len(ids), run):
+            yield decoder.decode(self.joined(ids[begin : begin + run]))
+        yield decoder.decode(b"", final=True)
+
+
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
     values = np.concatenate(rows) if rows else np.zeros(0)
@@ -163,26 +192,12 @@ def decode(tokens: DataFrame, vocabulary_path: str, ids_column: str = "ids", out
     schema = tokens.select(*[plain(c) for c in others]).schema.add(output, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(vocabulary_path)
-        size = np.zeros(max(table) + 1, dtype=np.int64)
-        for i, token in table.items():
-            size[i] = len(token)
-        begin = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(table.get(i, b"") for i in range(len(size))), dtype=np.uint8)
-
-        def joined(ids: np.ndarray) -> bytes:
-            if len(ids) and not (0 <= ids.min() and ids.max() < len(size) and size[ids].all()):
-                raise ValueError("an id is not in the vocabulary")
-            lengths = size[ids]
-            # a byte's place in the table: its token's place, and how far into the token it is
-            shift = np.repeat(begin[ids] - (np.cumsum(lengths) - lengths), lengths)
-            return flat[shift + np.arange(len(shift))].tobytes()
-
+        decoder = Decoder(vocabulary_path)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 column = part.column(ids_column)
-                texts = [None if not row.is_valid else joined(row.values.to_numpy(zero_copy_only=False).astype(np.int64)) for row in column]
+                texts = [None if not row.is_valid else decoder.joined(row.values.to_numpy(zero_copy_only=False)) for row in column]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, output])
 
     return tokens.select(*[plain(c) for c in others]).mapInArrow(run, schema)
@@ -206,3 +221,39 @@ def digests(tokens: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+def round_trip(
+    docs: DataFrame, vocabulary_path: str, pattern: str, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",), run_ids: int = 256,
+) -> DataFrame:
+    """Columns ``keep`` and digests of what encoding and decoding every text gives, without the ids leaving their task.
+
+    ``n_tokens``, ``ids_sha256`` (ids in decimal, joined by spaces), ``decoded_sha256`` (bytes of the ids), ``offsets_sha256``
+    (first characters and then end characters of the tokens, as little-endian 32-bit numbers) and ``streamed_sha256`` (text
+    of the ids when they come ``run_ids`` at a time and may split characters). NULL texts are empty and repeated rows
+    alike, as in ``encode``; columns not in ``keep`` are dropped; an empty table gives no rows.
+    """
+    names = ("ids_sha256", "decoded_sha256", "offsets_sha256", "streamed_sha256")
+    kept = docs.select(*[plain(k) for k in keep]).schema.fields
+    schema = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), *[T.StructField(n, T.StringType()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(vocabulary_path, pattern), Decoder(vocabulary_path)
+        decimal = list(map(str, range(len(decoder.size))))
+        for batch in in_chunks(batches, "_text", TEXT_BYTES):
+            texts = [t or "" for t in batch.column("_text").to_pylist()]
+            rows = []
+            for text, ids in zip(texts, encoder.encode(texts)):
+                starts, ends = character_offsets(text.encode(), decoder.size[ids])
+                streamed = hashlib.sha256()
+                for part in decoder.streamed(ids, run_ids):
+                    streamed.update(part.encode())
+                rows.append((
+                    len(ids), hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest(),
+                    hashlib.sha256(decoder.joined(ids)).hexdigest(),
+                    hashlib.sha256(starts.astype("<i4").tobytes() + ends.astype("<i4").tobytes()).hexdigest(), streamed.hexdigest(),
+                ))
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int64(), *[pa.string()] * 4))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], schema.names)
+
+    return docs.select(*[plain(k) for k in keep], plain(text_column).cast("string").alias("_text")).mapInArrow(run, schema)

@@ -65,14 +65,14 @@ def mix(
 ) -> DataFrame:
     """Rows of ``docs`` as often as a Poisson number of their source's rate says, in random order.
 
-    A row's number is the inverse of the Poisson distribution at a uniform number hashed from ``seed`` and its id, so a
-    repeated task draws it again. Copies are numbered from 0 in ``copy_column`` (None leaves it out). A hash of id, copy
+    A row's number is the inverse of the Poisson distribution at a uniform number hashed from ``seed`` and all its columns,
+    so a repeated task draws it again. Copies are numbered from 0 in ``copy_column`` (None leaves it out). A hash of row, copy
     and seed deals the copies to partitions and orders them there: a global shuffle, even whatever the sources are.
     ``detail`` adds ``n_copies``, ``rate`` and ``shuffle_key``.
 
     The rates are one row per source, counted first and written; Spark broadcasts them if their size allows and joins by
-    sorting, with splitting of hot sources, if not. A NULL id takes part under one common number; a repeated row gets the
-    same number of copies each time. Texts are not looked at. An empty table gives an empty result. Columns of ``docs``
+    sorting, with splitting of hot sources, if not. Rows with NULL or repeated ids draw by their other columns; only a row repeated
+    whole gets the same number of copies each time. An empty table gives an empty result. Columns of ``docs``
     that have a name of a new column are replaced.
     """
     spark = docs.sparkSession
@@ -81,8 +81,10 @@ def mix(
     rates = rates.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), parts.alias("_mix_parts"))
     rates = written(rates.withColumn("_mix_cdf", _table(F.col("_mix_rate") / F.col("_mix_parts"))), "mix-rates")
 
-    name = F.coalesce(F.col("_mix_id").cast("string"), F.lit("null"))
-    rows = docs.select(packed(docs).alias("_mix_row"), plain(id_column).alias("_mix_id"), plain(source_column).alias("_mix_of"))
+    first = [id_column, *[c for c in docs.columns if c != id_column]]
+    content = F.concat_ws("\x1f", *[F.coalesce(plain(c).cast("string"), F.lit("\x01")) for c in first])
+    rows = docs.select(packed(docs).alias("_mix_row"), F.md5(content).alias("_mix_name"), plain(source_column).alias("_mix_of"))
+    name = F.col("_mix_name")
 
     def draw(part: Column) -> Column:
         u = uniform(F.concat_ws(":", F.lit(str(seed)), name, part.cast("string")))

@@ -205,8 +205,9 @@ def fit(
     """Fit on at most ``fit_rows`` labelled rows outside the held-out part.
 
     Their ids and labels are bounded by ``fit_rows``, so they are broadcast to the scan of ``docs`` and only their
-    statistics (not texts) come to the driver. Labels other than 0 and 1 and NULL ids are left out; an id with several
-    labels counts with each.
+    statistics (not texts) come to the driver, one row per id and label: of documents that share an id, that with the
+    smallest hash of its text. Labels other than 0 and 1 and NULL ids are left out; an id with several labels counts with
+    each.
     """
     sample = (
         labels.select(plain(id_column).alias("_q_id"), plain(label_column).cast("int").alias("_q_label"))
@@ -216,7 +217,9 @@ def fit(
         .limit(fit_rows)
     )
     rows = docs.select(plain(id_column).alias("_q_id"), plain(text_column).alias("_q_source")).join(F.broadcast(sample), "_q_id")
-    found = with_statistics(rows, "_q_source").select(*STATISTICS, "_q_label").toPandas()
+    one = F.min(F.struct(F.col("_q_hash").alias("hash"), *STATISTICS)).alias("_q_one")
+    stated = with_statistics(rows.withColumn("_q_hash", F.xxhash64("_q_source")), "_q_source")
+    found = stated.groupBy("_q_id", "_q_label").agg(one).orderBy("_q_id", "_q_label").select("_q_one.*", "_q_label").toPandas()
     return fit_rules(found[list(STATISTICS)].to_numpy(dtype=np.float64), found["_q_label"].to_numpy(dtype=np.float64))
 
 

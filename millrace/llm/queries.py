@@ -47,17 +47,22 @@ cdf AS (
     OVER (PARTITION BY source ORDER BY k) AS below
   FROM parts, range(0, 65) r(k)
 ),
+named AS (
+  SELECT doc_id, source, md5(concat(coalesce(CAST(doc_id AS VARCHAR), chr(1)), chr(31), coalesce(text, chr(1)), chr(31), coalesce(lang, chr(1)),
+    chr(31), coalesce(source, chr(1)), chr(31), coalesce(CAST(n_chars AS VARCHAR), chr(1)))) AS name
+  FROM documents
+),
 draws AS (
-  SELECT d.doc_id, d.source, part,
-    (CAST('0x' || substr(md5('42:' || d.doc_id || ':' || part), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
-  FROM documents d JOIN parts USING (source), range(1, 1000) p(part) WHERE part <= parts
+  SELECT d.doc_id, d.source, name, part,
+    (CAST('0x' || substr(md5('42:' || name || ':' || part), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM named d JOIN parts USING (source), range(1, 1000) p(part) WHERE part <= parts
 ),
 numbers AS (
-  SELECT doc_id, part, (SELECT count(*) FROM cdf WHERE cdf.source = draws.source AND cdf.below < u) AS n FROM draws
+  SELECT doc_id, name, part, (SELECT count(*) FROM cdf WHERE cdf.source = draws.source AND cdf.below < u) AS n FROM draws
 ),
-totals AS (SELECT doc_id, CAST(sum(n) AS INTEGER) AS n_copies FROM numbers GROUP BY doc_id),
-copies AS (SELECT doc_id, n_copies, unnest(range(0, n_copies)) AS copy FROM totals)
-SELECT d.*, CAST(copy AS INTEGER) AS copy, n_copies, md5('42-order:' || d.doc_id || ':' || copy) AS shuffle_key
+totals AS (SELECT doc_id, name, CAST(sum(n) AS INTEGER) AS n_copies FROM numbers GROUP BY doc_id, name),
+copies AS (SELECT doc_id, name, n_copies, unnest(range(0, n_copies)) AS copy FROM totals)
+SELECT d.*, CAST(copy AS INTEGER) AS copy, n_copies, md5('42-order:' || name || ':' || copy) AS shuffle_key
 FROM documents d JOIN copies USING (doc_id)
 """
 
@@ -89,8 +94,7 @@ def op9_exact_dedup(spark, sf_dir):
 @query()
 def op10_byte_bpe(spark, sf_dir):
     path, pattern = vocabulary()
-    tokens = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, offsets=False)
-    return bpe.digests(bpe.decode(tokens, path))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern)
 
 
 CHAT_SQL = """
@@ -98,14 +102,16 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), sizes AS (
-  SELECT *, length(text) + length(text) - length(replace(replace(replace(text, '~', ''), '[', ''), '<', '')) + 4
+  SELECT *, lag(role, 1, 'start') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before, length(text) + length(text) - length(replace(replace(replace(text, '~', ''), '[', ''), '<', '')) + 4
     + CASE role WHEN 'system' THEN 5 WHEN 'user' THEN 6 WHEN 'assistant' THEN 7 END AS size FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(size) AS BIGINT) AS formatted_chars
+  CAST(sum(size) AS BIGINT) AS formatted_chars,
+  CASE WHEN bool_and((before, role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))) THEN last(role ORDER BY turn, role, text) ELSE 'error' END AS state,
+  bool_and((before, role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))) AND last(role ORDER BY turn, role, text) IN ('user', 'assistant') AS valid
 FROM sizes GROUP BY conv_id
 """
 
@@ -123,6 +129,8 @@ def op2_chat(spark, sf_dir):
         F.length("learned_text").cast("long").alias("loss_chars"),
         F.sha2("learned_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "state",
+        "valid",
     )
 
 

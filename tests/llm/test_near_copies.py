@@ -65,7 +65,7 @@ def test_dense_groups_chains_and_parts(spark):
     rows += [(200, rows[3][1] + " x")]
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMAS["documents"])
     assert {r.doc_id for r in nearcopies.drop_near_copies(docs).collect()} == kept_by_hand(rows)
-    fps = nearcopies._prints(docs, "doc_id", "text").selectExpr("node", "fp", "size", "node AS label").cache()
+    fps = nearcopies._prints(docs, "doc_id", "text").selectExpr("node", "fp", "size", "sketch", "node AS label").cache()
     whole = {frozenset(r) for r in nearcopies.candidates(fps).collect()}
     assert whole == {frozenset(r) for r in nearcopies.candidates(fps, tile_rows=3).collect()} and len(whole) > 1000
 
@@ -77,3 +77,54 @@ def test_rows_with_repeated_or_missing_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     left = [r.doc_id for r in nearcopies.drop_near_copies(docs.filter("text != '' AND NOT (doc_id IS NULL AND text LIKE 'w%')")).collect()]
     assert sorted(left, key=str) == [1, 2, 5, None]
+
+
+def edited_group(count, words, changed, seed=3):
+    """Texts that differ from one and the same text in ``changed`` words each."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    rows = []
+    for n in range(count):
+        copy = list(base)
+        for at in rng.sample(range(words), changed):
+            copy[at] = f"x{n}y{at}"
+        rows.append((n, " ".join(copy)))
+    return rows
+
+
+def test_unlike_texts_of_a_group_never_become_pairs(spark):
+    docs = spark.createDataFrame(edited_group(600, 400, 12), "doc_id bigint, text string")
+    nodes = nearcopies._prints(docs, "doc_id", "text").selectExpr("node", "fp", "size", "sketch", "node AS label")
+    assert nearcopies.candidates(nodes).count() < 600 * 600 // 2 // 25
+    assert nearcopies.candidates(nodes, nearest=True).distinct().count() <= 600 * 2
+    assert nearcopies.drop_near_copies(docs).count() == 600
+
+
+def test_pairs_just_above_the_limit_are_found(spark):
+    """Three changed words of 150 leave 0.81; half of the pairs are long texts with nine of 440."""
+    rows, expected = [], 0
+    for n in range(150):
+        size, changed = ((150, 3), (440, 9))[n % 2]
+        (_, a), (_, b) = edited_group(2, size, 0, seed=n)
+        words = b.split()
+        for at in range(changed):
+            words[(at * size) // changed + 2] = f"new{n}x{at}"
+        rows += [(2 * n, a), (2 * n + 1, " ".join(words))]
+        expected += similar(a, rows[-1][1])
+    assert expected >= 140
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    dropped = len(rows) - nearcopies.drop_near_copies(docs).count()
+    assert expected * 0.97 <= dropped <= expected
+
+
+def test_sketches_estimate_similarity():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    apart = []
+    for _ in range(60):
+        both, own = rng.integers(0, 1 << 62, 800), rng.integers(0, 1 << 62, (2, 100))
+        a, b = (np.frombuffer(nearcopies.sketch(np.unique(np.concatenate([both, o]))), np.uint8) for o in own)
+        apart.append(int(np.bitwise_count(a ^ b).sum()))
+    assert 22 < np.mean(apart) < 29 and max(apart) <= nearcopies.SKETCH_RADIUS  # 25.6 for 800 of 1000 in common
+    assert nearcopies.sketch(np.zeros(0, np.int64)) == nearcopies.sketch(np.zeros(0, np.int64))

@@ -79,13 +79,22 @@ def test_mix_by_hand(spark):
         parts = math.ceil(rate / mixing.LARGEST_MEAN)
         n = 0
         for part in range(1, parts + 1):
-            name = "null" if i is None else i
+            row = [str(i) if i is not None else "\x01", s or "\x01", t or "\x01", "own"]
+            name = hashlib.md5("\x1f".join(row).encode()).hexdigest()
             u = (int(hashlib.md5(f"42:{name}:{part}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
             n += poisson(rate / parts, u)
         expected.update((i, s, t, c) for c in range(n))
     assert Counter((r.doc_id, r.source, r.text, r.copy) for r in got.collect()) == expected
 
 
+def test_rows_without_ids_draw_by_themselves(spark):
+    docs = spark.createDataFrame([(None, "a", f"t{i}") for i in range(1000)] + [(7, "a", f"u{i}") for i in range(1000)], "doc_id bigint, source string, text string")
+    copies = Counter(r.text for r in mixing.mix(docs, epochs=1.0).collect())
+    assert 0.3 < (2000 - len(copies)) / 2000 < 0.44 and 1800 < sum(copies.values()) < 2200  # exp(-1) of them draw none
+    parts = mixing.mix(docs).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 1200
+
+
 def test_weights_and_rates(spark):
     docs = spark.createDataFrame([(i, "a" if i < 900 else "b") for i in range(1000)], "doc_id bigint, source string")
     rates = {r.source: r.rate for r in mixing.source_rates(docs, weights={"a": 1.0, "b": 3.0, "c": 5.0}).collect()}

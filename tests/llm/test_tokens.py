@@ -88,3 +88,17 @@ def test_digests_and_empty_table(spark, reference):
 def test_offsets_of_bytes():
     begins, ends = bpe.character_offsets("a\u00e9\U0001f600".encode(), np.array([1, 1, 1, 3, 1]))
     assert begins.tolist() == [0, 1, 1, 2, 2] and ends.tolist() == [1, 2, 2, 3, 3]
+
+
+def test_round_trip_digests(spark, reference):
+    path, pattern = vocabulary()
+    for run_ids in (1, 3, 256):
+        found = {r.doc_id: r for r in bpe.round_trip(frame(spark, TEXTS), path, pattern, run_ids=run_ids).collect()}
+        listed = {r.doc_id: r for r in bpe.encode(frame(spark, TEXTS), path, pattern).collect()}
+        for i, text in enumerate(TEXTS):
+            ids, whole = reference.encode_ordinary(text or ""), hashlib.sha256((text or "").encode()).hexdigest()
+            offsets = np.array([*listed[i].starts, *listed[i].ends], dtype="<i4").tobytes()
+            assert (found[i].n_tokens, found[i].ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            assert (found[i].decoded_sha256, found[i].streamed_sha256) == (whole, whole)
+            assert found[i].offsets_sha256 == hashlib.sha256(offsets).hexdigest()
+    assert bpe.round_trip(frame(spark, TEXTS).limit(0), path, pattern).count() == 0
