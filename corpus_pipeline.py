@@ -37,10 +37,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document and what they decode to, as digests."""
+    """Token ids of each document, their offsets and what they decode to, as digests."""
     configure(spark)
     path, pattern = queries.vocabulary()
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern, offsets=False), path))
+    return bpe.round_trip(docs, path, pattern)
 
 
 STAGES = [
