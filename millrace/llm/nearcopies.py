@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +26,8 @@ TILE_ROWS = 1 << 14
 BLOCK, STEP_ROWS = 1 << 18, 256
 # Shingles whose hashes are minimised at a time.
 HASHED = 2048
+# Shingles of a part whose texts are compared exactly.
+TILE_SHINGLES = 1 << 21
 # Bytes of text that a task holds at a time.
 TEXT_BYTES = 1_000_000
 
@@ -126,32 +128,40 @@ class Rows(NamedTuple):
         return Rows(*(c[rows] for c in tuple.__iter__(self)))
 
 
-def candidates(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS, nearest: bool = False) -> DataFrame:
-    """(u, v): pairs of ``nodes`` (node, fp, size, sketch, label) of different labels that may be near copies.
+def _dealt(nodes: DataFrame, columns: list[str], rows_of: Callable[[int], int]) -> DataFrame:
+    """``nodes`` in tiles and parts: (tile, part, home, columns), those at home in a part before its visitors.
 
-    These are the pairs whose sizes do not rule the similarity out, whose fingerprints differ in no more than ``radius``
-    bits and whose sketches in no more than ``SKETCH_RADIUS``. All three are decided where the rows meet, so that unlike
-    texts never become a pair. A tile holds the nodes of one size class, each a quarter larger than the one before, and a
-    node visits the next class too. Inside a tile rows are ordered by the bit counts of their fingerprints, and blocks whose
-    counts differ by more than the radius are skipped. A tile above ``tile_rows`` is cut into parts, and its visitors go to
-    each part. With ``nearest`` every row gives only the pair with the nearest sketch of each part that it meets.
+    A row is at home in one part of its size class, a visitor in the later parts and in all parts of the next class; parts
+    of a class have about ``rows_of(class)`` rows.
     """
     spark = nodes.sparkSession
     tile = F.when(F.col("size") > 0, F.floor(F.log(F.col("size")) / F.log(F.lit(10 / LEAST)))).otherwise(F.lit(-2)).cast("int")
-    large = nodes.groupBy(tile.alias("tile")).count().filter(F.col("count") > tile_rows).collect()  # one row per size class
     parts = F.lit(1)
-    for row in large:
-        parts = F.when(F.col("tile") == row["tile"], F.lit(-(-row["count"] // tile_rows))).otherwise(parts)
+    for row in nodes.groupBy(tile.alias("tile")).count().collect():  # one row per size class
+        if (many := -(-row["count"] // rows_of(row["tile"]))) > 1:
+            parts = F.when(F.col("tile") == row["tile"], F.lit(many)).otherwise(parts)
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    visits = nodes.select("node", "fp", "size", "sketch", "label", tile.alias("own_tile")).withColumn(
+    visits = nodes.select(*columns, tile.alias("own_tile")).withColumn(
         "tile", F.explode(F.array("own_tile", F.col("own_tile") + 1))
     ).withColumn("home", F.col("tile") == F.col("own_tile")).withColumn("own", own)
-    # as in simhash.near_links: at home in its own part, a visitor in the later ones and in all parts of the next tile
     placed = visits.withColumn(
         "part", F.explode(F.when(F.col("home"), F.sequence("own", parts - 1)).otherwise(F.sequence(F.lit(0), parts - 1)))
-    ).select("tile", "part", (F.col("home") & (F.col("part") == F.col("own"))).alias("home"), "node", "fp", "size", "label", "sketch")
-    dealt = placed.repartition(shuffle_partitions(spark), "tile", "part").sortWithinPartitions("tile", "part", F.desc("home"))
+    ).select("tile", "part", (F.col("home") & (F.col("part") == F.col("own"))).alias("home"), *columns)
+    return placed.repartition(shuffle_partitions(spark), "tile", "part").sortWithinPartitions("tile", "part", F.desc("home"))
 
+
+def candidates(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS, give: str = "pairs") -> DataFrame:
+    """(u, v): pairs of ``nodes`` (node, fp, size, sketch, label) of different labels that may be near copies.
+
+    These are the pairs whose sizes do not rule the similarity out, whose fingerprints differ in no more than ``radius``
+    bits and whose sketches in no more than ``SKETCH_RADIUS``. All three are decided where the rows meet, so that unlike
+    texts never become a pair. A tile holds the nodes of one size class, each a quarter larger than the one before, and a
+    node visits the next class too. Inside a tile rows are ordered by the bit counts of their fingerprints, and blocks whose
+    counts differ by more than the radius are skipped. A tile above ``tile_rows`` is cut into parts, and its visitors go to
+    each part. ``give="pairs"`` gives all such pairs, ``"nearest"`` of every row only that with the nearest sketch of each
+    part that it meets, and ``"nodes"`` the nodes that are in any pair, as (node, node).
+    """
+    dealt = _dealt(nodes, ["node", "fp", "size", "label", "sketch"], lambda size_class: tile_rows)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, home = None, None
         for batch in batches:
@@ -164,17 +174,18 @@ def candidates(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROW
                 if split > begin:
                     new = Rows.of(batch.slice(begin, split - begin))
                     if home is not None:
-                        yield from _near(new, home, radius, nearest)
-                    yield from _near(new, new, radius, nearest, same=True)
+                        yield from _near(new, home, radius, give)
+                    yield from _near(new, new, radius, give, same=True)
                     home = new if home is None else home.with_rows(new)
                 if split < end and home is not None:
-                    yield from _near(Rows.of(batch.slice(split, end - split)), home, radius, nearest)
+                    yield from _near(Rows.of(batch.slice(split, end - split)), home, radius, give)
 
     return dealt.mapInArrow(run, "u bigint, v bigint")
 
 
-def _near(rows: Rows, home: Rows, radius: int, nearest: bool, same: bool = False) -> Iterator[pa.RecordBatch]:
+def _near(rows: Rows, home: Rows, radius: int, give: str, same: bool = False) -> Iterator[pa.RecordBatch]:
     """The pairs of a row and a home, a block at a time."""
+    met = np.zeros(len(home.node), dtype=bool)
     for begin in range(0, len(rows.node), STEP_ROWS):
         some = rows[slice(begin, begin + STEP_ROWS)]
         low, high = np.searchsorted(home.bits, [some.bits[0] - radius, some.bits[-1] + radius + 1])
@@ -191,7 +202,11 @@ def _near(rows: Rows, home: Rows, radius: int, nearest: bool, same: bool = False
             apart = np.bitwise_count(some.sketch[r] ^ block.sketch[h]).sum(axis=1, dtype=np.int64)
             keep = apart <= SKETCH_RADIUS
             r, h, apart = r[keep], h[keep], apart[keep]
-            if nearest and len(r):
+            if give == "nodes":
+                met[h + at] = True
+                own = some.node[np.unique(r)]
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(own)], ["u", "v"])
+            elif give == "nearest" and len(r):
                 order = np.lexsort((apart, r))
                 order = order[np.concatenate([[True], r[order[1:]] != r[order[:-1]]])]
                 best.append(np.stack([r[order], apart[order], some.node[r[order]], block.node[h[order]]]))
@@ -202,11 +217,87 @@ def _near(rows: Rows, home: Rows, radius: int, nearest: bool, same: bool = False
             order = np.lexsort((apart, r))
             order = order[np.concatenate([[True], r[order[1:]] != r[order[:-1]]])]
             yield pa.RecordBatch.from_arrays([pa.array(u[order]), pa.array(v[order])], ["u", "v"])
+    if met.any():
+        yield pa.RecordBatch.from_arrays([pa.array(home.node[met]), pa.array(home.node[met])], ["u", "v"])
+
+
+class _Sets:
+    """Shingle sets of one part. ``meet`` finds those similar to a set and joins their labels."""
+
+    def __init__(self):
+        self.label, self.size, self.node = (np.zeros(0, np.int64) for _ in range(3))
+        self.shingle, self.row = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, int]] = []
+        self.label_of: dict[int, int] = {}
+
+    def add(self, node: int, label: int, found: np.ndarray) -> None:
+        self.waiting.append((found, len(self.node)))
+        self.label, self.size, self.node = (np.append(x, y) for x, y in ((self.label, label), (self.size, len(found)), (self.node, node)))
+
+    def _index(self) -> None:
+        """All shingles in order, with the row that each one is of."""
+        shingle = np.concatenate([self.shingle, *(f for f, _ in self.waiting)])
+        row = np.concatenate([self.row, *(np.full(len(f), r) for f, r in self.waiting)])
+        order = np.argsort(shingle, kind="stable")
+        self.shingle, self.row, self.waiting = shingle[order], row[order], []
+
+    def meet(self, node: int, label: int, found: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Links to one row of each label that has a similar one; the labels are then one."""
+        both = np.zeros(len(self.node), dtype=np.int64)
+        if len(self.waiting) >= 64:
+            self._index()
+        low, high = (np.searchsorted(self.shingle, found, side) for side in ("left", "right"))
+        sizes = high - low
+        at = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        both += np.bincount(self.row[at], minlength=len(both))
+        for other, row in self.waiting:
+            both[row] = len(np.intersect1d(found, other, assume_unique=True))
+        similar = both * 10 >= (len(found) + self.size - both) * LEAST
+        label = self.label_of.get(label, label)
+        rows = np.flatnonzero(similar & (self.label != label))
+        labels, first = np.unique(self.label[rows], return_index=True)
+        for row in rows[first].tolist():
+            yield node, int(self.node[row])
+        if len(labels):
+            self.label[np.isin(self.label, labels)] = label
+            known = set(labels.tolist())
+            self.label_of = {old: label if new in known else new for old, new in self.label_of.items()} | dict.fromkeys(known, label)
+
+
+def similar_links(sets: DataFrame, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
+    """(u, v): links that join all similar texts of ``sets`` (node, size, label, shingles) of different labels.
+
+    Texts of like size meet in tiles as in ``candidates``, with their shingles, and are compared exactly: one look into the
+    shingles of a part counts what a text has in common with each text there. A part reports a link only if it joins two
+    labels that it has not joined before, so that a group gives no more links than it has texts. Parts are cut so that one
+    holds about ``tile_shingles`` shingles.
+    """
 
+    def rows_of(size_class: int) -> int:
+        return max(1, int(tile_shingles / (10 / LEAST) ** (max(0, size_class) + 1)))
 
-def _similar(pairs: DataFrame, docs: DataFrame, known: DataFrame, text_column: str) -> DataFrame:
-    """The ``pairs`` whose shingles are similar. Only texts of a pair are read again and cut into shingles."""
-    needed = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(known.select("node", "text_hash"), "node")
+    dealt = _dealt(sets, ["node", "label", "shingles"], rows_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, home = None, _Sets()
+        for batch in batches:
+            links = []
+            keys = list(zip(batch.column("tile").to_pylist(), batch.column("part").to_pylist()))
+            node, label, at_home = (batch.column(c).to_pylist() for c in ("node", "label", "home"))
+            for i, found in enumerate(batch.column("shingles")):
+                if keys[i] != key:
+                    key, home = keys[i], _Sets()
+                own = found.values.to_numpy(zero_copy_only=False)
+                links += home.meet(node[i], label[i], own)
+                if at_home[i]:
+                    home.add(node[i], home.label_of.get(label[i], label[i]), own)
+            yield pa.RecordBatch.from_pydict({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+    return dealt.mapInArrow(run, "u bigint, v bigint")
+
+
+def _sets(needed: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
+    """(node, shingles) of the nodes ``needed`` (node, text_hash). Only their texts are read again and cut into shingles."""
     schema = "node bigint, shingles array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +310,13 @@ def _similar(pairs: DataFrame, docs: DataFrame, known: DataFrame, text_column: s
     texts = docs.select(_text_hash(text_column).alias("text_hash"), text_of(text_column).cast("binary").alias("_text"))
     texts = texts.join(needed.select("text_hash").distinct().hint("merge"), "text_hash", "left_semi")
     sets = texts.select("_text").mapInArrow(run, schema).groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = written(sets, "nearcopies-shingles")
+    return written(sets, "nearcopies-shingles")
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, known: DataFrame, text_column: str) -> DataFrame:
+    """The ``pairs`` whose shingles are similar."""
+    needed = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(known.select("node", "text_hash"), "node")
+    sets = _sets(needed, docs, text_column)
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
     both = F.size(F.array_intersect("of_u", "of_v"))
     either = F.size("of_u") + F.size("of_v") - both
@@ -237,7 +334,8 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     compared by their shingles if their SimHash fingerprints are within ``radius`` and their sketches of minimum hashes agree
     (see ``candidates``), so no pair is linked that is not similar; of pairs with exactly 0.8 about one in 500 is missed, of
     more similar ones fewer. Links are found twice: first each row with its nearest other one, whose components make a dense
-    group one label, then all pairs between labels. Comparing the fingerprints is quadratic in the number of distinct texts
+    group one label; then texts that may be similar to one with another label are compared exactly, tile by tile
+    (``similar_links``). Neither gives the pairs of a group, similar or not. Comparing the fingerprints is quadratic in the number of distinct texts
     of like size, a few bit operations a pair. Texts are told apart by a 64-bit hash of their shingles.
 
     NULL texts are empty; texts without words are copies of each other. Repeated rows get equal answers. A NULL id is
@@ -248,12 +346,15 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         prints.groupBy("node").agg(F.min(_rank()).alias("least"), F.min("text_hash").alias("text_hash"), F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("sketch").alias("sketch")),
         "nearcopies-nodes",
     )
-    first = written(candidates(known.withColumn("label", F.col("node")), radius, nearest=True).distinct(), "nearcopies-nearest")
+    first = written(candidates(known.withColumn("label", F.col("node")), radius, give="nearest").distinct(), "nearcopies-nearest")
     links = _similar(first, docs, known, text_column)
     labels = components(links)
-    labelled = known.join(labels, "node", "left").select("node", "fp", "size", "sketch", F.coalesce("label", "node").alias("label"))
-    rest = written(candidates(written(labelled, "nearcopies-labels"), radius), "nearcopies-pairs")
-    linked = components(links.unionByName(_similar(rest, docs, known, text_column)))
+    labelled = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = written(labelled.drop("least"), "nearcopies-labels")
+    open_ = candidates(labelled, radius, give="nodes").select(F.col("u").alias("node")).distinct()
+    open_ = written(labelled.join(open_, "node", "left_semi"), "nearcopies-open")
+    sets = open_.select("node", "size", "label").join(_sets(open_, docs, text_column).hint("merge"), "node")
+    linked = components(links.unionByName(written(similar_links(sets), "nearcopies-links")))
     with_label = known.join(linked, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least")
     reached = with_label.groupBy("label").agg(F.min("least").alias("first"))
     answer = written(with_label.join(reached, "label").select("node", "first"), "nearcopies-components")

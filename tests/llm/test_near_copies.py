@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from millrace.llm import nearcopies
 from millrace.llm.common import SCHEMAS
@@ -96,10 +98,35 @@ def test_unlike_texts_of_a_group_never_become_pairs(spark):
     docs = spark.createDataFrame(edited_group(600, 400, 12), "doc_id bigint, text string")
     nodes = nearcopies._prints(docs, "doc_id", "text").selectExpr("node", "fp", "size", "sketch", "node AS label")
     assert nearcopies.candidates(nodes).count() < 600 * 600 // 2 // 25
-    assert nearcopies.candidates(nodes, nearest=True).distinct().count() <= 600 * 2
+    assert nearcopies.candidates(nodes, give="nearest").distinct().count() <= 600 * 2
     assert nearcopies.drop_near_copies(docs).count() == 600
 
 
+def test_links_of_sets_in_small_parts(spark):
+    rows = [r for r in planted() if similar(r[1], r[1])][:120] + [(1000 + i, t) for i, t in edited_group(60, 100, 1)] + [(2000 + i, t) for i, t in edited_group(60, 100, 3, seed=4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    nodes = nearcopies._prints(docs, "doc_id", "text").dropDuplicates(["node"]).withColumn("label", F.col("node"))
+    sets = nodes.join(nearcopies._sets(nodes, docs, "text"), "node").select("node", "size", "label", "shingles").cache()
+    ids = {r.node: r.id for r in nodes.collect()}
+    for tile_shingles in (200, 3000, 1 << 21):
+        links = [(ids[r.u], ids[r.v]) for r in nearcopies.similar_links(sets, tile_shingles).collect()]
+        text = dict(rows)
+        assert all(similar(text[u], text[v]) for u, v in links)
+        if tile_shingles == 1 << 21:
+            assert len(links) < 2 * len(rows)
+        parent = {i: i for i in ids.values()}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for u, v in links:
+            x, y = sorted((root(u), root(v)))
+            parent[y] = x
+        assert {i for i in parent if root(i) == i} == kept_by_hand([(i, text[i]) for i in sorted(parent)])
+
+
 def test_pairs_just_above_the_limit_are_found(spark):
     """Three changed words of 150 leave 0.81; half of the pairs are long texts with nine of 440."""
     rows, expected = [], 0
