@@ -169,3 +169,31 @@ def enrich(
         return df.join(unique, key, "left").select(*df.columns, *columns)
     spread = salting.spread(df, [key], df.columns)
     return spread.join(salting.copy(unique, [key]), [key, "_salt"], "left").select(*df.columns, *columns)
+
+
+def interval_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, lower: str, upper: str, how: str = "inner",
+    condition: Column | None = None,
+) -> DataFrame:
+    """Join of rows with equal keys whose times lie in a band: ``left_ts + lower <= right_ts <= left_ts + upper``.
+
+    Takes tables and streams. On streams with watermarks (``windows.with_watermark`` on both) this is Spark's own join: its
+    state holds a row until no partner in the band can come any more, and an outer join gives the padded row then. Rows only
+    arrive; for streams that change rows see ``millrace.streaming.changelog_band``.
+    """
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError("how must be inner, left, right or full")
+    if not on:
+        raise ValueError("no equal keys: use band_join")
+    _disjoint(left, right, on)
+
+    def shifted(interval: str) -> Column:
+        return F.col(f"_l.{left_ts}") + F.expr(f"INTERVAL {interval}")
+
+    near = F.col(f"_r.{right_ts}").between(shifted(lower), shifted(upper))
+    same = [F.col(f"_l.{k}") == F.col(f"_r.{k}") for k in on]
+    for further in [near] if condition is None else [near, condition]:
+        same.append(further)
+    joined = left.alias("_l").join(right.alias("_r"), reduce(Column.__and__, same), how)
+    keys = [(F.coalesce(F.col(f"_l.{k}"), F.col(f"_r.{k}"))).alias(k) for k in on]
+    return joined.select(*keys, *[F.col(c) for c in [*left.columns, *right.columns] if c not in on])

@@ -258,6 +258,65 @@ def stream_join_theta_full(spark, sf_dir):
     return _theta_changes(spark, sf_dir, "full")
 
 
+def _interval_sql(how: str) -> str:
+    of = "SELECT user_id, event_id AS {0}_id, ts AS {0}_ts FROM events WHERE event_type = '{0}'"
+    return f"""
+    SELECT coalesce(p.user_id, v.user_id) AS user_id, purchase_id, purchase_ts, view_id, view_ts
+    FROM ({of.format("purchase")}) p {how} JOIN ({of.format("view")}) v
+    ON p.user_id = v.user_id AND view_ts BETWEEN purchase_ts - INTERVAL 6 HOUR AND purchase_ts"""
+
+
+def _purchases_and_views(spark, sf_dir, how):
+    """Purchases with the views of the same user in the six hours before, in Spark's own join state.
+
+    After the last part comes one row of each side that is a week later and has no number, so that the watermark passes all
+    others and the rows without partner are given; these two, of no user that exists, are left out again.
+    """
+    events = t.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(time), F.max(time)).first()
+    side = F.explode(F.array(*[F.struct(F.lit(n).cast("bigint").alias("user"), F.lit(kind).alias("kind")) for n, kind in ((-1, "purchase"), (-2, "view"))]))
+    ends = events.agg(F.max("ts").alias("ts")).select("ts", side.alias("side")).select(
+        F.lit(None).cast("bigint").alias("event_id"), F.col("side.user").alias("user_id"), F.col("side.kind").alias("event_type"),
+        F.expr("ts + INTERVAL 7 DAYS").alias("ts"),
+    )
+    # parts by time, so that no row is late
+    part = F.least(F.floor((time - F.lit(low)) * F.lit(t.PARTS) / F.lit(high - low + 1)), F.lit(t.PARTS)).cast("int")
+    arrivals = t.Arrivals(spark, t.PARTS + 1, events=(events.unionByName(ends), part))
+
+    def build(_checkpoint):
+        def of(kind):
+            rows = t.zoned(arrivals.stream("events"), "ts").where(F.col("event_type") == kind)
+            return windows.with_watermark(
+                rows.select("user_id", F.col("event_id").alias(f"{kind}_id"), F.col("ts").alias(f"{kind}_ts")), f"{kind}_ts", "0 seconds"
+            )
+
+        return joins.interval_join(of("purchase"), of("view"), ["user_id"], "purchase_ts", "view_ts", "-6 HOURS", "0 HOURS", how)
+
+    rows = t.run_append(spark, arrivals, build).where("purchase_id IS NOT NULL OR view_id IS NOT NULL")
+    return t.zoneless(rows, "purchase_ts", "view_ts")
+
+
+@query(_interval_sql("INNER"))
+def stream_interval_join(spark, sf_dir):
+    return _purchases_and_views(spark, sf_dir, "inner")
+
+
+@query(_interval_sql("LEFT"))
+def stream_interval_join_left(spark, sf_dir):
+    return _purchases_and_views(spark, sf_dir, "left")
+
+
+@query(_interval_sql("RIGHT"))
+def stream_interval_join_right(spark, sf_dir):
+    return _purchases_and_views(spark, sf_dir, "right")
+
+
+@query(_interval_sql("FULL"))
+def stream_interval_join_full(spark, sf_dir):
+    return _purchases_and_views(spark, sf_dir, "full")
+
+
 def _customer_messages(spark, sf_dir, **others) -> t.Arrivals:
     """Change envelopes: creations first, then changes, then removals."""
     messages_ = t.customer_changes(t.table(spark, sf_dir, "customer"))
@@ -311,9 +370,8 @@ def stream_join_changelog_full(spark, sf_dir):
     return changelog.materialize(changes.drop("batch"))
 
 
-@query(_changelog_sql(_EVENTS_SQL, "LEFT"))
-def stream_join_changelog_keyed(spark, sf_dir):
-    """The same with one state entry per row in the state store, for small and frequent micro-batches."""
+def _keyed_changes(spark, sf_dir, how):
+    """The same with one state entry per row in Spark's state store, for small and frequent micro-batches."""
     scores = _event_scores(t.table(spark, sf_dir, "events"))
     arrivals = _customer_messages(spark, sf_dir, scores=(scores, t.by_content("sub_no")))
 
@@ -322,12 +380,27 @@ def stream_join_changelog_keyed(spark, sf_dir):
         hot = kept_with(spark, checkpoint, lambda: find_hot_keys(seen, ["stu_no"]))
         students = changelog.decode_changes(arrivals.stream("messages", t.KEYED_BATCH_BYTES), t.DIM_SCHEMA)
         return changelog_join.changelog_join(
-            arrivals.stream("scores", t.KEYED_BATCH_BYTES), students.select("_op", "stu_no", "stu_name", "segment"), ["stu_no"], "left", hot
+            arrivals.stream("scores", t.KEYED_BATCH_BYTES), students.select("_op", "stu_no", "stu_name", "segment"), ["stu_no"], how, hot
         )
 
     return changelog.materialize(t.run_append(spark, arrivals, build))
 
 
+@query(_changelog_sql(_EVENTS_SQL, "LEFT"))
+def stream_join_changelog_keyed(spark, sf_dir):
+    return _keyed_changes(spark, sf_dir, "left")
+
+
+@query(_changelog_sql(_EVENTS_SQL, "RIGHT"))
+def stream_join_changelog_keyed_right(spark, sf_dir):
+    return _keyed_changes(spark, sf_dir, "right")
+
+
+@query(_changelog_sql(_EVENTS_SQL, "FULL"))
+def stream_join_changelog_keyed_full(spark, sf_dir):
+    return _keyed_changes(spark, sf_dir, "full")
+
+
 LOOKUP_SQL = "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
 

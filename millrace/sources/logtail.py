@@ -1,9 +1,10 @@
 """A Spark data source for delimited logs that still grow.
 
 ``spark.read`` scans the files as they are; ``spark.readStream`` gives the existing lines and then each line that is
-appended later. The position of a stream is the byte after the last complete line of every file, together with a
-fingerprint of the file's beginning; Spark keeps both in the checkpoint. So a log that was renamed is read on under its
-new name, and one that was replaced by other content is noticed. Folders are read with all their sub-folders. Files are
+appended later. The position of a stream is the byte after the last complete line of every file, together with
+fingerprints of the file's beginning and of the bytes just before the position; Spark keeps them in the checkpoint. A
+file that changed is compared with both. So a log that was renamed is read on under its new name, and one that was
+replaced by other content is noticed, also if both begin with the same lines. Folders are read with all their sub-folders. Files are
 read in byte ranges on the executors through Arrow's file systems, so the path may name a local, HDFS or object-store
 folder.
 """
@@ -27,7 +28,8 @@ FORMAT = "delimited_log"
 RANGE_BYTES = 128 << 20  # one task, unless the option range_bytes says otherwise
 BLOCK_BYTES = 1 << 20  # read and decoded at a time
 PROBE_BYTES = 64 << 10
-HEAD_BYTES = 1024  # that a file is known by
+HEAD_BYTES = 1024  # at its beginning that a file is known by
+TAIL_BYTES = 4096  # before the position that a file is known by
 OPENED_AT_ONCE = 16  # files that the driver looks into
 
 
@@ -63,28 +65,38 @@ def _files(path: str) -> dict[str, tuple[int, int]]:
     return {f.path: (f.size, f.mtime_ns or 0) for f in found if f.type == pafs.FileType.File and not hidden(f.path)}
 
 
-def _head(system: pafs.FileSystem, path: str, length: int) -> str:
-    """Fingerprint of the first ``length`` bytes; a shorter file has another one."""
+def _print(system: pafs.FileSystem, path: str, begin: int, length: int) -> str:
+    """Fingerprint of ``length`` bytes; a file that ends before them has another one."""
     with system.open_input_file(path) as handle:
-        head = handle.read_at(length, 0) if length else b""
-    return hashlib.sha1(head).hexdigest() if len(head) == length else "short"
+        if handle.size() < begin + length:
+            return "short"
+        return hashlib.sha1(handle.read_at(length, begin) if length else b"").hexdigest()
 
 
 @dataclass(frozen=True)
 class Place:
-    """How far a file has been read, its size then, and what it begins with."""
+    """How far a file has been read, its size then, what it begins with, and what stands before the position."""
 
     position: int
     size: int
     length: int
     head: str
+    before: int = 0
+    tail: str = ""
+
+    @staticmethod
+    def at(system: pafs.FileSystem, path: str, position: int, size: int) -> Place:
+        length, before = min(HEAD_BYTES, position), min(TAIL_BYTES, position)
+        return Place(position, size, length, _print(system, path, 0, length), before, _print(system, path, position - before, before))
 
     def of(self, system: pafs.FileSystem, path: str) -> bool:
         """Whether a file is the one that was read."""
-        return self.length > 0 and _head(system, path, self.length) == self.head
+        if not self.length or _print(system, path, 0, self.length) != self.head:
+            return False
+        return not self.before or _print(system, path, self.position - self.before, self.before) == self.tail
 
     def as_list(self) -> list:
-        return [self.position, self.size, self.length, self.head]
+        return [self.position, self.size, self.length, self.head, self.before, self.tail]
 
 
 NEW = Place(0, 0, 0, hashlib.sha1(b"").hexdigest())
@@ -121,7 +133,7 @@ def _lines(root: str, part: ByteRange) -> Iterator[pa.Array]:
         at = part.start
         # a range that begins inside a line leaves that line to the range before it
         skipping = at > 0 and handle.read_at(1, at - 1) != b"\n"
-        line_start, rest = at, b""
+        line_start, rest = at, []  # pieces of a line that goes on in the next block
         while at < part.limit:
             block = handle.read_at(min(BLOCK_BYTES, part.limit - at), at)
             if not block:
@@ -135,8 +147,11 @@ def _lines(root: str, part: ByteRange) -> Iterator[pa.Array]:
                 line_start = at - len(block)
             if line_start >= part.stop:
                 return
-            lines = (rest + block).split(b"\n")
-            rest = lines.pop()
+            lines = block.split(b"\n")
+            if len(lines) > 1 and rest:
+                lines[0], rest = b"".join([*rest, lines[0]]), []
+            if last := lines.pop():
+                rest.append(last)
             kept = []
             for line in lines:
                 if line_start >= part.stop:
@@ -147,7 +162,7 @@ def _lines(root: str, part: ByteRange) -> Iterator[pa.Array]:
                 yield _texts(kept)
         if rest and not skipping and line_start < part.stop:
             # the last line of the file, without a newline
-            yield _texts([rest])
+            yield _texts([b"".join(rest)])
 
 
 def _texts(lines: list[bytes]) -> pa.Array:
@@ -291,8 +306,7 @@ class LogStreamReader(_Decoder, DataSourceStreamReader):
                 if size < place.position:
                     place = self._replaced(path)
                 position = _after_last_newline(system, path, place.position, size)
-                length = min(HEAD_BYTES, position)
-                return Place(position, size, length, _head(system, path, length))
+                return Place.at(system, path, position, size)
 
             found = dict(zip(changed, _at_once(look, changed)))
             self.known = {path: found.get(path) or self.known[path] for path in stats}

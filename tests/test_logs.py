@@ -213,3 +213,33 @@ def test_rolling_folder(spark, folder):
         runner.finish(runner.start_append(delimited.tail_folder(spark, logs, SCORES), out, f"{folder}/checkpoint"))
         assert spark.read.schema(SCORES).parquet(out).count() == expected
         write(f"{logs}/b.csv", "3,3,3\n")
+
+
+def test_replaced_log_that_begins_alike(spark, folder):
+    """A banner of more than the known beginning, then other lines: nothing of the new log may be lost."""
+    path, banner = f"{folder}/a.log", "0,0,12345\n" * 120
+    write(path, banner + "".join(f"{n},{n},1\n" for n in range(1, 4)))
+    assert len(tail_on(spark, path, folder)) == 123
+    write(path, banner + "".join(f"{n},{n},2\n" for n in range(900, 904)))
+    with pytest.raises(Exception, match="other content"):
+        tail_on(spark, path, folder)
+    expected = tail_on(spark, path, folder, on_rotation="restart")
+    assert [r for r in expected if r[0] >= 900] == [(n, n, 2) for n in range(900, 904)] and len(expected) == 123 + 124
+
+
+def test_grown_log_is_read_on_behind_a_long_beginning(spark, folder):
+    path, banner = f"{folder}/a.log", "0,0,12345\n" * 400
+    write(path, banner)
+    assert len(tail_on(spark, path, folder)) == 400
+    write(path, banner + "7,7,7\n")
+    assert len(tail_on(spark, path, folder)) == 401
+
+
+def test_line_longer_than_many_blocks(folder, monkeypatch):
+    monkeypatch.setattr(logtail, "BLOCK_BYTES", 7)
+    write(f"{folder}/a.log", "1," + "x" * 500 + "\n2,y\n3," + "z" * 90)
+    size = os.path.getsize(f"{folder}/a.log")
+    for width in (50, 1000):
+        parts = logtail._ranges(f"{folder}/a.log", 0, size, width)
+        lines = [x.as_py() for p in parts for block in logtail._lines(f"{folder}/a.log", p) for x in block]
+        assert lines == ["1," + "x" * 500, "2,y", "3," + "z" * 90]
