@@ -38,16 +38,27 @@ FURNITURE_WORDS = frozenset(
 )
 # Those of them that make furniture of an article or main element itself.
 NOT_THE_ARTICLE = frozenset("ad ads advert advertisement comment comments reply replies related sponsored promo".split())
+# Those that make furniture of a paragraph or heading inside an article.
+NOT_THE_TEXT = FURNITURE_WORDS - frozenset("search login related alert social share reply header banner announcement notification promotion menu navigation".split())
 # Those that a page's title may stand in.
 HEADER_WORDS = frozenset(["header", "masthead"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXT_FLOW = HEADINGS | {"p", "blockquote", "pre"}
 CONTAINERS = frozenset(["article", "main"])
 # Elements whose end tags end everything that was left open inside.
 STRUCTURE = CONTAINERS | FURNITURE | {"body", "html"}
 
+# Quotes hold an attribute's value only behind an equals sign, and if something that may follow a value follows.
+_ATTRIBUTES = r"(?:[^>\"'=]|(?>=\s*\"[^\"]*\"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|=)|[\"'])*+"
+# Opaque elements that may be left open by mistake: such a one ends before the next of its kind or the next block.
+_EMBEDDED = "svg|math|object|select|button|canvas|audio|video"
+_BLOCK_AHEAD = r"(?=</?(?:p|div|article|main|section|h[1-6]|ul|ol|li|table|blockquote|pre|header|footer|nav|aside|form|body|html)[\s/>])"
+
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<opaque>" + "|".join(OPAQUE.split()) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=opaque)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(?:" + _EMBEDDED + r")(?=[\s/])[^>]*/>"
+    r"|<(?P<embedded>" + _EMBEDDED + r")(?=[\s/>])[^>]*>(?:(?:(?!<(?P=embedded)[\s/>]).)*?</(?P=embedded)\s*>|.*?" + _BLOCK_AHEAD + r"|.*\Z)"
+    r"|<(?P<opaque>" + "|".join(w for w in OPAQUE.split() if w not in _EMBEDDED.split("|")) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=opaque)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>" + _ATTRIBUTES + r")>|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -71,6 +82,9 @@ def _kind(tag: str, rest: str, in_article: bool) -> str | None:
     words = _named(rest) if rest else set()
     if tag in CONTAINERS:
         return "furniture" if words & NOT_THE_ARTICLE else None
+    if in_article and tag in TEXT_FLOW:
+        # a paragraph is called after what it is about, too
+        return "furniture" if words & NOT_THE_TEXT or (rest and _HIDDEN.search(rest)) else None
     if tag == "header" or words & HEADER_WORDS:
         kind = "header" if in_article else "furniture"
         return "furniture" if words & (FURNITURE_WORDS - HEADER_WORDS) else kind

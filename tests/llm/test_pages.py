@@ -158,3 +158,19 @@ def test_text_outside_teaser_articles_stays():
     assert extract.main_lines(lines, other) == [story.strip(), "Teaser one", "Teaser two"]
     whole = extract.page_lines(f"<body><p>Menu</p><article>{story}</article></body>")
     assert whole == [(story.strip(), True)]
+
+
+@pytest.mark.parametrize("broken", [
+    '<svg width="1"/>', '<object data="x"/>', "<button>", "<svg><path d='m'/></svg>", "<video><p>old browser</p></video>",
+    "<button>a<button>b</button>", "<p title=don't>", '<p title="x>', "<a title='1 > 0'>", "<a data-x=\"<b>\">",
+])
+def test_broken_elements_take_no_text_with_them(broken):
+    page = f"<html><body><article><p>First one.</p>{broken}<p>Second it's one.</p><p class=\"b\">Third.</p></article></body></html>"
+    lines = [line for line, _ in extract.page_lines(page)]
+    assert [x for x in lines if x] == ["First one.", "Second it's one.", "Third."], lines
+
+
+def test_paragraphs_called_after_their_subject_stay():
+    paragraphs = "".join(f'<p class="{c}">About {c}.</p>' for c in ("search", "login", "related", "alert"))
+    lines = [line for line, _ in extract.page_lines(f"<article>{paragraphs}</article>")]
+    assert lines == ["About search.", "About login.", "About related.", "About alert."]
