@@ -6,6 +6,8 @@ The SQL describes the result after the last micro-batch: windows that the waterm
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -370,6 +372,58 @@ def stream_join_changelog_full(spark, sf_dir):
     return changelog.materialize(changes.drop("batch"))
 
 
+def _forgetful_sql(how: str) -> str:
+    return f"""
+    SELECT coalesce(l.stu_no, r.stu_no) AS stu_no, l.sub_no, l.score, r.stu_name
+    FROM (SELECT o_custkey AS stu_no, o_orderkey AS sub_no, CAST(floor(o_totalprice) AS INTEGER) AS score, o_orderkey % 3 AS part FROM orders) l
+    {how} JOIN (
+      SELECT c_custkey AS stu_no, c_name AS stu_name, c_custkey % 3 AS part,
+        c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 1) AS met
+      FROM customer
+    ) r ON l.stu_no = r.stu_no AND (abs(l.part - r.part) <= 1 OR (l.part = 2 AND r.part = 0 AND r.met))"""
+
+
+def _forgetful_changes(spark, sf_dir, how):
+    """Three deliveries, one every 10 seconds by the stream's clock; rows that nobody meets are forgotten after 15.
+
+    So a row of the first delivery meets one of the last only if a row of its key came on the other side in between.
+    """
+    scores, students = t.ods_score(t.table(spark, sf_dir, "orders")), t.dim_student(t.table(spark, sf_dir, "customer"))
+    arrivals = t.Arrivals(
+        spark, 3, scores=(scores, F.pmod("sub_no", F.lit(3))), students=(students, F.pmod("stu_no", F.lit(3)))
+    )
+    starts = itertools.count()
+
+    def start(path, checkpoint):
+        seconds = 10.0 * next(starts)
+        return delta_join.start_changelog_join(
+            arrivals.stream("scores"), arrivals.stream("students"), ["stu_no"], path, checkpoint, how, ttl_seconds=15.0,
+            buckets=fair_partitions(spark), clock=lambda: seconds,
+        )
+
+    return changelog.materialize(t.run_batches(spark, arrivals, start).drop("batch"))
+
+
+@query(_forgetful_sql("INNER"))
+def stream_join_ttl(spark, sf_dir):
+    return _forgetful_changes(spark, sf_dir, "inner")
+
+
+@query(_forgetful_sql("LEFT"))
+def stream_join_ttl_left(spark, sf_dir):
+    return _forgetful_changes(spark, sf_dir, "left")
+
+
+@query(_forgetful_sql("RIGHT"))
+def stream_join_ttl_right(spark, sf_dir):
+    return _forgetful_changes(spark, sf_dir, "right")
+
+
+@query(_forgetful_sql("FULL"))
+def stream_join_ttl_full(spark, sf_dir):
+    return _forgetful_changes(spark, sf_dir, "full")
+
+
 def _keyed_changes(spark, sf_dir, how):
     """The same with one state entry per row in Spark's state store, for small and frequent micro-batches."""
     scores = _event_scores(t.table(spark, sf_dir, "events"))

@@ -56,7 +56,8 @@ def start_changelog_join(
 
     A side without ``_op`` only adds rows. The result has ``_op``, the keys and the other columns of both sides, whose
     names must differ. With ``ttl_seconds`` a row that was neither changed nor met by a change of the other side for that
-    long is forgotten: it meets no later row, and nothing is reported. A row that had partners does not become padded by
+    long is forgotten: it meets no later row, nothing is reported, and it leaves the files when their changes are next folded
+    (every ``kept.FOLDED`` micro-batches, also if its key never comes again). A row that had partners does not become padded by
     their expiry, and so is not un-padded when the next one comes. Rows of a NULL key never meet any. The kept rows lie in
     ``buckets`` parts, of which a micro-batch reads those of its keys; the number belongs to the checkpoint.
     """
@@ -92,6 +93,7 @@ def start_changelog_join(
         # switched off for the stream itself, of use for its bounded parts
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         now = int(clock() * 1000)
+        alive = None if ttl_seconds is None else F.col("_at") >= now - int(ttl_seconds * 1000)
         sign = F.when(F.col("_op") == INSERT, F.lit(1)).otherwise(F.lit(-1)).cast("long")
         rows = rows.persist()
         touched = rows.where(joinable).select(*keys).distinct().persist()
@@ -103,15 +105,14 @@ def start_changelog_join(
                 *schema.names, F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_padded"),
                 F.lit(now).cast("long").alias("_at"), sign.alias("_dn"),
             )
-            old = own.before(touched, batch_id).withColumn("_dn", F.lit(0).cast("long"))
+            old = own.before(touched, batch_id, alive).withColumn("_dn", F.lit(0).cast("long"))
             found = new.unionByName(old).groupBy(*schema.names).agg(
                 F.sum("_n").alias("_n"), F.sum("_padded").alias("_padded"), F.sum("_dn").alias("_dn"),
                 F.max(F.when(F.col("_dn") == 0, F.col("_at"))).alias("_at"),
             )
             found = found.withColumns({"_stored": F.col("_n"), "_stored_padded": F.col("_padded")})
-            if ttl_seconds is not None:
+            if alive is not None:
                 # what is forgotten counts as never seen
-                alive = F.coalesce(F.col("_at") >= now - int(ttl_seconds * 1000), F.lit(False))
                 found = found.withColumns({c: F.when(alive, F.col(c)).otherwise(F.lit(0).cast("long")) for c in ("_n", "_padded")})
             # a row that is not there cannot go; rows of a NULL key are not kept
             found = found.withColumn("_dn", F.when(joinable, F.greatest(F.col("_dn"), -F.col("_n"))).otherwise(F.col("_dn")))
@@ -144,7 +145,7 @@ def start_changelog_join(
             if pads[name]:
                 results.append(judged.where("_dp != 0").select(*schemas[name].names, F.col("_dp").alias("_change")))
             moved = (F.col("_dn") != 0) | (F.col("_dp") != 0)
-            if ttl_seconds is not None:
+            if alive is not None:
                 met = counts[other].join(changed[other].select(*keys).distinct(), keys, "left_semi").select(*keys, F.lit(True).alias("_met"))
                 judged = judged.join(met, keys, "left")
                 moved = moved | F.col("_met").isNotNull()

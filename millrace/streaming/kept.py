@@ -41,12 +41,17 @@ class KeptRows:
     def _paths(self, start: int, batch_id: int) -> list[str]:
         return ([self._base(start)] if start else []) + [self._changes(b) for b in range(start, batch_id)]
 
-    def before(self, touched: DataFrame, batch_id: int) -> DataFrame:
-        """What was kept of the keys ``touched`` before a micro-batch, as changes that ``fold`` adds up."""
+    def before(self, touched: DataFrame, batch_id: int, alive: Column | None = None) -> DataFrame:
+        """What was kept of the keys ``touched`` before a micro-batch, as changes that ``fold`` adds up.
+
+        Rows that are not ``alive`` when changes are folded leave the files, whichever keys the micro-batch names.
+        """
         spark = touched.sparkSession
         start = batch_id - batch_id % FOLDED
         if batch_id and batch_id == start:
             folded = self.fold(self._read(spark, self._paths(start - FOLDED, batch_id)))
+            if alive is not None:
+                folded = folded.where(alive)
             self._save(folded.drop("_bucket"), self._base(batch_id))
         named = touched.select(self.bucket().alias("_bucket"), *[F.col(k).alias(f"_touched_{k}") for k in self.keys])
         numbers = [r[0] for r in named.select("_bucket").distinct().collect()]  # the number of buckets at most

@@ -8,6 +8,7 @@ from datetime import datetime as dt
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates, joins, windows
@@ -308,6 +309,30 @@ def test_delta_join_forgets_what_nobody_meets(feed, delta, how):
     assert step(41, [], [("+I", 1, "x")]) == sorted([("+I", 1, 3, "x"), *when(pads_left, ("-D", 1, 3, ""))])
 
 
+@pytest.mark.parametrize("how", ["inner", "full"])
+def test_forgotten_rows_of_a_delta_join_leave_the_files(spark, feed, folder, delta, how, monkeypatch):
+    monkeypatch.setattr(kept, "FOLDED", 2)
+    left, right = feed("left", "k int, a int"), feed("right", "k int, b string")
+
+    def held(side, base):
+        return spark.read.schema("k int, _n bigint, _at bigint").parquet(f"{folder}/checkpoint-kept/{side}/base={base}").collect()
+
+    for part in range(5):
+        # a key comes once and never again; the right row of key 0 is met every time
+        left.add({"k": 0, "a": part}, *[{"k": 1 + part * 20 + i, "a": i} for i in range(20)])
+        right.add(*[{"k": 0, "b": "x"}][part:])
+        delta(left.stream(), right.stream(), how, part * 100.0, 150.0)
+    # folded in micro-batch 4, at 400 seconds
+    assert sorted(r["k"] for r in held("l", 0)) == [0, *range(61, 81)] and {r["_at"] for r in held("l", 0)} == {300_000}
+    assert [(r["k"], r["_n"], r["_at"]) for r in held("r", 0)] == [(0, 1, 300_000)]
+    # all are forgotten, and after the next fold nothing is left of them
+    for part in range(2):
+        left.add({"k": -1 - part, "a": 0})
+        right.add()
+        delta(left.stream(), right.stream(), how, 10_000.0 + part, 150.0)
+    assert [r["k"] for r in held("l", 1)] == [-1] and held("r", 1) == []
+
+
 @pytest.mark.parametrize("how", ["left", "right", "full"])
 def test_changelog_band_join_nets_to_the_batch_join(spark, feed, run, how):
     random.seed(13)
@@ -584,3 +609,113 @@ def test_console(spark, feed, folder, capfd):
     assert query.lastProgress["numInputRows"] == 1
     sink_messages.print_rows(spark.createDataFrame([(42,)], "n int"))
     assert "42" in capfd.readouterr().out
+
+
+@pytest.fixture
+def breaking(monkeypatch):
+    """Let one call of a method fail when it has done its work, as if the driver were lost there."""
+
+    def arm(owner, name, call):
+        whole, calls = getattr(owner, name), iter(range(1, 1000))
+
+        def step(*args, **options):
+            result = whole(*args, **options)
+            if next(calls) == call:
+                raise RuntimeError("lost here")
+            return result
+
+        monkeypatch.setattr(owner, name, step)
+
+    return arm
+
+
+def _resumed(start):
+    """Run a stream to its end, starting it again when it fails; gives the number of failures."""
+    for failures in range(5):
+        try:
+            runner.finish(start())
+            return failures
+        except StreamingQueryException:
+            pass
+    raise AssertionError("fails again and again")
+
+
+@pytest.mark.parametrize("call", [1, 4, 5])
+def test_delta_join_repeats_a_micro_batch_that_failed(spark, feed, folder, breaking, monkeypatch, call):
+    monkeypatch.setattr(kept, "FOLDED", 2)
+    left, right = feed("left", "k int, a int"), feed("right", "k int, b string")
+    for part in range(4):
+        left.add(*[{"k": (part + i) % 5, "a": part * 10 + i} for i in range(4)])
+        right.add(*[{"k": (2 * part + i) % 6, "b": f"{part}{i}"} for i in range(3)])
+    # calls alternate between the changes of the two sides; before the second one or between two is a fold
+    breaking(kept.KeptRows, "_save", call)
+
+    def start():
+        return delta_join.start_changelog_join(
+            left.stream(), right.stream(), ["k"], f"{folder}/out", f"{folder}/checkpoint", "full", buckets=2
+        )
+
+    assert _resumed(start) == 1
+    got = changelog.materialize(runner.read_batches(spark, f"{folder}/out").drop("batch"))
+    read = [spark.read.schema(f.schema).json(f.path) for f in (left, right)]
+    expected = read[0].join(read[1], "k", "full").select("k", "a", "b")
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("call", [1, 3])
+def test_carried_totals_repeat_a_micro_batch_that_failed(spark, feed, folder, breaking, monkeypatch, call):
+    monkeypatch.setattr(kept, "FOLDED", 2)
+    lines = feed("lines", "id int, seq int, v int")
+    totals, expected = {}, []
+    for seq in range(12):
+        if seq % 3 == 0:
+            lines.add(*[{"id": (seq + i) % 2, "seq": seq + i, "v": seq + i} for i in range(3)])
+        totals[seq % 2] = totals.get(seq % 2, 0) + seq
+        expected.append((seq, totals[seq % 2]))
+    breaking(kept.KeptRows, "_save", call)
+
+    def start():
+        return carried.start_running_total(lines.stream(), "id", "seq", "v", f"{folder}/t", f"{folder}/c", "total", 2, buckets=2)
+
+    assert _resumed(start) == 1
+    found = runner.read_batches(spark, f"{folder}/t").select("seq", "total")
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+@pytest.mark.parametrize("writer", ["append", "batches", "messages", "lookup", "ordered"])
+def test_writers_repeat_a_micro_batch_that_failed(spark, feed, folder, writer):
+    lines = feed("lines", "v int, ts timestamp")
+    for part in range(4):
+        lines.add(*[{"v": part * 10 + i, "ts": f"2024-01-01 0{part}:0{i}:00"} for i in range(10)])
+    mended = f"{folder}/mended"
+
+    @F.udf("int")
+    def fragile(v):
+        if v == 15 and not os.path.exists(mended):
+            raise ValueError("lost here")
+        return v
+
+    def start():
+        rows = lines.stream().repartition(4).withColumn("v", fragile("v"))
+        out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+        if writer == "append":
+            return runner.start_append(rows, out, checkpoint)
+        if writer == "batches":
+            return runner.start_batches(rows, out, checkpoint, "append")
+        if writer == "messages":
+            return sink_messages.write_messages(sink_messages.to_json_value(rows.select("v")), {}, checkpoint, "text", out, runner.AVAILABLE_NOW)
+        if writer == "lookup":
+            return lookup.start_lookup(rows, lambda: spark.range(50).selectExpr("CAST(id AS int) AS v", "id * 2 AS twice"), ["v"], out, checkpoint)
+        return ordering.start_ordered(rows, "ts", out, checkpoint, "10 seconds", "1 minute")
+
+    with pytest.raises(StreamingQueryException):
+        runner.finish(start())
+    open(mended, "w").close()
+    runner.finish(start())
+    if writer == "messages":
+        found = [json.loads(r["value"])["v"] for r in spark.read.schema("value string").format("text").load(f"{folder}/out").collect()]
+    else:
+        found = [r["v"] for r in spark.read.parquet(f"{folder}/out").select("v").collect()]
+    # the last minutes wait for later rows in an ordered stream
+    assert sorted(found) == [v for v in range(40) if writer != "ordered" or v < max(found) + 1]
+    assert writer != "ordered" or max(found) >= 37
