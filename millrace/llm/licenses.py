@@ -140,6 +140,14 @@ IDENTIFIERS = {
 NO_IDENTIFIERS = frozenset("public-domain proprietary edl-1.0 lgpl agpl mpl epl cddl".split())
 IN_TAGS_ONLY = frozenset("ruby vim json beerware openssl postgresql libpng x11".split())
 
+# Exceptions that follow a licence and WITH in a tag.
+EXCEPTIONS = tuple(
+    "389-exception asterisk-exception autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception "
+    "classpath-exception-2.0 font-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 linux-syscall-note llvm-exception "
+    "ocaml-lgpl-linking-exception openjdk-assembly-exception-1.0 qt-gpl-exception-1.0 swift-exception u-boot-exception-2.0 "
+    "universal-foss-exception-1.0 wxwindows-exception-3.1".split()
+)
+
 # Sentences of licence texts: (label, keyword, pattern).
 SENTENCES = (
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -180,12 +188,17 @@ class Rule:
     confidence: float
     base: bool = False
     also: str = ""  # a second keyword, if any
+    member: str = ""  # of a tag: the pattern of its identifier, which may be one of several joined by OR, AND or WITH
+
+
+def _words(label: str) -> str:
+    return label.replace("-", " ").replace(".", " ")
 
 
 def identifiers() -> dict[str, str]:
     """Patterns of the identifiers, by label."""
     labels = dict.fromkeys(label for label, _, _ in NAMES)
-    return {x: IDENTIFIERS.get(x, x.replace("-", " ").replace(".", " ")) for x in labels if x not in NO_IDENTIFIERS}
+    return {x: IDENTIFIERS.get(x, _words(x)) for x in labels if x not in NO_IDENTIFIERS}
 
 
 def _both_spellings(pattern: str) -> str:
@@ -203,9 +216,13 @@ def rules() -> tuple[Rule, ...]:
         for label, name in identifiers().items():
             first = name.split()[0].split("(")[0]
             if form == "tag":
-                found.append(Rule(label, "spdx", around.replace("{name}", f"(?:{name})"), priority, confidence))
+                found.append(Rule(label, "spdx", around.replace("{name}", f"(?:{name})"), priority, confidence, member=name))
             elif form == "licensed" and label not in IN_TAGS_ONLY:
                 found.append(Rule(label, first, around.replace("{name}", f"(?:{name})"), priority, confidence, also="under"))
+    _, priority, confidence, around = FORMS[-1]
+    for label in EXCEPTIONS:
+        name = _words(label)
+        found.append(Rule(label, "spdx", around.replace("{name}", name), priority, confidence, member=name))
     found += [Rule(label, keyword, _both_spellings(sentence), SENTENCE_PRIORITY, SENTENCE_CONFIDENCE) for label, keyword, sentence in SENTENCES]
     found += [Rule(label, phrase.split()[0], phrase, BASE_PRIORITY, BASE_CONFIDENCE, True) for phrase, label in BASE]
     return tuple(sorted(found, key=lambda rule: -rule.priority))
@@ -230,6 +247,11 @@ class Scanner:
         # a match begins and ends with whole words; looking ahead finds places that overlap
         self.patterns = [re.compile(rf"(?<![^ ])(?=({rule.pattern})(?![^ ]))") for rule in rules_]
         self.word = re.compile(WORD)
+        self.members = [number for number, rule in enumerate(rules_) if rule.member]
+        one = "|".join(rules_[number].member for number in self.members)
+        self.expression = re.compile(rf"(?<![^ ])spdx license identifier ((?:{one})(?: (?:or|and|with) (?:{one}))+)(?![^ ])")
+        joined = "|".join(f"({rules_[number].member})" for number in self.members)
+        self.member = re.compile(rf"(?<![^ ])(?:{joined})(?= (?:or|and|with) |$)")
 
     def detections(self, text: str) -> tuple[list[Detection], list[Detection]]:
         """All detections, and those that stand; base phrases always stand."""
@@ -239,17 +261,28 @@ class Scanner:
         begins = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1].tolist()
         known: dict[str, bool] = {}
         found = []
+
+        def add(begin: int, end: int, number: int) -> None:
+            found.append(Detection(bisect.bisect_left(begins, begin), bisect.bisect_left(begins, end) - 1, number))
+
         for number, (rule, pattern) in enumerate(zip(self.rules, self.patterns)):
             for keyword in (rule.keyword, rule.also):
                 if keyword not in known:
                     known[keyword] = keyword in line
             if known[rule.keyword] and known[rule.also]:
                 for match in pattern.finditer(line):
-                    first = bisect.bisect_left(begins, match.start(1))
-                    last = bisect.bisect_left(begins, match.end(1)) - 1
-                    found.append(Detection(first, last, number))
+                    add(match.start(1), match.end(1), number)
+        if self.members and "spdx" in line:
+            for begin, end, number in self._joined(line):
+                add(begin, end, number)
         return found, self._standing(found)
 
+    def _joined(self, line: str) -> Iterator[tuple[int, int, int]]:
+        """Identifiers of tags that join several by OR, AND or WITH: where they stand, and the rule of a tag of their own."""
+        for tag in self.expression.finditer(line):
+            for part in self.member.finditer(line, tag.start(1), tag.end(1)):
+                yield part.start(), part.end(), self.members[part.lastindex - 1]
+
     def _standing(self, found: list[Detection]) -> list[Detection]:
         """From left to right, the longer and stronger first: what an earlier one of its strength contains gives way."""
         standing = []

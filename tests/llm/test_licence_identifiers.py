@@ -36,3 +36,25 @@ def test_gate_lets_identifiers_through(spark):
     rows = [(1, "SPDX-License-Identifier: Zlib"), (2, "Licensed under MPL-2.0"), (3, "reply under"), (4, "Licensed under UPL-1.0")]
     got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == {1: "zlib", 2: "mpl-2.0", 3: "", 4: "upl-1.0"}
+
+
+@pytest.mark.parametrize(
+    "expression, expected",
+    [
+        ("Apache-2.0 OR MIT", {"apache-2.0", "mit"}),
+        ("(MIT AND BSD-3-Clause) or GPL-2.0-or-later", {"mit", "bsd-3-clause", "gpl-2.0"}),
+        ("GPL-2.0-or-later WITH Classpath-exception-2.0", {"gpl-2.0", "classpath-exception-2.0"}),
+        ("GPL-2.0-only WITH Linux-syscall-note OR MIT", {"gpl-2.0", "linux-syscall-note", "mit"}),
+        ("MIT or whatever, and ISC", {"mit"}),
+        ("MIT\nand vim users", {"mit", "vim"}),
+    ],
+)
+def test_expressions_name_every_licence(expression, expected):
+    assert {label for label, confidence in labels(f"# SPDX-License-Identifier: {expression}\n") if confidence == 1.0} == expected
+
+
+def test_joined_identifiers_count_in_tags_only():
+    assert not {label for label, c in labels("ruby or vim with json and openssl") if c == 1.0}
+    words = SCANNER.word.findall("x spdx license identifier apache 2 0 or mit")
+    spans = sorted((d.first, d.last, RULES[d.rule].label) for d in SCANNER.detections(" ".join(words))[1])
+    assert (1, 6, "apache-2.0") in spans and (8, 8, "mit") in spans
