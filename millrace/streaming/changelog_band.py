@@ -5,13 +5,16 @@ the other side are copied into the two buckets where they can meet partners. Eac
 number of its partners in state, so it is padded with NULLs exactly while this number is 0. For a right join the sides
 change places; a full join adds the padded right rows of a second pass with changed places.
 
+What changed in a micro-batch is put in order, so that a row in state is compared with the changed rows in its band only.
+
 Inner joins need no state of their own: use ``band_join``, which takes streams as well.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,6 +28,19 @@ from millrace.streaming.changelog_join import _Counts, _sign, _split
 Matches = Callable[[Row, Row], bool]
 
 
+class _Line:
+    """Changed rows with their counts, in the order of their places on the number line."""
+
+    def __init__(self, changes: Mapping[tuple, int], at: int):
+        self.rows = sorted(changes.items(), key=lambda change: change[0][at])
+        self.places = [row[at] for row, _ in self.rows]
+
+    def near(self, place, lower, upper) -> list[tuple[tuple, int]]:
+        """The rows whose place less ``place`` is between ``lower`` and ``upper``."""
+        first = bisect_left(self.places, lower, key=lambda p: p - place)
+        return self.rows[first : bisect_right(self.places, upper, lo=first, key=lambda p: p - place)]
+
+
 class _CountedJoin(StatefulProcessor):
     """Rows ``one`` of a bucket with their partners among the rows ``other``; emits pairs, padded rows, or both."""
 
@@ -40,11 +56,17 @@ class _CountedJoin(StatefulProcessor):
         self.nobody = (None,) * len(self.other)
         self.as_one, self.as_other = Row(*self.one.names), Row(*self.other.names)
 
-    def _met(self, one: tuple, other: tuple) -> bool:
-        if not self.lower <= other[self.at_other] - one[self.at_one] <= self.upper:
-            return False
+    def _matched(self, one: tuple, other: tuple) -> bool:
         return self.matches is None or bool(self.matches(self.as_one(*one), self.as_other(*other)))
 
+    def _ones_near(self, ones: _Line, other: tuple) -> Iterator[tuple[tuple, int]]:
+        near = ones.near(other[self.at_other], -self.upper, -self.lower)
+        return ((one, n) for one, n in near if self._matched(one, other))
+
+    def _others_near(self, others: _Line, one: tuple) -> list[tuple[tuple, int]]:
+        near = others.near(one[self.at_one], self.lower, self.upper)
+        return [(other, n) for other, n in near if self._matched(one, other)]
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         ids = tuple(key)[: self.width]
         one_change, other_change = Counter(), Counter()
@@ -73,10 +95,10 @@ class _CountedJoin(StatefulProcessor):
         other_removed, other_added = _split(other_change)
 
         if one_removed:
+            line = _Line(one_removed, self.at_one)
             for other, count in self.others.items():
-                for one, n in one_removed.items():
-                    if self._met(one, other):
-                        yield from pair(n * count, one, other)
+                for one, n in self._ones_near(line, other):
+                    yield from pair(n * count, one, other)
             for one, n in one_removed.items():
                 kept, partners = self.ones.getValue(one) or (0, 0)
                 if partners == 0:
@@ -87,10 +109,10 @@ class _CountedJoin(StatefulProcessor):
                     self.ones.removeKey(one)
 
         if other_removed or other_added:
+            removed, added = _Line(other_removed, self.at_other), _Line(other_added, self.at_other)
             for one, (kept, partners) in self.ones.iterator():
                 one = tuple(one)
-                gone = [(other, n) for other, n in other_removed.items() if self._met(one, other)]
-                come = [(other, n) for other, n in other_added.items() if self._met(one, other)]
+                gone, come = self._others_near(removed, one), self._others_near(added, one)
                 after = partners + sum(n for _, n in gone) + sum(n for _, n in come)
                 for other, n in gone:
                     yield from pair(n * kept, one, other)
@@ -104,12 +126,11 @@ class _CountedJoin(StatefulProcessor):
             self.others.change(other_added)
 
         if one_added:
-            partners = dict.fromkeys(one_added, 0)
+            partners, line = dict.fromkeys(one_added, 0), _Line(one_added, self.at_one)
             for other, count in self.others.items():
-                for one, n in one_added.items():
-                    if self._met(one, other):
-                        partners[one] += count
-                        yield from pair(n * count, one, other)
+                for one, n in self._ones_near(line, other):
+                    partners[one] += count
+                    yield from pair(n * count, one, other)
             for one, n in one_added.items():
                 if partners[one] == 0:
                     yield from pad(n, one)

@@ -1,24 +1,22 @@
 """Sorting a stream by event time.
 
-Rows wait in files until their time bucket is complete. A micro-batch writes its rows once, and reads those of the
-buckets that it completes: the files hold ranges of time, so Parquet leaves out the rest. No row is written again while
-it waits, and none is in a state store.
+Rows wait in Spark's state store, as the lists of a windowed aggregate: by time bucket, a salt and the micro-batch that
+brought them. Spark gives the lists of a bucket when its watermark has reached the end. What a micro-batch gives is sorted
+by a parallel range sort.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.ordering import order_by_time
-from millrace.operators.windows import interval_ms
 from millrace.streaming.runner import AVAILABLE_NOW
 
-_MARKS = "batch bigint, latest bigint, seen bigint, closed bigint"
+SALTS = 32  # lists of one bucket and micro-batch
 
 
 def start_ordered(
@@ -30,44 +28,38 @@ def start_ordered(
     bucket: str = "1 minute",
     ties: Sequence[str] = (),
     trigger: dict | None = None,
+    salts: int = SALTS,
 ) -> StreamingQuery:
     """Write the stream in ascending event time: micro-batch after micro-batch, each sorted by a parallel range sort.
 
-    A bucket is complete when a row has come that is later than its end by ``delay``. Rows of complete buckets that come
-    still later are dropped, and so are rows without a time. Within a micro-batch the files follow each other by name.
-    ``ties`` order rows of the same time. A repeated micro-batch writes over what its first run wrote.
+    A bucket is complete when the watermark, the latest time less ``delay``, has reached its end; Spark moves the watermark
+    between micro-batches. Rows of complete buckets that come still later are dropped, and so are rows without a time.
+    Within a micro-batch the files follow each other by name. ``ties`` order rows of the same time.
+
+    The rows of a bucket lie in ``salts`` lists, by a hash of their columns. The time of the micro-batch (which Spark keeps
+    with its offsets) is a key too, so no list is read or written again while it waits. A repeated micro-batch writes over
+    what its first run wrote.
     """
-    width, held, marks = interval_ms(bucket) * 1000, f"{checkpoint}-held/rows", f"{checkpoint}-held/marks"
-    behind = interval_ms(delay) * 1000
+    complete = f"{checkpoint}-complete"
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    timed = df.where(F.col(ts).isNotNull()).select(F.struct(*df.columns).alias("_row"), F.col(ts).cast("timestamp").alias("_at"))
+    salt = F.pmod(F.xxhash64(*[F.col("_row").getField(name) for name in hashed]), F.lit(salts))
+    waiting = (
+        timed.withWatermark("_at", delay)
+        .groupBy(F.window("_at", bucket), salt.alias("_salt"), F.current_timestamp().alias("_came"))
+        .agg(F.collect_list("_row").alias("_rows"))
+    )
+    given = waiting.select(F.inline("_rows"))
 
     def save(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        known = spark.read.schema(_MARKS).parquet(f"{marks}/{batch_id - 1}").collect() if batch_id else []
-        # one row per micro-batch with rows that still wait
-        seen = max((m["seen"] for m in known), default=None)
-        closed = max((m["closed"] for m in known), default=None)
-        time = F.unix_micros(F.col(ts).cast("timestamp"))
-        fresh = rows.where(F.col(ts).isNotNull())
-        if closed is not None:
-            fresh = fresh.where(time >= closed)
-        fresh.sortWithinPartitions(ts).write.mode("overwrite").parquet(f"{held}/{batch_id}")
-        written = spark.read.schema(df.schema).parquet(f"{held}/{batch_id}")
-        latest = written.agg(F.max(time)).first()[0]
-        waiting = {m["batch"]: m["latest"] for m in known if m["latest"] is not None}
-        if latest is not None:
-            waiting[batch_id] = latest
-            seen = latest if seen is None else max(seen, latest)
-        now = closed if seen is None else max(x for x in (closed, (seen - behind) // width * width) if x is not None)
-        frames = [spark.read.schema(df.schema).parquet(f"{held}/{b}") for b in sorted(waiting)] or [written]
-        complete = reduce(DataFrame.unionByName, frames)
-        begin, end = (F.timestamp_micros(F.lit(x)).cast(df.schema[ts].dataType) for x in (closed or 0, now or 0))
-        complete = complete.where(F.col(ts) < end) if closed is None else complete.where((F.col(ts) >= begin) & (F.col(ts) < end))
-        order_by_time(complete, ts, *ties).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        left = [(b, last, seen, now) for b, last in sorted(waiting.items()) if now is None or last >= now]
-        spark.createDataFrame(left or [(None, None, seen, now)], _MARKS).coalesce(1).write.mode("overwrite").parquet(f"{marks}/{batch_id}")
+        # a range sort reads its input twice, and the state is to be asked once
+        rows.write.mode("overwrite").parquet(complete)
+        written = spark.read.schema(df.schema).parquet(complete)
+        order_by_time(written, ts, *ties).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
+    writer = given.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
 
 

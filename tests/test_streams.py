@@ -15,7 +15,7 @@ from millrace.operators import aggregates, joins, windows
 from millrace.operators.salting import Salting, kept_with
 from millrace.sinks import messages as sink_messages
 from millrace.sources import changelog, messages
-from millrace.streaming import carried, delta_join, kept, keyed, lookup, ordering, runner
+from millrace.streaming import carried, changelog_band, delta_join, kept, keyed, lookup, ordering, runner
 from millrace.streaming.changelog_band import changelog_band_join
 from millrace.streaming.changelog_join import changelog_join
 from tests.test_batch import first_arrival_by_hand
@@ -174,12 +174,42 @@ def test_rows_of_complete_buckets_that_come_late_are_dropped(spark, feed, folder
     def add(*minutes):
         score.add(*[{"n": m, "ts": None if m is None else f"2024-01-01 00:{m:02}:30"} for m in minutes])
         runner.finish(ordering.start_ordered(score.stream(), "ts", f"{folder}/out", f"{folder}/checkpoint", "60 seconds", "1 minute"))
-        return sorted((r["batch"], r["n"]) for r in runner.read_batches(spark, f"{folder}/out").collect())
+        return [r["n"] for r in runner.read_batches(spark, f"{folder}/out").orderBy("batch", "ts").collect()]
 
-    assert add(None) == [] and add(5, 1) == [(1, 1)]
-    # up to minute 4 all is complete: 3 comes too late, 4 is complete at once by the 9 beside it
-    assert add(9, 3, 4) == [(1, 1), (2, 4), (2, 5)]
-    assert add() == [(1, 1), (2, 4), (2, 5)] and add(20) == [(1, 1), (2, 4), (2, 5), (4, 9)]
+    assert add(None) == [] and add(5, 1) == [1]
+    # up to minute 4 all is complete: 3 comes too late, 4 does not
+    assert add(9, 3, 4) == [1, 4, 5]
+    assert add() == [1, 4, 5] and add(20) == [1, 4, 5, 9]
+
+
+def test_a_bucket_is_complete_when_the_watermark_reaches_its_end(spark, feed, folder):
+    score = feed("score", "n int, ts timestamp")
+
+    def add(**rows):
+        score.add(*[{"n": int(n[1:]), "ts": f"2024-01-01 00:{ts}"} for n, ts in rows.items()])
+        runner.finish(ordering.start_ordered(score.stream(), "ts", f"{folder}/out", f"{folder}/checkpoint", "30 seconds", "1 minute"))
+        return [r["n"] for r in runner.read_batches(spark, f"{folder}/out").orderBy("batch", "ts").collect()]
+
+    assert add(n1="28:30", n2="29:29.999") == []
+    assert add(n3="28:59.999", n4="29:30") == [1, 3]
+    assert add(n5="28:59", n6="29:59", n7="40:00") == [1, 3, 2, 4, 6]
+
+
+def test_lists_of_waiting_rows_are_not_written_again(spark, feed, folder):
+    score = feed("score", "n int, ts timestamp")
+    for n in (1, 2, 3):
+        score.add({"n": n, "ts": f"2024-01-01 00:00:0{n}"})
+        query = ordering.start_ordered(score.stream(), "ts", f"{folder}/out", f"{folder}/checkpoint", salts=1)
+        runner.finish(query)
+    # one list for each micro-batch, though all rows are of one bucket
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_sorted_sweep_compares_rows_inside_the_band_only():
+    line = changelog_band._Line({(5, "a"): 1, (9, "b"): 2, (1, "c"): 1, (9, "d"): 1}, 0)
+    assert line.near(6, -1, 3) == [((5, "a"), 1), ((9, "b"), 2), ((9, "d"), 1)]
+    assert line.near(6, -4, -2) == [] and line.near(1, 0, 0) == [((1, "c"), 1)]
+    assert changelog_band._Line({}, 0).near(1, 0, 9) == []
 
 
 @pytest.mark.parametrize("salting", [Salting(1), Salting(3)])
