@@ -246,6 +246,9 @@ class Scanner:
         self.rules = rules_
         # a match begins and ends with whole words; looking ahead finds places that overlap
         self.patterns = [re.compile(rf"(?<![^ ])(?=({rule.pattern})(?![^ ]))") for rule in rules_]
+        self.gated: dict[tuple[str, str], list[int]] = {}  # the rules behind the same keywords
+        for number, rule in enumerate(rules_):
+            self.gated.setdefault((rule.keyword, rule.also), []).append(number)
         self.word = re.compile(WORD)
         self.members = [number for number, rule in enumerate(rules_) if rule.member]
         one = "|".join(rules_[number].member for number in self.members)
@@ -259,19 +262,16 @@ class Scanner:
         words = self.word.findall(lowered)
         line = " ".join(words)
         begins = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1].tolist()
-        known: dict[str, bool] = {}
         found = []
 
         def add(begin: int, end: int, number: int) -> None:
             found.append(Detection(bisect.bisect_left(begins, begin), bisect.bisect_left(begins, end) - 1, number))
 
-        for number, (rule, pattern) in enumerate(zip(self.rules, self.patterns)):
-            for keyword in (rule.keyword, rule.also):
-                if keyword not in known:
-                    known[keyword] = keyword in line
-            if known[rule.keyword] and known[rule.also]:
-                for match in pattern.finditer(line):
-                    add(match.start(1), match.end(1), number)
+        for (keyword, also), numbers in self.gated.items():
+            if keyword in line and also in line:
+                for number in numbers:
+                    for match in self.patterns[number].finditer(line):
+                        add(match.start(1), match.end(1), number)
         if self.members and "spdx" in line:
             for begin, end, number in self._joined(line):
                 add(begin, end, number)
