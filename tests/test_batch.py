@@ -5,6 +5,7 @@ from collections import defaultdict
 from datetime import datetime as dt
 
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -94,6 +95,18 @@ def test_own_aggregate_of_large_and_odd_keys(spark):
     assert aggregate.apply_aggregate(df.limit(0), ["k"], aggregate.TotalBalance(), ["a", "b"], "t").count() == 0
 
 
+def test_own_aggregate_adds_up_beyond_64_bits(spark, rows):
+    big = 2**62
+    df = spark.createDataFrame([(1, big, big - 1)] * 5 + [(2, -big, None)] + [(3, None, None)], "k int, a bigint, b bigint")
+    for parts in (1, 3):
+        out = aggregate.apply_aggregate(df.repartition(parts), ["k"], aggregate.TotalBalance(), ["a", "b"], "t")
+        assert rows(out) == [(1, 5), (2, -big), (3, 0)]
+    # a total that is no bigint fails instead of wrapping around to one
+    over = spark.createDataFrame([(1, big, 0)] * 5, "k int, a bigint, b bigint").coalesce(1)
+    with pytest.raises(PythonException, match=f"total balance {5 * big} is out of range for bigint"):
+        aggregate.apply_aggregate(over, ["k"], aggregate.TotalBalance(), ["a", "b"], "t").collect()
+
+
 def test_own_aggregate_keeps_one_accumulator_per_task(spark):
     df = spark.range(0, 40_000, 1, 4).select(F.lit(1).alias("k"), F.col("id").cast("int").alias("a"), F.lit(0).alias("b"))
     out = aggregate.apply_aggregate(df, ["k"], aggregate.TotalBalance(), ["a", "b"], "t")
