@@ -239,7 +239,7 @@ def _theta_changes(spark, sf_dir, how):
         return changelog_band.changelog_band_join(
             purchases, views, "purchase_id", "view_id", -5, -1, how,
             matches=lambda purchase, view: view.viewer != purchase.buyer,
-            bucket_width=64,  # numbers are unique, so a bucket has at most as many rows
+            bucket_width=4096,  # numbers are unique, so a bucket has at most as many rows
         )
 
     return changelog.materialize(t.run_append(spark, arrivals, build))
@@ -425,7 +425,7 @@ def stream_join_ttl_full(spark, sf_dir):
 
 
 def _keyed_changes(spark, sf_dir, how):
-    """The same with one state entry per row in Spark's state store, for small and frequent micro-batches."""
+    """The same with the rows in Spark's state store, for small and frequent micro-batches."""
     scores = _event_scores(t.table(spark, sf_dir, "events"))
     arrivals = _customer_messages(spark, sf_dir, scores=(scores, t.by_content("sub_no")))
 

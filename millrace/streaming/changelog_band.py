@@ -5,7 +5,8 @@ the other side are copied into the two buckets where they can meet partners. Eac
 number of its partners in state, so it is padded with NULLs exactly while this number is 0. For a right join the sides
 change places; a full join adds the padded right rows of a second pass with changed places.
 
-What changed in a micro-batch is put in order, so that a row in state is compared with the changed rows in its band only.
+What changed in a micro-batch is put in order, so that a row in state is compared with the changed rows in its band only. The
+rows of a bucket are read and written in a few calls to the state store; ``bucket_width`` decides how many these are.
 
 Inner joins need no state of their own: use ``band_join``, which takes streams as well.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import repeat
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -23,7 +25,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.salting import NO_SALTING, Salting
 from millrace.sources.changelog import DELETE, INSERT
-from millrace.streaming.changelog_join import _Counts, _sign, _split
+from millrace.streaming import packs
+from millrace.streaming.changelog_join import KeptRows, _sign, _split, changed_counts
 
 Matches = Callable[[Row, Row], bool]
 
@@ -44,15 +47,14 @@ class _Line:
 class _CountedJoin(StatefulProcessor):
     """Rows ``one`` of a bucket with their partners among the rows ``other``; emits pairs, padded rows, or both."""
 
-    def __init__(self, width, one, other, output, one_on, other_on, lower, upper, matches, pairs, ttl_ms):
-        self.width, self.one, self.other, self.output = width, one, other, output
+    def __init__(self, width, one, other, one_on, other_on, lower, upper, matches, pairs, ttl_ms):
+        self.width, self.one, self.other = width, one, other
         self.at_one, self.at_other = one.names.index(one_on), other.names.index(other_on)
         self.lower, self.upper, self.matches, self.pairs, self.ttl_ms = lower, upper, matches, pairs, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ones = handle.getMapState("one", self.one, "n bigint, partners bigint", self.ttl_ms)
-        self.others = _Counts(handle, "other", self.other, self.ttl_ms)
-        self.row = Row(*self.output.names)
+        self.ones = KeptRows(handle, "one", self.one, ["_n", "_partners"], self.ttl_ms)
+        self.others = KeptRows(handle, "other", self.other, ["_n"], self.ttl_ms)
         self.nobody = (None,) * len(self.other)
         self.as_one, self.as_other = Row(*self.one.names), Row(*self.other.names)
 
@@ -68,24 +70,25 @@ class _CountedJoin(StatefulProcessor):
         return [(other, n) for other, n in near if self._matched(one, other)]
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ids = tuple(key)[: self.width]
+        return packs.give(self._changes(tuple(key), packs.read(rows)))
+
+    def _changes(self, key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+        ids = key[: self.width]
         one_change, other_change = Counter(), Counter()
-        for row in rows:
-            if row["_side"] == "one":
-                one_change[tuple(row[n] for n in self.one.names)] += _sign(row["_op"])
+        for op, side, *values in rows:
+            if side == "one":
+                one_change[tuple(values[: len(self.one)])] += _sign(op)
             else:
-                other_change[tuple(row[n] for n in self.other.names)] += _sign(row["_op"])
+                other_change[tuple(values[len(self.one) :])] += _sign(op)
 
-        def pair(change: int, one: tuple, other: tuple) -> Iterator[Row]:
+        def pair(change: int, one: tuple, other: tuple) -> Iterator[tuple]:
             if self.pairs:
                 yield from pad(change, one, other)
 
-        def pad(change: int, one: tuple, other: tuple = self.nobody) -> Iterator[Row]:
-            made = self.row(INSERT if change > 0 else DELETE, *ids, *one, *other)
-            for _ in range(abs(change)):
-                yield made
+        def pad(change: int, one: tuple, other: tuple = self.nobody) -> Iterator[tuple]:
+            return repeat((INSERT if change > 0 else DELETE, *ids, *one, *other), abs(change))
 
-        if any(v is None for v in tuple(key)):
+        if any(v is None for v in key):
             # without a key or a place on the number line there is no partner
             for one, n in one_change.items():
                 yield from pad(n, one)
@@ -94,48 +97,50 @@ class _CountedJoin(StatefulProcessor):
         one_removed, one_added = _split(one_change)
         other_removed, other_added = _split(other_change)
 
+        ones, others = self.ones.load(), self.others.load()
+        after, others_after = dict(ones), changed_counts(others, other_removed, other_added)
+
         if one_removed:
             line = _Line(one_removed, self.at_one)
-            for other, count in self.others.items():
+            for other, (count,) in others.items():
                 for one, n in self._ones_near(line, other):
                     yield from pair(n * count, one, other)
             for one, n in one_removed.items():
-                kept, partners = self.ones.getValue(one) or (0, 0)
+                kept, partners = after.get(one, (0, 0))
                 if partners == 0:
                     yield from pad(n, one)
                 if kept + n > 0:
-                    self.ones.updateValue(one, (kept + n, partners))
+                    after[one] = (kept + n, partners)
                 else:
-                    self.ones.removeKey(one)
+                    after.pop(one, None)
 
         if other_removed or other_added:
             removed, added = _Line(other_removed, self.at_other), _Line(other_added, self.at_other)
-            for one, (kept, partners) in self.ones.iterator():
-                one = tuple(one)
+            for one, (kept, partners) in list(after.items()):
                 gone, come = self._others_near(removed, one), self._others_near(added, one)
-                after = partners + sum(n for _, n in gone) + sum(n for _, n in come)
+                if not gone and not come:
+                    continue
+                now = partners + sum(n for _, n in gone) + sum(n for _, n in come)
                 for other, n in gone:
                     yield from pair(n * kept, one, other)
-                if (partners == 0) != (after == 0):
-                    yield from pad(kept if after == 0 else -kept, one)
+                if (partners == 0) != (now == 0):
+                    yield from pad(kept if now == 0 else -kept, one)
                 for other, n in come:
                     yield from pair(n * kept, one, other)
-                if after != partners:
-                    self.ones.updateValue(one, (kept, after))
-            self.others.change(other_removed)
-            self.others.change(other_added)
+                after[one] = (kept, now)
 
         if one_added:
             partners, line = dict.fromkeys(one_added, 0), _Line(one_added, self.at_one)
-            for other, count in self.others.items():
+            for other, (count,) in others_after.items():
                 for one, n in self._ones_near(line, other):
                     partners[one] += count
                     yield from pair(n * count, one, other)
             for one, n in one_added.items():
                 if partners[one] == 0:
                     yield from pad(n, one)
-                kept = self.ones.getValue(one)
-                self.ones.updateValue(one, (n + (kept[0] if kept else 0), partners[one]))
+                after[one] = (n + after.get(one, (0, 0))[0], partners[one])
+        self.ones.save(ones, after, one_change)
+        self.others.save(others, others_after, other_change)
 
     def close(self) -> None:
         pass
@@ -194,10 +199,12 @@ def changelog_band_join(
         )
         key_fields = [T.StructField(k, left.schema[k].dataType) for k in equal]
         output = T.StructType([T.StructField("_op", T.StringType()), *key_fields, *one_schema.fields, *other_schema.fields])
-        processor = _CountedJoin(len(equal), one_schema, other_schema, output, one_on, other_on, low, high, test, pairs, ttl_ms)
-        return changes.groupBy(*keys, "_salt").transformWithState(
-            processor, output, "append", "ProcessingTime" if ttl_ms else "None"
-        ).select(*columns)
+        processor = _CountedJoin(len(equal), one_schema, other_schema, one_on, other_on, low, high, test, pairs, ttl_ms)
+        packed = packs.pack(changes, [*keys, "_salt"], ["_op", "_side", *one_schema.names, *other_schema.names])
+        joined = packed.groupBy(*keys, "_salt").transformWithState(
+            processor, packs.packed_schema(), "append", "ProcessingTime" if ttl_ms else "None"
+        )
+        return packs.unpack(joined, output).select(*columns)
 
     turned = (lambda one, other: matches(other, one)) if matches is not None else None
     from_left = (left, left_schema, left_on, right, right_schema, right_on, lower, upper, matches)

@@ -10,12 +10,17 @@ key. Whether a right row has any left partner cannot be seen inside one group; f
 the groups that hold left rows. Groups report only when they become filled or empty.
 
 Within a micro-batch the changes of a group are netted first, then removals are applied before insertions.
+
+A call to the state store costs far more than a row in it, so keys share groups: they are dealt to cells by their hash, and a
+group reads and writes its rows in a few calls.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator, Sequence
+import pickle
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,10 +29,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.salting import NO_SALTING, Salting
 from millrace.sources.changelog import DELETE, INSERT
+from millrace.streaming import packs
 
-_COUNT = T.StructType([T.StructField("n", T.LongType())])
-# kinds of rows between the two stages
-_JOINED, _OCCUPANCY, _RIGHT = "joined", "occupancy", "right"
+# groups that the keys are dealt to
+CELLS = 2048
+# kinds of rows that the second stage looks at
+_OCCUPANCY, _RIGHT = "occupancy", "right"
 
 
 def _sign(op: str) -> int:
@@ -36,143 +43,192 @@ def _sign(op: str) -> int:
 
 def _split(change: Counter) -> tuple[dict[tuple, int], dict[tuple, int]]:
     """Rows that go and rows that come."""
-    return {r: n for r, n in change.items() if n < 0}, {r: n for r, n in change.items() if n > 0}
-
-
-class _Counts:
-    """A multiset of rows in a map state. Each method makes as few calls to the state store as it can."""
-
-    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: T.StructType, ttl_ms: int | None):
-        self.state = handle.getMapState(name, schema, _COUNT, ttl_ms)
+    return dict(_removals(change)), dict(_additions(change))
 
-    def filled(self) -> bool:
-        return self.state.exists()
 
-    def items(self) -> Iterator[tuple[tuple, int]]:
-        for row, count in self.state.iterator():
-            yield tuple(row), count[0]
-
-    def change(self, changes: dict[tuple, int], was_filled: bool = True) -> None:
-        for row, n in changes.items():
-            old = self.state.getValue(row) if was_filled else None
-            count = n + (old[0] if old else 0)
-            if count > 0:
-                self.state.updateValue(row, (count,))
-            elif old:
-                self.state.removeKey(row)
+def _removals(change: Counter) -> Iterator[tuple[tuple, int]]:
+    return ((row, n) for row, n in change.items() if n < 0)
 
-    def touch(self, row: tuple, count: int) -> None:
-        """Write an entry again, which starts its time to live anew."""
-        self.state.updateValue(row, (count,))
 
+def _additions(change: Counter) -> Iterator[tuple[tuple, int]]:
+    return ((row, n) for row, n in change.items() if n > 0)
 
-class _Appended:
-    """Rows that are never removed, in a list state: the new ones of a micro-batch are appended in one call."""
 
-    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: T.StructType):
-        self.state = handle.getListState(name, schema)
+class KeptRows:
+    """Rows with whole numbers (how many there are, how many partners they have) in the state of one group.
 
-    def filled(self) -> bool:
-        return self.state.exists()
+    They are a list of packs, which is read in one call and written in one: new rows are appended as a pack, and the list is
+    written anew, as one pack, only when a row in it has changed or when it has ``PACKS``. State entries of single rows would take
+    longer to convert, one by one, than the join itself. With a time to live each row is an entry of a map instead, so that it
+    expires by itself.
+    """
 
-    def items(self) -> Iterator[tuple[tuple, int]]:
-        for row in self.state.get():
-            yield tuple(row), 1
+    PACKS = 32
 
-    def change(self, changes: dict[tuple, int], was_filled: bool = True) -> None:
-        rows = [row for row, n in changes.items() for _ in range(n)]
-        if rows:
-            self.state.appendList(rows)
+    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: T.StructType, numbers: Sequence[str], ttl_ms: int | None):
+        self.ttl_ms, self.packs = ttl_ms, 0
+        counted = T.StructType([T.StructField(n, T.LongType()) for n in numbers])
+        if ttl_ms:
+            self.state = handle.getMapState(name, schema, counted, ttl_ms)
+        else:
+            self.state = handle.getListState(name, "rows binary")
+
+    def load(self) -> dict[tuple, tuple]:
+        if self.ttl_ms:
+            return {tuple(row): tuple(numbers) for row, numbers in self.state.iterator()}
+        rows, self.packs = {}, 0
+        for (pack,) in self.state.get():
+            rows.update(pickle.loads(pack))
+            self.packs += 1
+        return rows
+
+    def save(self, before: dict[tuple, tuple], after: dict[tuple, tuple], touched: Iterable[tuple] = ()) -> None:
+        """``touched`` rows start their time to live anew, changed or not."""
+        changed = {row for row, numbers in after.items() if before.get(row) != numbers}
+        gone = before.keys() - after.keys()
+        if self.ttl_ms:
+            for row in gone:
+                self.state.removeKey(row)
+            for row in changed.union(row for row in touched if row in after):
+                self.state.updateValue(row, after[row])
+        elif not after:
+            if before:
+                self.state.clear()
+        elif gone or not changed.isdisjoint(before) or (changed and self.packs >= self.PACKS):
+            self.state.put([(pickle.dumps(list(after.items())),)])
+        elif changed:
+            self.state.appendValue((pickle.dumps([(row, after[row]) for row in changed]),))
+
+
+def changed_counts(counts: dict[tuple, tuple], *changes: dict[tuple, int]) -> dict[tuple, tuple]:
+    """Rows with their number after changes; what is not there cannot go."""
+    after = dict(counts)
+    for change in changes:
+        for row, n in change.items():
+            count = after.get(row, (0,))[0] + n
+            if count > 0:
+                after[row] = (count,)
+            else:
+                after.pop(row, None)
+    return after
 
 
 class _DeltaJoin(StatefulProcessor):
-    """First stage: joined rows and padded left rows of one key and salt."""
+    """First stage: joined rows and padded rows of the keys of one cell and salt.
+
+    ``pad_right`` pads right rows at once, for keys that are not spread; ``report`` leaves it to the second stage.
+    """
 
-    def __init__(self, left, right, output, pad_left, report, ttl_ms, left_appends):
-        self.left, self.right, self.output = left, right, output
-        self.pad_left, self.report, self.ttl_ms, self.left_appends = pad_left, report, ttl_ms, left_appends
+    def __init__(self, ids, left, right, pad_left, pad_right, report, ttl_ms):
+        self.ids, self.left, self.right = ids, left, right
+        self.pad_left, self.pad_right, self.report, self.ttl_ms = pad_left, pad_right, report, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        if self.left_appends and not self.ttl_ms:
-            self.lefts = _Appended(handle, "left", self.left)
-        else:
-            self.lefts = _Counts(handle, "left", self.left, self.ttl_ms)
-        self.rights = _Counts(handle, "right", self.right, self.ttl_ms)
-        self.row = Row(*self.output.names)
+        self.lefts = KeptRows(handle, "left", T.StructType([*self.ids.fields, *self.left.fields]), ["_n"], self.ttl_ms)
+        self.rights = KeptRows(handle, "right", T.StructType([*self.ids.fields, *self.right.fields]), ["_n"], self.ttl_ms)
         self.no_left = (None,) * len(self.left)
         self.no_right = (None,) * len(self.right)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ids, salt = tuple(key)[:-1], tuple(key)[-1]
-        joinable = all(v is not None for v in ids)
-        left_change, right_change = Counter(), Counter()
-        for row in rows:
-            if row["_side"] == "l":
-                left_change[tuple(row[n] for n in self.left.names)] += _sign(row["_op"])
+        cell, salt = tuple(key)
+        padding = []  # what the second stage needs, in a lane of its own
+        yield from packs.give(self._changes(salt, packs.read(rows), padding), _cell=cell, _lane=salt)
+        yield from packs.give(iter(padding), _cell=cell, _lane=-1)
+
+    def _changes(self, salt: int, rows: Iterator[tuple], padding: list[tuple]) -> Iterator[tuple]:
+        width, middle = len(self.ids), len(self.ids) + len(self.left)
+        left_change, right_change = defaultdict(Counter), defaultdict(Counter)
+        for op, side, *values in rows:
+            ids = tuple(values[:width])
+            if side == "l":
+                left_change[ids][tuple(values[width:middle])] += _sign(op)
             else:
-                right_change[tuple(row[n] for n in self.right.names)] += _sign(row["_op"])
-
-        def out(change: int, left: tuple, right: tuple, kind: str = _JOINED) -> Iterator[Row]:
-            made = self.row(INSERT if change > 0 else DELETE, kind, salt, *ids, *left, *right)
-            for _ in range(abs(change)):
-                yield made
-
+                right_change[ids][tuple(values[middle:])] += _sign(op)
+
+        def of_keys(state: KeptRows) -> tuple[dict, dict]:
+            loaded, grouped = state.load(), defaultdict(dict)
+            for row, count in loaded.items():
+                if row[:width] in left_change or row[:width] in right_change:
+                    grouped[row[:width]][row[width:]] = count
+            return loaded, grouped
+
+        all_lefts, lefts = of_keys(self.lefts)
+        all_rights, rights = of_keys(self.rights)
+        lefts_after, rights_after, touched = dict(all_lefts), dict(all_rights), []
+
+        for ids in left_change.keys() | right_change.keys():
+
+            def out(change: int, left: tuple, right: tuple) -> Iterator[tuple]:
+                return repeat((INSERT if change > 0 else DELETE, *ids, *left, *right), abs(change))
+
+            yield from self._changes_of_key(
+                ids, salt, lefts.get(ids, {}), rights.get(ids, {}), left_change.get(ids, {}), right_change.get(ids, {}),
+                lefts_after, rights_after, touched, out, padding,
+            )
+        self.lefts.save(all_lefts, lefts_after, touched)
+        self.rights.save(all_rights, rights_after, touched)
+
+    def _changes_of_key(
+        self, ids, salt, lefts, rights, left_change, right_change, lefts_after, rights_after, touched, out, padding
+    ) -> Iterator[tuple]:
         if self.report and salt == 0:
-            for right, change in right_change.items():
-                yield from out(change, self.no_left, right, _RIGHT)
-        if not joinable:
+            padding.extend((_RIGHT, change, ids, right) for right, change in right_change.items())
+        if any(v is None for v in ids):
             # a NULL key never meets a partner, so nothing has to be kept
             if self.pad_left:
                 for left, change in left_change.items():
                     yield from out(change, left, self.no_right)
+            if self.pad_right:
+                for right, change in right_change.items():
+                    yield from out(change, self.no_left, right)
             return
 
-        had_right = self.rights.filled()
-        had_left = self.lefts.filled() if self.report else True
         left_removed, left_added = _split(left_change)
         right_removed, right_added = _split(right_change)
+        left_rest, right_rest = changed_counts(lefts, left_removed), changed_counts(rights, right_removed)
+        left_now, right_now = changed_counts(left_rest, left_added), changed_counts(right_rest, right_added)
 
         # removed left rows leave the right rows of before
-        if left_removed:
-            yield from self._pairs(left_removed, self.rights.items() if had_right else (), out)
-            self.lefts.change(left_removed)
-        has_left = self.lefts.filled() if self.report and left_removed else had_left
-
+        yield from self._pairs(left_removed, rights, out)
         # changed right rows meet the left rows that are left
-        if right_removed or right_added:
-            self.rights.change(right_removed)
-            self.rights.change(right_added, had_right)
-        has_right = bool(right_added) or (self.rights.filled() if right_removed else had_right)
-        if (right_removed or right_added) and has_left:
-            for left, count in self.lefts.items():
+        for left, (count,) in left_rest.items() if right_change else ():
+            for right, n in right_removed.items():
+                yield from out(n * count, left, right)
+            if self.pad_left and bool(rights) != bool(right_now):
+                yield from out(count if rights else -count, left, self.no_right)
+            for right, n in right_added.items():
+                yield from out(n * count, left, right)
+        # new left rows meet the right rows of now
+        yield from self._pairs(left_added, right_now, out)
+
+        if self.pad_right:
+            if not lefts:
                 for right, n in right_removed.items():
-                    yield from out(n * count, left, right)
-                if self.pad_left and had_right != has_right:
-                    yield from out(count if had_right else -count, left, self.no_right)
+                    yield from out(n, self.no_left, right)
+            if bool(lefts) != bool(left_now):
+                for right, (count,) in right_rest.items():
+                    yield from out(count if lefts else -count, self.no_left, right)
+            if not left_now:
                 for right, n in right_added.items():
-                    yield from out(n * count, left, right)
-                if self.ttl_ms and has_right:
-                    self.lefts.touch(left, count)
-
-        # new left rows meet the right rows of now
-        if left_added:
-            now = () if not has_right else self.rights.items() if had_right else right_added.items()
-            yield from self._pairs(left_added, now, out)
-            self.lefts.change(left_added, has_left)
-        if self.report:
-            now_left = has_left or bool(left_added)
-            if had_left != now_left:
-                yield from out(-1 if had_left else 1, self.no_left, self.no_right, _OCCUPANCY)
-
-    def _pairs(self, change: dict[tuple, int], rights, out) -> Iterator[Row]:
-        matched = False
-        for right, count in rights:
-            matched = True
+                    yield from out(n, self.no_left, right)
+        if self.report and bool(lefts) != bool(left_now):
+            padding.append((_OCCUPANCY, -1 if lefts else 1, ids, None))
+
+        if self.ttl_ms:
+            # rows that met a change of the other side, and those that were changed
+            met_lefts = left_now if right_change and right_now else left_change
+            met_rights = right_now if left_change else right_change
+            touched.extend((*ids, *row) for row in (*met_lefts, *met_rights))
+        for before, now, after in ((lefts, left_now, lefts_after), (rights, right_now, rights_after)):
+            for row in before.keys() - now.keys():
+                del after[(*ids, *row)]
+            after.update(((*ids, *row), count) for row, count in now.items() if before.get(row) != count)
+
+    def _pairs(self, change: dict[tuple, int], rights: dict[tuple, tuple], out) -> Iterator[tuple]:
+        for right, (count,) in rights.items() if change else ():
             for left, n in change.items():
                 yield from out(n * count, left, right)
-            if self.ttl_ms:
-                self.rights.touch(right, count)
-        if not matched and self.pad_left:
+        if not rights and self.pad_left:
             for left, n in change.items():
                 yield from out(n, left, self.no_right)
 
@@ -181,52 +237,58 @@ class _DeltaJoin(StatefulProcessor):
 
 
 class _PadRight(StatefulProcessor):
-    """Second stage: padded right rows of one key; joined rows pass through in groups of their own."""
+    """Second stage: padded right rows of the keys of one cell; joined rows pass through in groups of their own."""
 
-    def __init__(self, left, right, output, ttl_ms):
-        self.left, self.right, self.output, self.ttl_ms = left, right, output, ttl_ms
+    def __init__(self, ids, left, right):
+        self.ids, self.left, self.right = ids, left, right
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.groups = handle.getValueState("groups", "n bigint", self.ttl_ms)
-        self.rights = _Counts(handle, "right", self.right, self.ttl_ms)
-        self.row = Row(*self.output.names)
+        self.groups = KeptRows(handle, "groups", self.ids, ["_n"], None)
+        self.rights = KeptRows(handle, "right", T.StructType([*self.ids.fields, *self.right.fields]), ["_n"], None)
         self.no_left = (None,) * len(self.left)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ids = tuple(key)[:-1]
-        change, occupancy = Counter(), 0
-        for row in rows:
-            if row["_kind"] == _JOINED:
-                yield row
-            elif row["_kind"] == _OCCUPANCY:
-                occupancy += _sign(row["_op"])
+        cell, lane = tuple(key)
+        if lane >= 0:
+            for row in rows:
+                yield Row(_cell=cell, _lane=lane, _pack=row["_pack"])
+        else:
+            yield from packs.give(self._changes(packs.read(rows)), _cell=cell, _lane=lane)
+
+    def _changes(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        change, occupancy = defaultdict(Counter), Counter()
+        width = len(self.ids)
+        for kind, n, ids, right in rows:
+            if kind == _OCCUPANCY:
+                occupancy[ids] += n
             else:
-                change[tuple(row[n] for n in self.right.names)] += _sign(row["_op"])
-        removed, added = _split(change)
-        if not removed and not added and not occupancy:
-            return
-
-        def out(n: int, right: tuple) -> Iterator[Row]:
-            made = self.row(INSERT if n > 0 else DELETE, _JOINED, 0, *ids, *self.no_left, *right)
-            for _ in range(abs(n)):
-                yield made
-
-        kept = self.groups.get()
-        before = kept[0] if kept else 0
-        after = before + occupancy
-        if occupancy:
-            self.groups.update((after,))
-        if before == 0:
-            for right, n in removed.items():
-                yield from out(n, right)
-        self.rights.change(removed)
-        if (before == 0) != (after == 0):
-            for right, count in self.rights.items():
-                yield from out(count if after == 0 else -count, right)
-        self.rights.change(added)
-        if after == 0:
-            for right, n in added.items():
-                yield from out(n, right)
+                change[ids][right] += n
+
+        groups, all_rights = self.groups.load(), self.rights.load()
+        rights = defaultdict(dict)
+        for row, count in all_rights.items():
+            rights[row[:width]][row[width:]] = count
+        flat = [{(*ids, *row): n for ids, rows_ in change.items() for row, n in side(rows_)} for side in (_removals, _additions)]
+        for ids in change.keys() | occupancy.keys():
+
+            def out(n: int, right: tuple) -> Iterator[tuple]:
+                return repeat((INSERT if n > 0 else DELETE, *ids, *self.no_left, *right), abs(n))
+
+            removed, added = _split(change.get(ids, {}))
+            before = groups.get(ids, (0,))[0]
+            after = before + occupancy[ids]
+            if before == 0:
+                for right, n in removed.items():
+                    yield from out(n, right)
+            if (before == 0) != (after == 0):
+                for right, (count,) in changed_counts(rights.get(ids, {}), removed).items():
+                    yield from out(count if after == 0 else -count, right)
+            if after == 0:
+                for right, n in added.items():
+                    yield from out(n, right)
+        self.groups.save(groups, changed_counts(groups, occupancy))
+        # rows of a NULL key have no number of partners to wait for
+        self.rights.save(all_rights, changed_counts(all_rights, *flat))
 
     def close(self) -> None:
         pass
@@ -239,12 +301,14 @@ def changelog_join(
     how: str = "left",
     salting: Salting = NO_SALTING,
     ttl_ms: int | None = None,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Inner, left, right or full join of two streams on equal keys, as a changelog.
 
     A side without a column ``_op`` only adds rows. The result has ``_op``, the keys and the other columns of both
     sides, whose names must differ. ``salting`` must stay the same for the life of a checkpoint
-    (``salting.kept_with``). With ``ttl_ms`` a row that has not met a partner for that long leaves the state; only inner and
+    (``salting.kept_with``), and so must ``cells``: the keys are dealt to so many groups by their hash, and the rows of a group
+    are in memory while it is changed. With ``ttl_ms`` a row that has not met a partner for that long leaves the state; only inner and
     left joins take it.
     """
     if how not in ("inner", "left", "right", "full"):
@@ -274,23 +338,19 @@ def changelog_join(
     changes = lefts.unionByName(rights, allowMissingColumns=True)
 
     key_fields = [T.StructField(k, left.schema[k].dataType) for k in keys]
-    staged = T.StructType(
-        [
-            T.StructField("_op", T.StringType()),
-            T.StructField("_kind", T.StringType()),
-            T.StructField("_salt", T.IntegerType()),
-            *key_fields,
-            *left_schema.fields,
-            *right_schema.fields,
-        ]
-    )
     pad_left, pad_right = how in ("left", "full"), how in ("right", "full")
+    # only a key that is spread has left rows in more than one group
+    report = pad_right and not salting.idle
     mode = "ProcessingTime" if ttl_ms else "None"
-    first = _DeltaJoin(left_schema, right_schema, staged, pad_left, pad_right, ttl_ms, "_op" not in left.columns)
-    result = changes.groupBy(*keys, "_salt").transformWithState(first, staged, "append", mode)
-    if pad_right:
-        # joined rows stay spread over the salts, what the padding needs meets in one group per key
-        lane = F.when(F.col("_kind") == _JOINED, F.col("_salt")).otherwise(F.lit(-1))
-        second = _PadRight(left_schema, right_schema, staged, ttl_ms)
-        result = result.withColumn("_lane", lane).groupBy(*keys, "_lane").transformWithState(second, staged, "append", mode)
-    return result.select("_op", *keys, *left_schema.names, *right_schema.names)
+    ids = T.StructType(key_fields)
+    first = _DeltaJoin(ids, left_schema, right_schema, pad_left, pad_right and not report, report, ttl_ms)
+    dealt = changes.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
+    packed = packs.pack(dealt, ["_cell", "_salt"], ["_op", "_side", *keys, *left_schema.names, *right_schema.names])
+    staged = packs.packed_schema(*[T.StructField(n, T.IntegerType()) for n in ("_cell", "_lane")])
+    result = packed.groupBy("_cell", "_salt").transformWithState(first, staged, "append", mode)
+    if report:
+        # joined rows stay spread over the salts, what the padding needs meets in one group per cell
+        second = _PadRight(ids, left_schema, right_schema)
+        result = result.groupBy("_cell", "_lane").transformWithState(second, staged, "append", mode)
+    output = T.StructType([T.StructField("_op", T.StringType()), *key_fields, *left_schema.fields, *right_schema.fields])
+    return packs.unpack(result, output)

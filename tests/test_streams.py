@@ -393,6 +393,29 @@ def test_changelog_band_join_nets_to_the_batch_join(spark, feed, run, how):
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_keyed_joins_keep_the_rows_of_many_keys_in_few_entries(spark, feed, folder, how):
+    random.seed(17)
+    left, right = feed("left", "k int, a int"), feed("right", "_op string, k int, b string")
+    lefts, rights = [], []
+    for part in range(2):
+        new = [{"k": random.choice([None, *range(200)]), "a": part * 1000 + n} for n in range(150)]
+        gone = [rights.pop(random.randrange(len(rights))) for _ in range(60 * part)]
+        come = [{"k": random.choice([None, *range(200)]), "b": random.choice("xyz")} for _ in range(120)]
+        left.add(*new)
+        right.add(*[{"_op": "-D", **r} for r in gone], *[{"_op": "+I", **r} for r in come])
+        lefts, rights = lefts + new, rights + come
+        joined = changelog_join(left.stream(), right.stream(), ["k"], how, cells=3)
+        query = runner.start_append(joined, f"{folder}/out", f"{folder}/checkpoint")
+        runner.finish(query)
+    l = spark.createDataFrame([(r["k"], r["a"]) for r in lefts], "k int, a int")
+    r = spark.createDataFrame([(r["k"], r["b"]) for r in rights], "k int, b string")
+    expected, got = l.join(r, "k", how).select("k", "a", "b"), changelog.materialize(runner.read_append(spark, f"{folder}/out", joined))
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    # at most one pack of left rows per micro-batch and one of right rows, in each of three cells
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 2 * 2
+
+
 def test_left_join_retracts_the_padded_row(feed, run, rows):
     scores = feed("scores", "stu_no int, sub_no int, score int")
     students = feed("students", "value string")
