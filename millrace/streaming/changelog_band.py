@@ -14,10 +14,10 @@ Inner joins need no state of their own: use ``band_join``, which takes streams a
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections import Counter
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from itertools import repeat
 
+import numpy as np
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +26,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.operators.salting import NO_SALTING, Salting
 from millrace.sources.changelog import DELETE, INSERT
 from millrace.streaming import packs
-from millrace.streaming.changelog_join import KeptRows, _sign, _split, changed_counts
+from millrace.streaming.changelog_join import KeptRows, changed_counts, net, split
 
 Matches = Callable[[Row, Row], bool]
+# places and bounds below this add up inside 64 bits
+_WHOLE = 1 << 62
 
 
 class _Line:
@@ -43,6 +45,21 @@ class _Line:
         first = bisect_left(self.places, lower, key=lambda p: p - place)
         return self.rows[first : bisect_right(self.places, upper, lo=first, key=lambda p: p - place)]
 
+    def met(self, rows: Sequence[tuple], at: int, lower, upper) -> Iterator[tuple[tuple, list[tuple[tuple, int]]]]:
+        """Those of ``rows`` that have rows near, with these; whole numbers are looked up all at once."""
+        if not self.rows or not rows:
+            return
+        ours, theirs = np.array(self.places), np.array([row[at] for row in rows])
+        if not all(a.dtype == np.int64 and abs(int(a.min())) < _WHOLE and abs(int(a.max())) < _WHOLE for a in (ours, theirs)) or not all(
+            isinstance(bound, int) and abs(bound) < _WHOLE for bound in (lower, upper)
+        ):
+            yield from ((row, near) for row in rows if (near := self.near(row[at], lower, upper)))
+            return
+        first, last = np.searchsorted(ours, theirs + lower, "left"), np.searchsorted(ours, theirs + upper, "right")
+        some = np.flatnonzero(last > first)
+        for i, a, b in zip(some.tolist(), first[some].tolist(), last[some].tolist()):
+            yield rows[i], self.rows[a:b]
+
 
 class _CountedJoin(StatefulProcessor):
     """Rows ``one`` of a bucket with their partners among the rows ``other``; emits pairs, padded rows, or both."""
@@ -61,25 +78,22 @@ class _CountedJoin(StatefulProcessor):
     def _matched(self, one: tuple, other: tuple) -> bool:
         return self.matches is None or bool(self.matches(self.as_one(*one), self.as_other(*other)))
 
-    def _ones_near(self, ones: _Line, other: tuple) -> Iterator[tuple[tuple, int]]:
-        near = ones.near(other[self.at_other], -self.upper, -self.lower)
-        return ((one, n) for one, n in near if self._matched(one, other))
+    def _ones_near(self, ones: _Line, others: Iterable[tuple]) -> Iterator[tuple[tuple, list[tuple[tuple, int]]]]:
+        """Rows ``other`` with the changed rows ``one`` that they meet."""
+        for other, near in ones.met(list(others), self.at_other, -self.upper, -self.lower):
+            yield other, [(one, n) for one, n in near if self._matched(one, other)]
 
-    def _others_near(self, others: _Line, one: tuple) -> list[tuple[tuple, int]]:
-        near = others.near(one[self.at_one], self.lower, self.upper)
-        return [(other, n) for other, n in near if self._matched(one, other)]
+    def _others_near(self, others: _Line, ones: Iterable[tuple]) -> dict[tuple, list[tuple[tuple, int]]]:
+        """Rows ``one`` with the changed rows ``other`` that they meet."""
+        met = others.met(list(ones), self.at_one, self.lower, self.upper)
+        return {one: found for one, near in met if (found := [(other, n) for other, n in near if self._matched(one, other)])}
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        return packs.give(self._changes(tuple(key), packs.read(rows)))
+        return packs.give(self._changes(tuple(key), packs.read_sides(rows, "one", "other")))
 
-    def _changes(self, key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+    def _changes(self, key: tuple, sides: dict[str, list[tuple]]) -> Iterator[tuple]:
         ids = key[: self.width]
-        one_change, other_change = Counter(), Counter()
-        for op, side, *values in rows:
-            if side == "one":
-                one_change[tuple(values[: len(self.one)])] += _sign(op)
-            else:
-                other_change[tuple(values[len(self.one) :])] += _sign(op)
+        one_change, other_change = net(sides["one"]), net(sides["other"])
 
         def pair(change: int, one: tuple, other: tuple) -> Iterator[tuple]:
             if self.pairs:
@@ -94,17 +108,17 @@ class _CountedJoin(StatefulProcessor):
                 yield from pad(n, one)
             return
 
-        one_removed, one_added = _split(one_change)
-        other_removed, other_added = _split(other_change)
+        one_removed, one_added = split(one_change)
+        other_removed, other_added = split(other_change)
 
-        ones, others = self.ones.load(), self.others.load()
-        after, others_after = dict(ones), changed_counts(others, other_removed, other_added)
+        ones, others = self.ones.load().get((), {}), self.others.load().get((), {})
+        after, met, others_after = dict(ones), [], changed_counts(others, other_removed, other_added)
 
         if one_removed:
             line = _Line(one_removed, self.at_one)
-            for other, (count,) in others.items():
-                for one, n in self._ones_near(line, other):
-                    yield from pair(n * count, one, other)
+            for other, near in self._ones_near(line, others):
+                for one, n in near:
+                    yield from pair(n * others[other][0], one, other)
             for one, n in one_removed.items():
                 kept, partners = after.get(one, (0, 0))
                 if partners == 0:
@@ -116,10 +130,9 @@ class _CountedJoin(StatefulProcessor):
 
         if other_removed or other_added:
             removed, added = _Line(other_removed, self.at_other), _Line(other_added, self.at_other)
-            for one, (kept, partners) in list(after.items()):
-                gone, come = self._others_near(removed, one), self._others_near(added, one)
-                if not gone and not come:
-                    continue
+            all_gone, all_come = self._others_near(removed, after), self._others_near(added, after)
+            for one in all_gone.keys() | all_come.keys():
+                (kept, partners), gone, come = after[one], all_gone.get(one, ()), all_come.get(one, ())
                 now = partners + sum(n for _, n in gone) + sum(n for _, n in come)
                 for other, n in gone:
                     yield from pair(n * kept, one, other)
@@ -128,19 +141,22 @@ class _CountedJoin(StatefulProcessor):
                 for other, n in come:
                     yield from pair(n * kept, one, other)
                 after[one] = (kept, now)
+                met.append(one)
 
         if one_added:
             partners, line = dict.fromkeys(one_added, 0), _Line(one_added, self.at_one)
-            for other, (count,) in others_after.items():
-                for one, n in self._ones_near(line, other):
-                    partners[one] += count
-                    yield from pair(n * count, one, other)
+            for other, near in self._ones_near(line, others_after):
+                for one, n in near:
+                    partners[one] += others_after[other][0]
+                    yield from pair(n * others_after[other][0], one, other)
             for one, n in one_added.items():
                 if partners[one] == 0:
                     yield from pad(n, one)
                 after[one] = (n + after.get(one, (0, 0))[0], partners[one])
-        self.ones.save(ones, after, one_change)
-        self.others.save(others, others_after, other_change)
+        self.ones.replace((), after, one_change.keys() | met)
+        self.others.replace((), others_after, other_change)
+        self.ones.save(one_change)
+        self.others.save(other_change)
 
     def close(self) -> None:
         pass
@@ -187,21 +203,22 @@ def changelog_band_join(
     width = F.lit(max(upper - lower, bucket_width or 1))
 
     def counted(one, one_schema, one_on, other, other_schema, other_on, low, high, test, pairs) -> DataFrame:
-        def tagged(df: DataFrame, side: str) -> DataFrame:
-            return (df if "_op" in df.columns else df.withColumn("_op", F.lit(INSERT))).withColumn("_side", F.lit(side))
+        def with_op(df: DataFrame) -> DataFrame:
+            return df if "_op" in df.columns else df.withColumn("_op", F.lit(INSERT))
+
+        def packed(df: DataFrame, side: str, schema: T.StructType) -> DataFrame:
+            return packs.pack(df, [*keys, "_salt"], ["_op", schema.names], side)
 
         keys = [*equal, "_bucket"]
-        placed = tagged(one, "one").withColumn("_bucket", F.floor(F.col(one_on) / width))
+        placed = with_op(one).withColumn("_bucket", F.floor(F.col(one_on) / width))
         first, last = F.floor((F.col(other_on) - F.lit(high)) / width), F.floor((F.col(other_on) - F.lit(low)) / width)
-        copied = tagged(other, "other").withColumn("_bucket", F.explode(F.sequence(first, last)))
-        changes = salting.spread(placed, keys, [*equal, *one_schema.names]).unionByName(
-            salting.copy(copied, keys), allowMissingColumns=True
-        )
+        copied = with_op(other).withColumn("_bucket", F.explode(F.sequence(first, last)))
+        ones, others = salting.spread(placed, keys, [*equal, *one_schema.names]), salting.copy(copied, keys)
+        changes = packed(ones, "one", one_schema).unionByName(packed(others, "other", other_schema))
         key_fields = [T.StructField(k, left.schema[k].dataType) for k in equal]
         output = T.StructType([T.StructField("_op", T.StringType()), *key_fields, *one_schema.fields, *other_schema.fields])
         processor = _CountedJoin(len(equal), one_schema, other_schema, one_on, other_on, low, high, test, pairs, ttl_ms)
-        packed = packs.pack(changes, [*keys, "_salt"], ["_op", "_side", *one_schema.names, *other_schema.names])
-        joined = packed.groupBy(*keys, "_salt").transformWithState(
+        joined = changes.groupBy(*keys, "_salt").transformWithState(
             processor, packs.packed_schema(), "append", "ProcessingTime" if ttl_ms else "None"
         )
         return packs.unpack(joined, output).select(*columns)

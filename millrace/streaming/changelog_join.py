@@ -12,13 +12,13 @@ the groups that hold left rows. Groups report only when they become filled or em
 Within a micro-batch the changes of a group are netted first, then removals are applied before insertions.
 
 A call to the state store costs far more than a row in it, so keys share groups: they are dealt to cells by their hash, and a
-group reads and writes its rows in a few calls.
+group reads and writes its rows in a few calls. Rows lie under their keys, so that a change looks at the rows of its keys only.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import repeat
 
@@ -41,73 +41,124 @@ def _sign(op: str) -> int:
     return 1 if op == INSERT else -1
 
 
-def _split(change: Counter) -> tuple[dict[tuple, int], dict[tuple, int]]:
-    """Rows that go and rows that come."""
-    return dict(_removals(change)), dict(_additions(change))
+def net(changes: Iterable[tuple[str, tuple]]) -> dict[tuple, int]:
+    """How many of each row come, or go if negative."""
+    counts: dict[tuple, int] = {}
+    for op, row in changes:
+        counts[row] = counts.get(row, 0) + _sign(op)
+    return counts
 
 
-def _removals(change: Counter) -> Iterator[tuple[tuple, int]]:
-    return ((row, n) for row, n in change.items() if n < 0)
+def _net_by_key(changes: Iterable[tuple[str, tuple, tuple]]) -> dict[tuple, dict[tuple, int]]:
+    """``net`` of the rows of each key."""
+    by_key: dict[tuple, dict[tuple, int]] = {}
+    for op, ids, row in changes:
+        counts = by_key.get(ids)
+        if counts is None:
+            counts = by_key[ids] = {}
+        counts[row] = counts.get(row, 0) + (1 if op == INSERT else -1)
+    return by_key
 
 
-def _additions(change: Counter) -> Iterator[tuple[tuple, int]]:
-    return ((row, n) for row, n in change.items() if n > 0)
+def split(change: dict[tuple, int]) -> tuple[dict[tuple, int], dict[tuple, int]]:
+    """Rows that go and rows that come."""
+    return {row: n for row, n in change.items() if n < 0}, {row: n for row, n in change.items() if n > 0}
 
 
 class KeptRows:
     """Rows with whole numbers (how many there are, how many partners they have) in the state of one group.
 
-    They are a list of packs, which is read in one call and written in one: new rows are appended as a pack, and the list is
-    written anew, as one pack, only when a row in it has changed or when it has ``PACKS``. State entries of single rows would take
-    longer to convert, one by one, than the join itself. With a time to live each row is an entry of a map instead, so that it
-    expires by itself.
+    They lie under their first ``width`` values. In state they are a list of packs, which is read in one call and written in
+    one: new rows are appended as a pack, and the list is written anew, as one pack, only when a row in it has changed or when it
+    has ``PACKS``. State entries of single rows would take longer to convert, one by one, than the join itself. With a time to
+    live each row is an entry of a map instead, so that it expires by itself.
     """
 
     PACKS = 32
 
-    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: T.StructType, numbers: Sequence[str], ttl_ms: int | None):
-        self.ttl_ms, self.packs = ttl_ms, 0
+    def __init__(
+        self, handle: StatefulProcessorHandle, name: str, schema: T.StructType, numbers: Sequence[str], ttl_ms: int | None, width: int = 0
+    ):
+        self.ttl_ms, self.width, self.packs = ttl_ms, width, 0
         counted = T.StructType([T.StructField(n, T.LongType()) for n in numbers])
         if ttl_ms:
             self.state = handle.getMapState(name, schema, counted, ttl_ms)
         else:
             self.state = handle.getListState(name, "rows binary")
 
-    def load(self) -> dict[tuple, tuple]:
+    def load(self) -> dict[tuple, dict[tuple, tuple]]:
+        self.rows: dict[tuple, dict[tuple, tuple]] = {}
+        self.new: dict[tuple, dict[tuple, tuple]] = {}
+        self.packs, self.rewritten, self.changed, self.gone = 0, False, set(), set()
         if self.ttl_ms:
-            return {tuple(row): tuple(numbers) for row, numbers in self.state.iterator()}
-        rows, self.packs = {}, 0
+            for row, numbers in self.state.iterator():
+                self.rows.setdefault(tuple(row[: self.width]), {})[tuple(row[self.width :])] = tuple(numbers)
+            return self.rows
         for (pack,) in self.state.get():
-            rows.update(pickle.loads(pack))
             self.packs += 1
-        return rows
+            some = pickle.loads(pack)
+            if self.packs == 1:
+                self.rows = some
+                continue
+            for ids, rows in some.items():
+                if ids in self.rows:
+                    self.rows[ids].update(rows)
+                else:
+                    self.rows[ids] = rows
+        return self.rows
+
+    def replace(self, ids: tuple, after: dict[tuple, tuple], changed: Iterable[tuple]) -> None:
+        """The rows under ``ids`` are ``after`` from now on; only those in ``changed`` may differ."""
+        before = self.rows.get(ids, {})
+        new = {}
+        for row in changed:
+            was, now = before.get(row), after.get(row)
+            if was == now:
+                continue
+            if was is None:
+                new[row] = now
+            else:
+                self.rewritten = True
+            if self.ttl_ms:
+                (self.gone if now is None else self.changed).add((*ids, *row))
+        if new:
+            self.new[ids] = new
+        if after:
+            self.rows[ids] = after
+        else:
+            self.rows.pop(ids, None)
 
-    def save(self, before: dict[tuple, tuple], after: dict[tuple, tuple], touched: Iterable[tuple] = ()) -> None:
+    def save(self, touched: Iterable[tuple] = ()) -> None:
         """``touched`` rows start their time to live anew, changed or not."""
-        changed = {row for row, numbers in after.items() if before.get(row) != numbers}
-        gone = before.keys() - after.keys()
         if self.ttl_ms:
-            for row in gone:
+            for row in self.gone:
                 self.state.removeKey(row)
-            for row in changed.union(row for row in touched if row in after):
-                self.state.updateValue(row, after[row])
-        elif not after:
-            if before:
+            for row in self.changed.union(touched):
+                numbers = self.rows.get(row[: self.width], {}).get(row[self.width :])
+                if numbers is not None:
+                    self.state.updateValue(row, numbers)
+        elif not self.rows:
+            if self.packs:
                 self.state.clear()
-        elif gone or not changed.isdisjoint(before) or (changed and self.packs >= self.PACKS):
-            self.state.put([(pickle.dumps(list(after.items())),)])
-        elif changed:
-            self.state.appendValue((pickle.dumps([(row, after[row]) for row in changed]),))
+        elif self.rewritten or (self.new and self.packs >= self.PACKS):
+            self.state.put([(pickle.dumps(self.rows),)])
+        elif self.new:
+            self.state.appendValue((pickle.dumps(self.new),))
+
+
+_ONE = (1,)
 
 
 def changed_counts(counts: dict[tuple, tuple], *changes: dict[tuple, int]) -> dict[tuple, tuple]:
     """Rows with their number after changes; what is not there cannot go."""
+    if not any(changes):
+        return counts
     after = dict(counts)
     for change in changes:
         for row, n in change.items():
             count = after.get(row, (0,))[0] + n
             if count > 0:
-                after[row] = (count,)
+                after[row] = _ONE if count == 1 else (count,)
             else:
                 after.pop(row, None)
     return after
@@ -124,53 +175,34 @@ class _DeltaJoin(StatefulProcessor):
         self.pad_left, self.pad_right, self.report, self.ttl_ms = pad_left, pad_right, report, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lefts = KeptRows(handle, "left", T.StructType([*self.ids.fields, *self.left.fields]), ["_n"], self.ttl_ms)
-        self.rights = KeptRows(handle, "right", T.StructType([*self.ids.fields, *self.right.fields]), ["_n"], self.ttl_ms)
+        self.lefts = KeptRows(handle, "left", T.StructType([*self.ids.fields, *self.left.fields]), ["_n"], self.ttl_ms, len(self.ids))
+        self.rights = KeptRows(handle, "right", T.StructType([*self.ids.fields, *self.right.fields]), ["_n"], self.ttl_ms, len(self.ids))
         self.no_left = (None,) * len(self.left)
         self.no_right = (None,) * len(self.right)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         cell, salt = tuple(key)
         padding = []  # what the second stage needs, in a lane of its own
-        yield from packs.give(self._changes(salt, packs.read(rows), padding), _cell=cell, _lane=salt)
+        yield from packs.give(self._changes(salt, packs.read_sides(rows, "l", "r"), padding), _cell=cell, _lane=salt)
         yield from packs.give(iter(padding), _cell=cell, _lane=-1)
 
-    def _changes(self, salt: int, rows: Iterator[tuple], padding: list[tuple]) -> Iterator[tuple]:
-        width, middle = len(self.ids), len(self.ids) + len(self.left)
-        left_change, right_change = defaultdict(Counter), defaultdict(Counter)
-        for op, side, *values in rows:
-            ids = tuple(values[:width])
-            if side == "l":
-                left_change[ids][tuple(values[width:middle])] += _sign(op)
-            else:
-                right_change[ids][tuple(values[middle:])] += _sign(op)
-
-        def of_keys(state: KeptRows) -> tuple[dict, dict]:
-            loaded, grouped = state.load(), defaultdict(dict)
-            for row, count in loaded.items():
-                if row[:width] in left_change or row[:width] in right_change:
-                    grouped[row[:width]][row[width:]] = count
-            return loaded, grouped
-
-        all_lefts, lefts = of_keys(self.lefts)
-        all_rights, rights = of_keys(self.rights)
-        lefts_after, rights_after, touched = dict(all_lefts), dict(all_rights), []
-
+    def _changes(self, salt: int, sides: dict[str, list[tuple]], padding: list[tuple]) -> Iterator[tuple]:
+        left_change, right_change = _net_by_key(sides["l"]), _net_by_key(sides["r"])
+        lefts, rights = self.lefts.load(), self.rights.load()
+        touched: tuple[list[tuple], list[tuple]] = ([], [])
+        nothing: dict = {}
         for ids in left_change.keys() | right_change.keys():
-
-            def out(change: int, left: tuple, right: tuple) -> Iterator[tuple]:
-                return repeat((INSERT if change > 0 else DELETE, *ids, *left, *right), abs(change))
-
             yield from self._changes_of_key(
-                ids, salt, lefts.get(ids, {}), rights.get(ids, {}), left_change.get(ids, {}), right_change.get(ids, {}),
-                lefts_after, rights_after, touched, out, padding,
+                ids, salt, lefts.get(ids, nothing), rights.get(ids, nothing), left_change.get(ids, nothing),
+                right_change.get(ids, nothing), touched, padding,
             )
-        self.lefts.save(all_lefts, lefts_after, touched)
-        self.rights.save(all_rights, rights_after, touched)
+        self.lefts.save(touched[0])
+        self.rights.save(touched[1])
+
+    def _changes_of_key(self, ids, salt, lefts, rights, left_change, right_change, touched, padding) -> Iterator[tuple]:
+        def out(change: int, left: tuple, right: tuple) -> Iterator[tuple]:
+            return repeat((INSERT if change > 0 else DELETE, *ids, *left, *right), abs(change))
 
-    def _changes_of_key(
-        self, ids, salt, lefts, rights, left_change, right_change, lefts_after, rights_after, touched, out, padding
-    ) -> Iterator[tuple]:
         if self.report and salt == 0:
             padding.extend((_RIGHT, change, ids, right) for right, change in right_change.items())
         if any(v is None for v in ids):
@@ -183,8 +215,8 @@ class _DeltaJoin(StatefulProcessor):
                     yield from out(change, self.no_left, right)
             return
 
-        left_removed, left_added = _split(left_change)
-        right_removed, right_added = _split(right_change)
+        left_removed, left_added = split(left_change)
+        right_removed, right_added = split(right_change)
         left_rest, right_rest = changed_counts(lefts, left_removed), changed_counts(rights, right_removed)
         left_now, right_now = changed_counts(left_rest, left_added), changed_counts(right_rest, right_added)
 
@@ -218,11 +250,12 @@ class _DeltaJoin(StatefulProcessor):
             # rows that met a change of the other side, and those that were changed
             met_lefts = left_now if right_change and right_now else left_change
             met_rights = right_now if left_change else right_change
-            touched.extend((*ids, *row) for row in (*met_lefts, *met_rights))
-        for before, now, after in ((lefts, left_now, lefts_after), (rights, right_now, rights_after)):
-            for row in before.keys() - now.keys():
-                del after[(*ids, *row)]
-            after.update(((*ids, *row), count) for row, count in now.items() if before.get(row) != count)
+            touched[0].extend((*ids, *row) for row in met_lefts)
+            touched[1].extend((*ids, *row) for row in met_rights)
+        if left_change:
+            self.lefts.replace(ids, left_now, left_change)
+        if right_change:
+            self.rights.replace(ids, right_now, right_change)
 
     def _pairs(self, change: dict[tuple, int], rights: dict[tuple, tuple], out) -> Iterator[tuple]:
         for right, (count,) in rights.items() if change else ():
@@ -244,7 +277,7 @@ class _PadRight(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.groups = KeptRows(handle, "groups", self.ids, ["_n"], None)
-        self.rights = KeptRows(handle, "right", T.StructType([*self.ids.fields, *self.right.fields]), ["_n"], None)
+        self.rights = KeptRows(handle, "right", T.StructType([*self.ids.fields, *self.right.fields]), ["_n"], None, len(self.ids))
         self.no_left = (None,) * len(self.left)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -256,27 +289,23 @@ class _PadRight(StatefulProcessor):
             yield from packs.give(self._changes(packs.read(rows)), _cell=cell, _lane=lane)
 
     def _changes(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        change, occupancy = defaultdict(Counter), Counter()
-        width = len(self.ids)
+        change: dict[tuple, dict[tuple, int]] = defaultdict(lambda: defaultdict(int))
+        occupancy: dict[tuple, int] = defaultdict(int)
         for kind, n, ids, right in rows:
             if kind == _OCCUPANCY:
                 occupancy[ids] += n
             else:
                 change[ids][right] += n
 
-        groups, all_rights = self.groups.load(), self.rights.load()
-        rights = defaultdict(dict)
-        for row, count in all_rights.items():
-            rights[row[:width]][row[width:]] = count
-        flat = [{(*ids, *row): n for ids, rows_ in change.items() for row, n in side(rows_)} for side in (_removals, _additions)]
+        groups, rights = self.groups.load().get((), {}), self.rights.load()
         for ids in change.keys() | occupancy.keys():
 
             def out(n: int, right: tuple) -> Iterator[tuple]:
                 return repeat((INSERT if n > 0 else DELETE, *ids, *self.no_left, *right), abs(n))
 
-            removed, added = _split(change.get(ids, {}))
+            removed, added = split(change.get(ids, {}))
             before = groups.get(ids, (0,))[0]
-            after = before + occupancy[ids]
+            after = before + occupancy.get(ids, 0)
             if before == 0:
                 for right, n in removed.items():
                     yield from out(n, right)
@@ -286,9 +315,12 @@ class _PadRight(StatefulProcessor):
             if after == 0:
                 for right, n in added.items():
                     yield from out(n, right)
-        self.groups.save(groups, changed_counts(groups, occupancy))
-        # rows of a NULL key have no number of partners to wait for
-        self.rights.save(all_rights, changed_counts(all_rights, *flat))
+            # rows of a NULL key have no number of partners to wait for
+            if ids in change:
+                self.rights.replace(ids, changed_counts(rights.get(ids, {}), removed, added), change[ids])
+        self.groups.replace((), changed_counts(groups, occupancy), occupancy)
+        self.groups.save()
+        self.rights.save()
 
     def close(self) -> None:
         pass
@@ -327,15 +359,19 @@ def changelog_join(
     if not left_schema.fields or not right_schema.fields:
         raise ValueError("each side needs a column besides the keys")
 
-    def tagged(df: DataFrame, side: str) -> DataFrame:
-        return (df if "_op" in df.columns else df.withColumn("_op", F.lit(INSERT))).withColumn("_side", F.lit(side))
+    def with_op(df: DataFrame) -> DataFrame:
+        return df if "_op" in df.columns else df.withColumn("_op", F.lit(INSERT))
 
     # a key must have one type on both sides, also for the choice of its salts
     for k in keys:
         right = right.withColumn(k, F.col(k).cast(left.schema[k].dataType))
-    lefts = salting.spread(tagged(left, "l"), keys, [*keys, *left_schema.names])
-    rights = salting.copy(tagged(right, "r"), keys)
-    changes = lefts.unionByName(rights, allowMissingColumns=True)
+    def packed(df: DataFrame, side: str, schema: T.StructType) -> DataFrame:
+        dealt = df.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
+        return packs.pack(dealt, ["_cell", "_salt"], ["_op", keys, schema.names], side)
+
+    lefts = salting.spread(with_op(left), keys, [*keys, *left_schema.names])
+    rights = salting.copy(with_op(right), keys)
+    changes = packed(lefts, "l", left_schema).unionByName(packed(rights, "r", right_schema))
 
     key_fields = [T.StructField(k, left.schema[k].dataType) for k in keys]
     pad_left, pad_right = how in ("left", "full"), how in ("right", "full")
@@ -344,10 +380,8 @@ def changelog_join(
     mode = "ProcessingTime" if ttl_ms else "None"
     ids = T.StructType(key_fields)
     first = _DeltaJoin(ids, left_schema, right_schema, pad_left, pad_right and not report, report, ttl_ms)
-    dealt = changes.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
-    packed = packs.pack(dealt, ["_cell", "_salt"], ["_op", "_side", *keys, *left_schema.names, *right_schema.names])
     staged = packs.packed_schema(*[T.StructField(n, T.IntegerType()) for n in ("_cell", "_lane")])
-    result = packed.groupBy("_cell", "_salt").transformWithState(first, staged, "append", mode)
+    result = changes.groupBy("_cell", "_salt").transformWithState(first, staged, "append", mode)
     if report:
         # joined rows stay spread over the salts, what the padding needs meets in one group per cell
         second = _PadRight(ids, left_schema, right_schema)
