@@ -119,38 +119,56 @@ def start_changelog_join(
             return found.where("_n != 0 OR _dn != 0").persist()
 
         one = {name: side(name) for name in ("l", "r")}
-        counts = {
-            name: df.where(joinable).groupBy(*keys).agg(F.sum("_n").alias("_before"), F.sum(F.col("_n") + F.col("_dn")).alias("_now"))
-            for name, df in one.items()
-        }
 
-        def pairs(a: DataFrame, b: DataFrame, change: Column) -> DataFrame:
-            joined = a.alias("a").join(b.alias("b"), keys).withColumn("_change", change)
-            return joined.where("_change != 0").select(*columns, "_change")
+        def of_key(name: str) -> DataFrame:
+            """What a row says of its key: rows of its side before and now, and whether it has changed."""
+            mine = {"_before": F.col("_n"), "_now": F.col("_n") + F.col("_dn"), "_moved": (F.col("_dn") != 0).cast("long")}
+            zero = F.lit(0).cast("long")
+            return one[name].where(joinable).select(
+                *keys, *[(value if s == name else zero).alias(f"{c}_{s}") for s in ("l", "r") for c, value in mine.items()]
+            )
 
-        changed = {name: df.where("_dn != 0") for name, df in one.items()}
-        results = [
-            pairs(changed["l"], one["r"], F.col("a._dn") * (F.col("b._n") + F.col("b._dn"))),
-            pairs(one["l"], changed["r"], F.col("a._n") * F.col("b._dn")),
-        ]
-        for name, other in (("l", "r"), ("r", "l")):
-            had, has = F.coalesce("_before", F.lit(0)), F.coalesce("_now", F.lit(0))
+        # counted once a micro-batch; both sides look at the other's numbers
+        counted = of_key("l").unionByName(of_key("r"))
+        counts = counted.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counted.columns if c not in keys]).persist()
+
+        def judged(name: str, other: str) -> DataFrame:
+            """The rows of a side with the other side's numbers of their key and the change ``_dp`` of how many stand padded."""
+            seen = {f"_{c}": F.coalesce(f"_{c}_{other}", F.lit(0)) for c in ("before", "now", "moved")}
+            found = one[name].join(counts, keys, "left").select(*one[name].columns, *[value.alias(c) for c, value in seen.items()])
             after = F.col("_n") + F.col("_dn")
             padded = (
-                F.when(has > 0, F.lit(0)).when(had > 0, after).otherwise(F.greatest(F.lit(0), F.col("_padded") + F.col("_dn")))
+                F.when(F.col("_now") > 0, F.lit(0)).when(F.col("_before") > 0, after)
+                .otherwise(F.greatest(F.lit(0), F.col("_padded") + F.col("_dn")))
                 if pads[name] else F.lit(0)
             )
             padding = F.when(joinable, padded.cast("long") - F.col("_padded")).otherwise(F.col("_dn") if pads[name] else F.lit(0))
-            judged = one[name].join(counts[other], keys, "left").withColumn("_dp", padding)
+            return found.withColumn("_dp", padding).persist()
+
+        both = {"l": judged("l", "r"), "r": judged("r", "l")}
+
+        def pairs(a: DataFrame, b: DataFrame, change: Column) -> DataFrame:
+            joined = a.alias("a").join(b.alias("b"), keys).withColumn("_change", change)
+            return joined.where("_change != 0").select(*columns, "_change")
+
+        # only rows whose key has something for them on the other side are dealt by their keys
+        results = [
+            pairs(
+                both["l"].where("_dn != 0 AND _now != 0"), both["r"].where("_n + _dn != 0 AND _moved != 0"),
+                F.col("a._dn") * (F.col("b._n") + F.col("b._dn")),
+            ),
+            pairs(
+                both["l"].where("_n != 0 AND _moved != 0"), both["r"].where("_dn != 0 AND _before != 0"), F.col("a._n") * F.col("b._dn")
+            ),
+        ]
+        for name, rows_ in both.items():
             if pads[name]:
-                results.append(judged.where("_dp != 0").select(*schemas[name].names, F.col("_dp").alias("_change")))
+                results.append(rows_.where("_dp != 0").select(*schemas[name].names, F.col("_dp").alias("_change")))
             moved = (F.col("_dn") != 0) | (F.col("_dp") != 0)
             if alive is not None:
-                met = counts[other].join(changed[other].select(*keys).distinct(), keys, "left_semi").select(*keys, F.lit(True).alias("_met"))
-                judged = judged.join(met, keys, "left")
-                moved = moved | F.col("_met").isNotNull()
+                moved = moved | (F.col("_moved") != 0)
             # as changes to what is stored: of a forgotten row that comes again the old number is taken back
-            written = judged.where(moved & joinable).select(
+            written = rows_.where(moved & joinable).select(
                 *schemas[name].names,
                 (F.col("_n") + F.col("_dn") - F.col("_stored")).alias("_n"),
                 (F.col("_padded") + F.col("_dp") - F.col("_stored_padded")).alias("_padded"),
@@ -160,7 +178,7 @@ def start_changelog_join(
         net = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), results)
         out = net.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_change"))))
         out.select(_signed(F.col("_change")).alias("_op"), *columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        for df in (*one.values(), touched, rows):
+        for df in (*both.values(), counts, *one.values(), touched, rows):
             df.unpersist()
 
     writer = changes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)

@@ -1,4 +1,4 @@
-"""Work of the keyed changelog joins in terms of what changed, without a stream around them."""
+"""Work of the changelog joins in terms of what changed."""
 
 import datetime
 import decimal
@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from millrace.plans import stream
 from millrace.session import fair_partitions
-from millrace.streaming import changelog_band, changelog_join, packs
+from millrace.streaming import changelog_band, changelog_join, delta_join, kept, packs, runner
 
 
 class _List:
@@ -96,3 +96,21 @@ def test_messages_of_a_small_table_are_dealt_evenly(spark):
     arrivals = stream._customer_messages(spark, "/root/testdata/sf0.01")
     messages = arrivals.tables["messages"][0]
     assert messages.rdd.getNumPartitions() == fair_partitions(spark)
+
+
+def test_a_delta_join_judges_its_rows_once_per_micro_batch(spark, folder, monkeypatch):
+    for name, schema in (("left", "k int, a int"), ("right", "k int, b int")):
+        spark.createDataFrame([(1, 1), (2, 2), (None, 3)], schema).write.parquet(f"{folder}/{name}")
+    left, right = (spark.readStream.schema(s).parquet(f"{folder}/{n}") for n, s in (("left", "k int, a int"), ("right", "k int, b int")))
+    write, inputs = kept.KeptRows.write, []
+
+    def recorded(self, changes, batch_id):
+        inputs.append(changes._jdf.queryExecution().withCachedData().collectLeaves().size())
+        write(self, changes, batch_id)
+
+    monkeypatch.setattr(kept.KeptRows, "write", recorded)
+    runner.finish(delta_join.start_changelog_join(left, right, ["k"], f"{folder}/out", f"{folder}/c", "left", 10.0, 4, clock=lambda: 1.0))
+    # both sides' changes are read from what was counted and kept for the result, not joined again
+    assert inputs == [1, 1]
+    found = runner.read_batches(spark, f"{folder}/out").select("_op", "k", "a", "b").collect()
+    assert sorted(map(tuple, found), key=str) == [("+I", 1, 1, 1), ("+I", 2, 2, 2), ("+I", None, 3, None)]
