@@ -231,11 +231,12 @@ def stream_join_theta(spark, sf_dir):
 
 
 def _theta_changes(spark, sf_dir, how):
+    """A delivery is one micro-batch, whatever its size: a bucket is bounded, and each micro-batch reads all of them."""
     arrivals = t.events_by_content(spark, sf_dir)
 
     def build(_checkpoint):
-        purchases = batch._views_and_purchases(arrivals.stream("events", t.KEYED_BATCH_BYTES))[0]
-        views = batch._views_and_purchases(arrivals.stream("events", t.KEYED_BATCH_BYTES))[1]
+        purchases = batch._views_and_purchases(arrivals.stream("events"))[0]
+        views = batch._views_and_purchases(arrivals.stream("events"))[1]
         return changelog_band.changelog_band_join(
             purchases, views, "purchase_id", "view_id", -5, -1, how,
             matches=lambda purchase, view: view.viewer != purchase.buyer,

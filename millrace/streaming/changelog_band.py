@@ -6,7 +6,9 @@ number of its partners in state, so it is padded with NULLs exactly while this n
 change places; a full join adds the padded right rows of a second pass with changed places.
 
 What changed in a micro-batch is put in order, so that a row in state is compared with the changed rows in its band only. The
-rows of a bucket are read and written in a few calls to the state store; ``bucket_width`` decides how many these are.
+rows of a bucket are read and written in a few calls to the state store; ``bucket_width`` decides how many these are. Each
+micro-batch reads the state of all buckets that it meets: where a bucket is bounded, as with unique numbers, few large
+micro-batches need no more memory than many small ones, and less reading.
 
 Inner joins need no state of their own: use ``band_join``, which takes streams as well.
 """
@@ -29,6 +31,8 @@ from millrace.streaming import packs
 from millrace.streaming.changelog_join import KeptRows, changed_counts, net, split
 
 Matches = Callable[[Row, Row], bool]
+# groups that rows without a key or place are dealt to
+LOST_GROUPS = 2048
 # places and bounds below this add up inside 64 bits
 _WHOLE = 1 << 62
 
@@ -162,6 +166,15 @@ class _CountedJoin(StatefulProcessor):
         pass
 
 
+def deal_lost(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows without a key or place meet nobody, so they need not lie together: their salt is from their content alone."""
+    lost = F.lit(False)
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    dealt = F.pmod(F.xxhash64(*columns), F.lit(LOST_GROUPS)).cast("int")
+    return df.withColumn("_salt", F.when(lost, dealt).otherwise(F.col("_salt")))
+
+
 def changelog_band_join(
     left: DataFrame,
     right: DataFrame,
@@ -213,7 +226,9 @@ def changelog_band_join(
         placed = with_op(one).withColumn("_bucket", F.floor(F.col(one_on) / width))
         first, last = F.floor((F.col(other_on) - F.lit(high)) / width), F.floor((F.col(other_on) - F.lit(low)) / width)
         copied = with_op(other).withColumn("_bucket", F.explode(F.sequence(first, last)))
-        ones, others = salting.spread(placed, keys, [*equal, *one_schema.names]), salting.copy(copied, keys)
+        content = [*equal, *one_schema.names]
+        ones = deal_lost(salting.spread(placed, keys, content), keys, content)
+        others = salting.copy(copied.dropna(subset=keys), keys)
         changes = packed(ones, "one", one_schema).unionByName(packed(others, "other", other_schema))
         key_fields = [T.StructField(k, left.schema[k].dataType) for k in equal]
         output = T.StructType([T.StructField("_op", T.StringType()), *key_fields, *one_schema.fields, *other_schema.fields])

@@ -2,12 +2,15 @@
 
 import datetime
 import decimal
+import os
 import pickle
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.plans import stream
+from millrace.plans import tables as t
 from millrace.session import fair_partitions
 from millrace.streaming import changelog_band, changelog_join, delta_join, kept, packs, runner
 
@@ -114,3 +117,24 @@ def test_a_delta_join_judges_its_rows_once_per_micro_batch(spark, folder, monkey
     assert inputs == [1, 1]
     found = runner.read_batches(spark, f"{folder}/out").select("_op", "k", "a", "b").collect()
     assert sorted(map(tuple, found), key=str) == [("+I", 1, 1, 1), ("+I", 2, 2, 2), ("+I", None, 3, None)]
+
+
+def test_a_delivery_of_any_size_is_one_micro_batch_of_a_band_join(spark, folder, monkeypatch):
+    # each micro-batch reads the state of all buckets, so their number must not grow with the input
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4, "event_id").write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(t, "KEYED_BATCH_BYTES", 1)
+    joined = stream.stream_join_theta_left(spark, folder)
+    run = joined.inputFiles()[0].removeprefix("file:").removeprefix("//").split("/rows/")[0]
+    assert len([name for name in os.listdir(f"{run}/checkpoint/commits") if name.isdigit()]) == t.PARTS
+
+
+def test_rows_without_a_place_are_dealt_to_many_groups(spark):
+    rows = spark.range(1000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("place"), (F.col("id") % 100).alias("a"), F.lit(3).alias("_salt")
+    )
+    dealt = changelog_band.deal_lost(rows, ["place"], ["place", "a"])
+    assert {r["_salt"] for r in dealt.where("place IS NOT NULL").collect()} == {3}
+    lost = {(r["a"], r["_salt"]) for r in dealt.where("place IS NULL").collect()}
+    # equal rows stay together, so that they are netted
+    assert len(lost) == 50 and len({salt for _, salt in lost}) > 25
